@@ -30,7 +30,7 @@ def parse_date(col: Column | str, fmt: str | None = "yyyy-MM-dd") -> Column:
     c = _c(col).cast("string")
     if fmt is None:
         return F.coalesce(F.try_to_timestamp(F.trim(c)).cast("date"), F.try_to_date(F.trim(c)))
-    return F.try_to_date(c, F.lit(fmt))
+    return F.try_to_date(c, fmt)
 
 
 def as_date(value: str | _dt.date) -> Column:
