@@ -5,8 +5,8 @@ Spark has no public as-of join, so two plans are provided:
 
 * ``interval`` — the right side is reduced to validity intervals
   ``[ts, next_ts)`` per key and joined as an equi-join on the keys with a range
-  residual. Used when the reduced right side is proven small: its row count is
-  checked against ``broadcast_limit`` before it is broadcast.
+  residual. Used when the reduced right side is proven small (``is_small``:
+  optimizer size estimate, else a capped row count) before it is broadcast.
 * ``bucketed`` — for a right side of any size. Time is cut into fixed-width
   buckets; inside a (key, bucket) the latest right row at or before each left
   row comes from a running ``last(..., ignorenulls)`` window over the union of
@@ -48,6 +48,18 @@ def _numeric_time(col: Column, dtype: T.DataType) -> Column:
     return col.cast("long")
 
 
+def is_small(df: DataFrame, max_rows: int, max_bytes: int = 64 * 1024 * 1024) -> bool:
+    """Size check before a broadcast: the optimizer's size estimate first (no job);
+    when that is inconclusive, an exact row count capped at ``max_rows + 1``."""
+    try:
+        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        if est <= max_bytes:
+            return True
+    except Exception:  # noqa: BLE001 — estimate unavailable: fall through to the count
+        pass
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def asof_left(
     left: DataFrame,
     right: DataFrame,
@@ -70,8 +82,7 @@ def asof_left(
     on = [on] if isinstance(on, str) else list(on)
     reduced = _reduce_right(right, on, right_ts, value_cols)
     if strategy == "auto":
-        small = reduced.limit(broadcast_limit + 1).count() <= broadcast_limit
-        strategy = "interval" if small else "bucketed"
+        strategy = "interval" if is_small(reduced, broadcast_limit) else "bucketed"
     if strategy == "interval":
         return _asof_interval(left, reduced, on, _as_col(left_ts), value_cols)
     if strategy == "bucketed":

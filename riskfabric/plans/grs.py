@@ -13,11 +13,10 @@ Plan shape (all lazily composed, one Catalyst plan):
 
 Every input is aggregated to (country, month) before any join, so the joins
 run on data whose size is bounded by #countries × #months, not by the fact
-tables. ``combined`` feeds both the bounds and the final projection; its only
-large input (the incident aggregation) is one shuffle exchange that Spark reuses
-for both consumers (``ReusedExchange`` in the physical plan). The bounds are a
-global aggregate (partial per task, one tiny final merge), never an
-unpartitioned window.
+tables. ``combined`` feeds both the bounds and the final projection, so it is
+written once as a parquet table in the shared checkpoint folder
+(``session.materialize``) and both consumers read that copy. The bounds are a global aggregate (partial per task,
+one tiny final merge), never an unpartitioned window.
 """
 
 from __future__ import annotations
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 from riskfabric import refdata
 from riskfabric.functions import dates, scoring
 from riskfabric.operators.asof import asof_left
+from riskfabric.session import materialize as write_and_read
 
 KEYS = ["country_iso3", "month_start"]
 
@@ -131,10 +131,17 @@ def grs_monthly(
     fact_risk_indicator: DataFrame,
     fact_news_pulse: DataFrame,
     weights: dict[str, float] | None = None,
+    materialize: bool = True,
     **asof_opts,
 ) -> DataFrame:
     """country_iso3, month_start, five normalised sub-scores, grs_0_100, coverage_flag."""
     comb = combined(fact_incident, fact_diplomatic_action, fact_risk_indicator, fact_news_pulse, **asof_opts)
+    if materialize:
+        # Two consumers (bounds, scores) read ``combined``; Catalyst would plan the
+        # fact aggregations twice. Write it once as a table in the shared checkpoint
+        # folder: it is bounded by #countries × #months at any data size, and the
+        # written copy also cuts the lineage back to the fact scans.
+        comb = write_and_read(comb, "grs_combined")
     b = norm_bounds(comb)
     # The bounds are exactly one row: broadcasting it is size-safe by construction.
     c = comb.crossJoin(F.broadcast(b))

@@ -109,12 +109,12 @@ def conform(df: DataFrame, table: str, fill_defaults: bool = True) -> DataFrame:
     """
     schema = TABLES[table]
     defaults = COLUMN_DEFAULTS.get(table, {}) if fill_defaults else {}
-    have = set(df.columns)
+    have = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for field in schema.fields:
         if field.name in have:
             src = F.col(field.name)
-            if df.schema[field.name].dataType != field.dataType:
+            if have[field.name] != field.dataType:
                 src = src.try_cast(field.dataType)
             cols.append(src.alias(field.name))
         elif field.name in defaults:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,10 @@ _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # Skip per-call Python call-site capture (one JVM round trip per function call
+    # while a plan is built); error messages lose the Python line, plans are unchanged.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # One file split is ~128 MiB; at 100 TB this gives ~800k scan tasks,
     # which is what a 1000-executor cluster wants.
@@ -69,3 +74,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/riskfabric/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a parquet table under the shared checkpoint folder and
+    return a DataFrame reading it back.
+
+    One job computes the rows (a reliable ``checkpoint()`` would compute them
+    twice: once for the eager count, once more to write the files). The written
+    table cuts the lineage, so a lost executor never forces the upstream scans
+    to be recomputed.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

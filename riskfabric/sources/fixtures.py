@@ -23,8 +23,19 @@ from riskfabric import schemas
 from riskfabric.functions.ids import make_id
 
 
+_READERS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table ``<sf_dir>/<name>.parquet``, one reader per session and path
+    (file listing and footer reads happen once, not once per query)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READERS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _READERS[key] = df
+    return df
 
 
 def nation_code(col: Column) -> Column:
