@@ -280,11 +280,11 @@ SELECT month_start, driver, contribution FROM (
   SELECT month_start, {_TREND_COLS} FROM grs_monthly
   WHERE country_iso3 = '{COUNTRY}' AND grs_0_100 IS NOT NULL) t
 CROSS JOIN LATERAL (VALUES
-  ('conflict_incidents', round(t.conflict_incidents * 0.225 * 100, 2)),
-  ('conflict_fatalities', round(t.conflict_fatalities * 0.225 * 100, 2)),
-  ('sanctions', round(t.sanctions * 0.20 * 100, 2)),
-  ('militarization', round(t.militarization * 0.15 * 100, 2)),
-  ('news_tension', round(t.news_tension * 0.10 * 100, 2))) v(driver, contribution)""", [], grs=True))
+  ('conflict_incidents', cast(round(cast(t.conflict_incidents * 0.225 * 100 AS decimal(20, 6)), 2) AS double)),
+  ('conflict_fatalities', cast(round(cast(t.conflict_fatalities * 0.225 * 100 AS decimal(20, 6)), 2) AS double)),
+  ('sanctions', cast(round(cast(t.sanctions * 0.20 * 100 AS decimal(20, 6)), 2) AS double)),
+  ('militarization', cast(round(cast(t.militarization * 0.15 * 100 AS decimal(20, 6)), 2) AS double)),
+  ('news_tension', cast(round(cast(t.news_tension * 0.10 * 100 AS decimal(20, 6)), 2) AS double))) v(driver, contribution)""", [], grs=True))
 def q_grs_driver_contributions(spark, sf_dir):
     trend = dashboard.grs_country_trend(r6(_grs(spark, sf_dir), *_GRS_COLS), COUNTRY)
     return dashboard.driver_contributions(trend)

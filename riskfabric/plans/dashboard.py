@@ -314,8 +314,14 @@ def grs_country_trend(grs: DataFrame, country: str) -> DataFrame:
 
 
 def driver_contributions(trend: DataFrame) -> DataFrame:
-    """Per-driver contribution = round(score × weight × 100, 2), in long form (one row per driver)."""
-    stack_args = ", ".join(f"'{name}', round({name} * {w} * 100, 2)" for name, w in refdata.DRIVER_WEIGHTS)
+    """Per-driver contribution = round(score × weight × 100, 2), in long form (one row per driver).
+
+    The rounding is done in exact decimal arithmetic (half-up), so a product that
+    is a tie in decimal (e.g. 2.765) rounds the same way on every engine.
+    """
+    stack_args = ", ".join(
+        f"'{name}', cast(round(cast({name} * {w} * 100 AS decimal(20, 6)), 2) AS double)"
+        for name, w in refdata.DRIVER_WEIGHTS)
     return trend.selectExpr("month_start", f"stack({len(refdata.DRIVER_WEIGHTS)}, {stack_args}) AS (driver, contribution)")
 
 
