@@ -755,3 +755,41 @@ def q_incremental_events(spark, sf_dir):
         options={"pathGlobFilter": "events.parquet"},
     )
     return ingest.daily_event_summary(table)
+
+
+# ---------------------------------------------------------------------------
+# SQL access with positional parameters
+# ---------------------------------------------------------------------------
+
+
+@register("kpi_global_sql", with_fixtures(f"""
+SELECT cast(sum(event_count) AS bigint) AS total_incidents, cast(sum(fatalities_best) AS bigint) AS total_fatalities,
+       count(DISTINCT country_iso3) AS countries_affected,
+       cast(sum(CASE WHEN civilian_targeting THEN event_count ELSE 0 END) AS bigint) AS civilian_incidents
+FROM fact_incident WHERE event_date BETWEEN DATE '{D0}' AND DATE '{D1}'""", ["fact_incident"]))
+def q_kpi_global_sql(spark, sf_dir):
+    """The KPI statement run through spark.sql with positional ? parameters over registered views."""
+    from riskfabric.plans import sql
+
+    prefix = f"rf_{abs(hash(sf_dir)) % 10**8}_"
+    sql.register_views(spark, {"fact_incident": fixtures.fact_incident(spark, sf_dir)}, prefix)
+    return sql.query(spark, sql.KPI_GLOBAL.format(p=prefix), [D0, D1])
+
+
+@register("weekly_timeline_region_sql", with_fixtures("""
+SELECT week_start, cast(sum(incident_count) AS bigint) AS incidents, cast(sum(fatalities_total) AS bigint) AS fatalities,
+       cast(sum(civilian_incidents) AS bigint) AS civilian_incidents
+FROM (
+  SELECT cast(date_trunc('week', event_date) AS date) AS week_start, country_iso3, region_code, event_type,
+         sum(coalesce(event_count, 1)) AS incident_count, sum(fatalities_best) AS fatalities_total,
+         sum(CASE WHEN civilian_targeting THEN coalesce(event_count, 1) ELSE 0 END) AS civilian_incidents
+  FROM fact_incident GROUP BY 1, 2, 3, 4) cw
+WHERE week_start BETWEEN DATE '""" + D0 + "' AND DATE '" + D1 + "' AND region_code = 'ASIA' GROUP BY week_start",
+    ["fact_incident"]))
+def q_weekly_timeline_region_sql(spark, sf_dir):
+    """The regional weekly timeline as SQL over the registered aggregate view, three positional parameters."""
+    from riskfabric.plans import sql
+
+    prefix = f"rf_{abs(hash(sf_dir)) % 10**8}_"
+    sql.register_views(spark, {"fact_incident": fixtures.fact_incident(spark, sf_dir)}, prefix)
+    return sql.query(spark, sql.WEEKLY_TIMELINE_REGION.format(p=prefix), [D0, D1, "ASIA"])

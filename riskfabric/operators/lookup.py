@@ -1,9 +1,11 @@
 """Code lookups (J10–J13), resolved on DISTINCT input values and joined back.
 
-Resolving distinct values first means the lookup work is bounded by the number
-of distinct names/codes (hundreds), not by the fact rows; the join back is an
-equi-join whose small side Spark broadcasts when its measured size allows
-(auto-broadcast threshold / AQE), else shuffles.
+Name lookups join the input once against small, size-checked lookup tables
+(broadcast hash joins), so a raw file is parsed once. Steps whose work depends on
+the value itself (fuzzy search, news-country cascade, prefix search) resolve the
+DISTINCT values first — bounded by the number of distinct names/codes, not by
+the rows — and join the answer back with an equi-join whose small side Spark
+broadcasts when its measured size allows (auto-broadcast threshold / AQE).
 
 The ordered prefix lookup (J13) avoids a theta join: each distinct code is
 expanded into its own prefixes (bounded by the code length) and equi-joined to
@@ -79,9 +81,35 @@ def attach(df: DataFrame, col: str, resolved: DataFrame, out: str) -> DataFrame:
     return df.join(r, df[col] == r["_rs_raw"], "left").drop("_rs_raw")
 
 
+def _bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast hint for a lookup table after a size check (estimate, else capped count)."""
+    from riskfabric.operators.asof import is_small
+
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
 def name_to_iso3(df: DataFrame, col: str, countries: DataFrame, overrides: DataFrame, out: str = "country_iso3",
                  fuzzy: bool = False) -> DataFrame:
-    return attach(df, col, resolve_names(df, col, countries, overrides, fuzzy), out)
+    """``out`` = iso3 of the name in ``col``: override → exact alpha-3/alpha-2/name → optional fuzzy → NULL.
+
+    Single pass over ``df``: the override list and the exact-probe table (at most
+    three rows per country) are size-checked and broadcast, so the input is read
+    once and never shuffled for the lookup. Only the fuzzy step, when enabled,
+    works on the DISTINCT names that are still unresolved.
+    """
+    probe = F.lower(F.trim(F.col(col)))
+    ov = _bounded(overrides.select(F.col("name").alias("_nl_probe"), F.col("iso3").alias("_nl_ov")))
+    ex = _bounded(country_name_candidates(countries).select(F.col("probe").alias("_nl_probe"),
+                                                            F.col("iso3").alias("_nl_ex")))
+    j = df.withColumn("_nl_probe", probe).join(ov, "_nl_probe", "left").join(ex, "_nl_probe", "left")
+    j = j.withColumn(out, F.coalesce("_nl_ov", "_nl_ex")).drop("_nl_ov", "_nl_ex", "_nl_probe")
+    if not fuzzy:
+        return j
+    todo = j.where(F.col(out).isNull() & F.col(col).isNotNull()).select(col)
+    fz = resolve_names(todo, col, countries, overrides, fuzzy=True)
+    fz = fz.select(F.col("raw").alias("_nl_raw"), F.col("iso3").alias("_nl_fz"))
+    j = j.join(fz, j[col] == fz["_nl_raw"], "left")
+    return j.withColumn(out, F.coalesce(F.col(out), F.col("_nl_fz"))).drop("_nl_raw", "_nl_fz")
 
 
 def resolve_news_country(values: DataFrame, col: str, countries: DataFrame, fips: DataFrame,

@@ -80,6 +80,13 @@ def upsert(target: DataFrame, stage: DataFrame, keys: list[str], table: str | No
     return kept.unionByName(completed)
 
 
+def evolve_event_count(fact_incident: DataFrame) -> DataFrame:
+    """Column evolution (K8): add ``event_count`` when absent and backfill NULL → 1."""
+    if "event_count" not in fact_incident.columns:
+        return fact_incident.withColumn("event_count", F.lit(1).cast("int"))
+    return fact_incident.withColumn("event_count", F.coalesce(F.col("event_count"), F.lit(1)).cast("int"))
+
+
 def replace_source(target: DataFrame, stage: DataFrame, keys: list[str], source_col: str, source: str,
                    table: str | None = None) -> DataFrame:
     """Delete ``source_col = source`` rows (NULL sources are kept), then upsert the stage (K4)."""

@@ -101,3 +101,42 @@ def table_counts(spark: SparkSession, warehouse: str) -> DataFrame:
     """Post-run row counts of the fact tables."""
     tables = {t: store.read_table(spark, f"{warehouse.rstrip('/')}/{t}", t) for t in LAST_DATE_COLUMN}
     return store.table_counts(tables)
+
+
+def bootstrap(spark: SparkSession, warehouse: str) -> list[str]:
+    """Create every canonical table that is absent (empty, typed) and seed the constant
+    dimensions with insert-or-ignore (K7, K5). Returns the tables created or seeded."""
+    from riskfabric.sources import dims
+
+    seeds = {"dim_region": dims.regions(spark), "dim_source_system": dims.source_systems(spark),
+             "dim_event_type": dims.event_types(spark)}
+    touched = []
+    for table in schemas.TABLES:
+        path = f"{warehouse.rstrip('/')}/{table}"
+        exists = store.path_exists(spark, path)
+        if table in seeds:
+            current = store.read_table(spark, path, table)
+            merged = store.insert_ignore(current, seeds[table], schemas.PRIMARY_KEYS[table])
+            store.commit_table(spark, merged, path)
+            touched.append(table)
+        elif not exists:
+            store.commit_table(spark, schemas.empty(spark, table), path)
+            touched.append(table)
+    return touched
+
+
+def validate_news_range(sources: list[str], start: _dt.date | None, end: _dt.date | None,
+                        today: _dt.date | None = None, window_days: int = 90) -> tuple[_dt.date, _dt.date] | None:
+    """News date-range rules (I4): none given → last ``window_days`` ending today; an end needs a
+    start; a start alone runs to today; start ≤ end; dates need the news source selected."""
+    today = today or _dt.date.today()
+    if start is None and end is None:
+        return (today - _dt.timedelta(days=window_days - 1), today) if "gdelt" in sources else None
+    if "gdelt" not in sources:
+        raise ValueError("news date arguments require the news source to be selected")
+    if start is None:
+        raise ValueError("an end date requires a start date")
+    end = end or today
+    if start > end:
+        raise ValueError("start date cannot be after end date")
+    return start, end

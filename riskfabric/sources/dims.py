@@ -38,11 +38,6 @@ def special_countries(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(refdata.SPECIAL_COUNTRIES, schemas.DIM_COUNTRY)
 
 
-def date_spine(start, end) -> DataFrame:
-    """Not used directly: see ``date_dim``."""
-    raise NotImplementedError
-
-
 def date_dim(bounds: DataFrame, start_col: str = "start", end_col: str = "end") -> DataFrame:
     """One row per day between the bounds of a one-row DataFrame, inclusive, with calendar parts.
 

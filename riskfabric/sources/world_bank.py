@@ -59,3 +59,8 @@ def normalise(items: DataFrame, countries: DataFrame) -> DataFrame:
         F.concat(F.lit(refdata.INDICATOR_URL_PREFIX), F.col("indicator_code")).alias("source_url"),
     )
     return schemas.conform(out, "fact_risk_indicator")
+
+
+def indicator_summary(rows: DataFrame) -> DataFrame:
+    """Rows and distinct indicators loaded (A24) — one aggregate."""
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("indicator_code").alias("indicators"))

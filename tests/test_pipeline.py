@@ -82,3 +82,29 @@ def test_streaming_ingest_incremental(spark, tmp_path):
     # nothing new landed: re-running is a no-op
     out = ingest.ingest_files(spark, land, ingest.EVENTS, target, ["event_id"], checkpoint=ckpt)
     assert out.count() == 3
+
+
+def test_bootstrap_and_evolution(spark, tmp_path):
+    import datetime as dt
+
+    import pytest
+
+    wh = str(tmp_path / "wh2")
+    first = pipeline.bootstrap(spark, wh)
+    assert set(first) == set(schemas.TABLES)
+    assert spark.read.parquet(f"{wh}/dim_region").count() == 7
+    assert spark.read.parquet(f"{wh}/dim_event_type").count() == 9
+    pipeline.bootstrap(spark, wh)   # insert-or-ignore: seeding twice keeps one copy
+    assert spark.read.parquet(f"{wh}/dim_source_system").count() == 7
+    df = spark.createDataFrame([("a", None), ("b", 3)], "incident_id string, event_count int")
+    assert [r.event_count for r in store.evolve_event_count(df).orderBy("incident_id").collect()] == [1, 3]
+    assert store.evolve_event_count(df.drop("event_count")).first().event_count == 1
+    today = dt.date(2026, 3, 4)
+    assert pipeline.validate_news_range(["gdelt"], None, None, today) == (dt.date(2025, 12, 5), today)
+    assert pipeline.validate_news_range(["gdelt"], dt.date(2026, 1, 1), None, today) == (dt.date(2026, 1, 1), today)
+    with pytest.raises(ValueError, match="requires a start"):
+        pipeline.validate_news_range(["gdelt"], None, dt.date(2026, 1, 1), today)
+    with pytest.raises(ValueError, match="after"):
+        pipeline.validate_news_range(["gdelt"], dt.date(2026, 2, 1), dt.date(2026, 1, 1), today)
+    with pytest.raises(ValueError, match="selected"):
+        pipeline.validate_news_range(["seed"], dt.date(2026, 1, 1), None, today)
