@@ -94,6 +94,29 @@ def replace_source(target: DataFrame, stage: DataFrame, keys: list[str], source_
     return upsert(rest, stage, keys, table)
 
 
+def touched_partitions(stage: DataFrame, partition_by: list[str], limit: int = 10_000) -> list[tuple]:
+    """Distinct partition values present in a batch (a handful: e.g. source systems).
+
+    Collected to the driver because they parameterise the scan of the target; the
+    count is capped and exceeding the cap raises instead of collecting more.
+    """
+    vals = stage.select(*partition_by).distinct().limit(limit + 1).collect()
+    if len(vals) > limit:
+        raise ValueError(f"batch touches more than {limit} partitions")
+    return [tuple(r) for r in vals]
+
+
+def partition_filter(partition_by: list[str], values: list[tuple]) -> Column:
+    """Predicate selecting the given partitions (NULL-safe), for partition pruning on the target."""
+    cond = F.lit(False)
+    for v in values:
+        c = F.lit(True)
+        for col, x in zip(partition_by, v):
+            c = c & F.col(col).eqNullSafe(F.lit(x))
+        cond = cond | c
+    return cond
+
+
 def insert_ignore(target: DataFrame, stage: DataFrame, keys: list[str],
                   order_cols: list[Column | str] | None = None) -> DataFrame:
     """Existing rows win; within the batch the first row by ``order_cols`` wins (K5)."""

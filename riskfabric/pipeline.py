@@ -66,6 +66,15 @@ def run_source(spark: SparkSession, spec: SourceSpec, warehouse: str, run_ts: _d
         batch = schemas.conform(batch, spec.table)
         target = store.read_table(spark, table_path, spec.table)
         keys = schemas.PRIMARY_KEYS[spec.table]
+        if spec.partition_by:
+            # Merge only inside the partitions this batch touches (the partition
+            # column is part of each key's identity: ids are hashed with their
+            # source), so the scan of the target is pruned to those partitions
+            # and the dynamic-overwrite commit rewrites only them.
+            parts = store.touched_partitions(batch, spec.partition_by)
+            if spec.replace_source_system:
+                parts = list({*parts, (spec.replace_source_system,)})
+            target = target.where(store.partition_filter(spec.partition_by, parts))
         if spec.replace_source_system:
             merged = store.replace_source(target, batch, keys, "source_system", spec.replace_source_system, spec.table)
         else:

@@ -47,6 +47,10 @@ def upsert_batch_writer(target_path: str, keys: list[str], order_cols: list[str]
             merged = stage if order_cols is None else store.dedupe_first(stage, keys, order_cols)
             merged = merged.select(*[c for c in merged.columns if c not in (order_cols or [])])
         else:
+            if partition_by:
+                # merge only inside the partitions this micro-batch touches
+                parts = store.touched_partitions(stage, partition_by)
+                current = current.where(store.partition_filter(partition_by, parts))
             merged = store.upsert(current, stage, keys, order_cols=order_cols)
         store.commit_table(spark, merged, target_path, partition_by)
 

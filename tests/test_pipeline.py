@@ -108,3 +108,24 @@ def test_bootstrap_and_evolution(spark, tmp_path):
         pipeline.validate_news_range(["gdelt"], dt.date(2026, 2, 1), dt.date(2026, 1, 1), today)
     with pytest.raises(ValueError, match="selected"):
         pipeline.validate_news_range(["seed"], dt.date(2026, 1, 1), None, today)
+
+
+def test_partition_scoped_commit(spark, tmp_path):
+    import glob
+
+    wh = str(tmp_path / "wh3")
+    mk = lambda rows: spark.createDataFrame(rows, "incident_id string, source_system string, event_date date, event_count int")
+    import datetime as dt
+
+    d = dt.date(2020, 1, 1)
+    specs = lambda a, u: [
+        pipeline.SourceSpec("A", "fact_incident", lambda s: True, lambda s: mk(a), "ACLED", ["source_system"]),
+        pipeline.SourceSpec("U", "fact_incident", lambda s: True, lambda s: mk(u), None, ["source_system"]),
+    ]
+    pipeline.run(spark, specs([("a1", "ACLED", d, 1)], [("u1", "UCDP_GED", d, 1)]), wh)
+    acled_files = sorted(glob.glob(f"{wh}/fact_incident/source_system=ACLED/*.parquet"))
+    # a UCDP-only load must leave the ACLED partition's files untouched
+    pipeline.run(spark, specs([], [("u1", "UCDP_GED", d, 5), ("u2", "UCDP_GED", d, 2)])[1:], wh)
+    assert sorted(glob.glob(f"{wh}/fact_incident/source_system=ACLED/*.parquet")) == acled_files
+    rows = {r.incident_id: r.event_count for r in spark.read.parquet(f"{wh}/fact_incident").collect()}
+    assert rows == {"a1": 1, "u1": 5, "u2": 2}
