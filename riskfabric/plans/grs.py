@@ -8,15 +8,16 @@ Plan shape (all lazily composed, one Catalyst plan):
     fact_diplomatic_action ─filter─agg(country, month)─ left ─┤
     fact_news_pulse ─filter─agg(country, month)──────── left ─┤
                                                       combined (country × month, small)
-                                                         ├─ global min/max → 1 row ─┐
-                                                         └──────────── cross(broadcast 1 row) → scores
+                                                         ├─ global min/max (scalar subquery)
+                                                         └─ scores (bounds inlined as a value)
 
 Every input is aggregated to (country, month) before any join, so the joins
 run on data whose size is bounded by #countries × #months, not by the fact
 tables. ``combined`` feeds both the bounds and the final projection, so it is
 written once as a parquet table in the shared checkpoint folder
 (``session.materialize``) and both consumers read that copy. The bounds are a global aggregate (partial per task,
-one tiny final merge), never an unpartitioned window.
+one tiny final merge) used as a scalar subquery — never an unpartitioned window
+and never a cross join.
 """
 
 from __future__ import annotations
@@ -142,20 +143,21 @@ def grs_monthly(
         # folder: it is bounded by #countries × #months at any data size, and the
         # written copy also cuts the lineage back to the fact scans.
         comb = write_and_read(comb, "grs_combined")
-    b = norm_bounds(comb)
-    # The bounds are exactly one row: broadcasting it is size-safe by construction.
-    c = comb.crossJoin(F.broadcast(b))
+    # Global bounds as ONE scalar subquery (a struct of the ten min/max values):
+    # Spark runs it once and inlines the value, so no cross join and no driver
+    # round trip is needed.
+    bounds = norm_bounds(comb)
+    b = bounds.select(F.struct(*bounds.columns).alias("b")).scalar()
+    c = comb
 
     def bnd(s: str):
-        return F.col(f"min_{s}"), F.col(f"max_{s}")
+        return b[f"min_{s}"], b[f"max_{s}"]
 
     inc = scoring.minmax(F.coalesce("incident_rate_100k", F.lit(0.0)), *bnd("inc"))
     fat = scoring.minmax(F.coalesce("fatality_rate_100k", F.lit(0.0)), *bnd("fat"))
     san = scoring.minmax(F.col("sanction_count"), *bnd("san"))
     # NULL milex keeps a NULL sub-score; the composite counts it as 0.
-    mil = F.when(F.col("max_mil") > F.col("min_mil"),
-                 (F.col("milex_pct_gdp") - F.col("min_mil")) / (F.col("max_mil") - F.col("min_mil"))
-                 ).otherwise(F.lit(0.0))
+    mil = scoring.minmax(F.col("milex_pct_gdp"), *bnd("mil"))
     art = scoring.minmax(F.col("article_count"), *bnd("art"))
     scored = c.select(
         "country_iso3", "month_start",
