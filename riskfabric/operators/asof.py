@@ -7,13 +7,16 @@ Spark has no public as-of join, so two plans are provided:
   ``[ts, next_ts)`` per key and joined as an equi-join on the keys with a range
   residual. Used when the reduced right side is proven small (``is_small``:
   optimizer size estimate, else a capped row count) before it is broadcast.
-* ``bucketed`` — for a right side of any size. Time is cut into fixed-width
-  buckets; inside a (key, bucket) the latest right row at or before each left
-  row comes from a running ``last(..., ignorenulls)`` window over the union of
-  both sides, and left rows with no right row in their bucket take the carry
-  from earlier buckets, computed on a per-(key, bucket) summary that is built
-  with partial aggregation. A hot key is therefore split across its buckets and
-  the summary has at most (#keys × #buckets) rows. No pairs are ever emitted.
+* ``bucketed`` — for a right side of any size. The as-of is solved for the
+  DISTINCT left (key, time) pairs only (rows sharing them share the answer),
+  then joined back many-to-one on (key, time). Time is cut into fixed-width
+  buckets; inside a (key, bucket) the latest right row at or before each probe
+  comes from a running ``last(..., ignorenulls)`` window over probes ∪ right
+  rows, and probes with no right row in their bucket take the carry from
+  earlier buckets, computed on a per-(key, bucket) summary built with partial
+  aggregation. A hot key is split across its buckets (choose ``bucket_width`` to
+  taste), repeated timestamps collapse before any window, and the summary has
+  at most (#keys × #buckets) rows. No pairs are ever emitted.
 
 NULL keys never match (as in an equi-join).
 """
@@ -112,13 +115,16 @@ def _asof_bucketed(left: DataFrame, reduced: DataFrame, on: list[str], lts: Colu
     rb = F.floor(_numeric_time(F.col(_RTS), ts_type) / F.lit(width))
     rv = F.struct(*[F.col(c) for c in value_cols])
 
+    # Left rows that share (key, time) share the answer: solve for DISTINCT
+    # (key, time) only (partial aggregation), then join the answers back.
+    probes = lft.select(*on, _LTS).distinct().withColumn(_B, lb)
+
     # Per (key, bucket): the latest right row in that bucket (partial aggregation, skew-safe).
     right_b = reduced.withColumn(_B, rb)
     summary = right_b.groupBy(*on, _B).agg(F.max(F.struct(F.col(_RTS), rv.alias("v"))).alias("_last"))
 
-    # Carry-in for each left (key, bucket): latest right row from strictly earlier buckets.
-    left_b = lft.withColumn(_B, lb)
-    keyset = left_b.select(*on, _B).distinct().withColumn("_is_left", F.lit(True))
+    # Carry-in for each probed (key, bucket): latest right row from strictly earlier buckets.
+    keyset = probes.select(*on, _B).distinct().withColumn("_is_left", F.lit(True))
     grid = keyset.unionByName(summary.withColumn("_is_left", F.lit(False)), allowMissingColumns=True)
     wc = Window.partitionBy(*on).orderBy(_B).rangeBetween(Window.unboundedPreceding, -1)
     carry = (
@@ -129,13 +135,15 @@ def _asof_bucketed(left: DataFrame, reduced: DataFrame, on: list[str], lts: Colu
         .drop("_is_left")
     )
 
-    # In-bucket match: running last right value over the union, right rows first on ties.
-    lrows = left_b.select(*[F.col(c) for c in left.columns], F.col(_B), F.col(_LTS).alias("_t"),
-                          F.lit(1).alias(_SIDE))
-    rrows = right_b.select(*[F.col(k) for k in on], F.col(_B), F.col(_RTS).alias("_t"), F.lit(0).alias(_SIDE),
-                           rv.alias("_rv"))
-    u = lrows.unionByName(rrows, allowMissingColumns=True)
+    # In-bucket match: running last right value over probes ∪ right rows, right rows first on ties.
+    prow = probes.select(*on, F.col(_B), F.col(_LTS).alias("_t"), F.lit(1).alias(_SIDE))
+    rrow = right_b.select(*on, F.col(_B), F.col(_RTS).alias("_t"), F.lit(0).alias(_SIDE), rv.alias("_rv"))
+    u = prow.unionByName(rrow, allowMissingColumns=True)
     wb = Window.partitionBy(*on, _B).orderBy("_t", _SIDE).rowsBetween(Window.unboundedPreceding, 0)
     u = u.withColumn("_inb", F.last("_rv", ignorenulls=True).over(wb)).where(F.col(_SIDE) == 1)
-    res = u.join(carry, [*on, _B], "left").withColumn(_M, F.coalesce("_inb", "_carry"))
+    ans = u.join(carry, [*on, _B], "left").select(
+        *on, F.col("_t").alias(_LTS), F.coalesce("_inb", "_carry").alias(_M))
+
+    # Back to every left row: many-to-one on (key, time); NULL keys find no answer.
+    res = lft.join(ans, [*on, _LTS], "left")
     return res.select(*[F.col(c) for c in left.columns], *[F.col(f"{_M}.{c}").alias(c) for c in value_cols])

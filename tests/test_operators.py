@@ -127,3 +127,16 @@ def test_fuzzy_matches_brute_force(spark):
         cands = sorted((lev(p.lower(), n.lower()), f"C{i}") for i, n in enumerate(names)
                        if soundex(n) == soundex(p) and lev(p.lower(), n.lower()) <= 2)
         assert got[p] == (cands[0][1] if cands else None), p
+
+
+def test_asof_hot_timestamp(spark):
+    base = dt.date(2010, 1, 1)
+    left = [("A", base + dt.timedelta(days=30))] * 500 + [("A", base + dt.timedelta(days=400)), ("B", base)]
+    right = [("A", base, 1.0), ("A", base + dt.timedelta(days=30), 2.0), ("A", base + dt.timedelta(days=31), 3.0),
+             ("B", base + dt.timedelta(days=1), 4.0)]
+    ldf = spark.createDataFrame(left, "k string, t date")
+    rdf = spark.createDataFrame(right, "k string, rt date, v double")
+    for strategy in ("interval", "bucketed"):
+        got = sorted([(r.k, r.t, r.v) for r in asof.asof_left(ldf, rdf, "k", "t", "rt", ["v"], strategy=strategy,
+                                                               bucket_width=7).collect()])
+        assert got == _brute_asof(left, right)
