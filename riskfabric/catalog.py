@@ -420,8 +420,12 @@ def q_sanctions_by_country(spark, sf_dir):
     return dashboard.sanctions_by_country(wh.fact_diplomatic_action, wh.dim_country)
 
 
+_CURATED_SQL = ("(SELECT count(*) FROM fact_diplomatic_action WHERE action_type != 'sanction' "
+                "AND action_date IS NOT NULL) AS curated_events")
+
+
 @register("sanction_kpis", with_fixtures(
-    f"SELECT count(*) AS sanctioned_countries, cast(sum(total_sanctions) AS bigint) AS sanction_designations "
+    f"SELECT {_CURATED_SQL}, count(*) AS sanctioned_countries, cast(sum(total_sanctions) AS bigint) AS sanction_designations "
     f"FROM ({_SANCTIONS_SQL.format(limit='LIMIT 20')}) s", ["fact_diplomatic_action", "dim_country"]))
 def q_sanction_kpis(spark, sf_dir):
     wh = _wh(spark, sf_dir)
@@ -429,7 +433,7 @@ def q_sanction_kpis(spark, sf_dir):
 
 
 @register("sanction_kpis_all", with_fixtures(
-    f"SELECT count(*) AS sanctioned_countries, cast(sum(total_sanctions) AS bigint) AS sanction_designations "
+    f"SELECT {_CURATED_SQL}, count(*) AS sanctioned_countries, cast(sum(total_sanctions) AS bigint) AS sanction_designations "
     f"FROM ({_SANCTIONS_SQL.format(limit='')}) s", ["fact_diplomatic_action", "dim_country"]))
 def q_sanction_kpis_all(spark, sf_dir):
     """A23 over every sanctioned target (not only the top 20)."""
@@ -491,3 +495,17 @@ def q_indicators_pivot(spark, sf_dir):
 
     return dashboard.indicators_pivot(fixtures.fact_risk_indicator(spark, sf_dir), COUNTRY,
                                       [c for c, _ in refdata.INDICATORS], name_col="indicator_code")
+
+
+@register("diplomatic_feed_cards", with_fixtures("""
+SELECT action_date, status, action_type, substring(instrument_name, 1, 60) AS headline,
+       concat_ws(' → ', nullif(actor, ''), nullif(target, '')) AS actors
+FROM (
+  SELECT action_date, coalesce(actor_iso3, '') AS actor, coalesce(target_iso3, '') AS target, action_type,
+         instrument_name, status
+  FROM fact_diplomatic_action WHERE action_type != 'sanction' AND action_date IS NOT NULL
+  ORDER BY action_date DESC, action_id LIMIT 15) f
+ORDER BY action_date DESC, instrument_name LIMIT 10""", ["fact_diplomatic_action"]))
+def q_diplomatic_feed_cards(spark, sf_dir):
+    """Overview feed cards: newest 10 of the 15-row feed, 60-character headline, actor → target label."""
+    return dashboard.feed_cards(fixtures.fact_diplomatic_action(spark, sf_dir))

@@ -260,13 +260,14 @@ def sanctions_by_country(fact_diplomatic_action: DataFrame, dim_country: DataFra
 
 
 def sanction_kpis(fact_diplomatic_action: DataFrame, dim_country: DataFrame, n: int | None = 20) -> DataFrame:
-    """Designations total and number of sanctioned countries, over the top-n list
-    (``n=None`` computes them over all targets)."""
+    """Curated (non-sanction, dated) event count, designations total and number of
+    sanctioned countries — the last two over the top-n list (``n=None``: all targets)."""
     s = sanctions_by_country(fact_diplomatic_action, dim_country, n)
+    curated = events_timeline(fact_diplomatic_action).agg(F.count(F.lit(1))).scalar()
     return s.agg(
         F.count(F.lit(1)).alias("sanctioned_countries"),
         F.sum("total_sanctions").cast("long").alias("sanction_designations"),
-    )
+    ).select(curated.alias("curated_events"), "sanctioned_countries", "sanction_designations")
 
 
 def events_timeline(fact_diplomatic_action: DataFrame) -> DataFrame:
@@ -289,6 +290,18 @@ def events_timeline_labelled(fact_diplomatic_action: DataFrame, d0: str, d1: str
     )
 
 
+def feed_cards(fact_diplomatic_action: DataFrame, n: int = 10, chars: int = 60) -> DataFrame:
+    """Overview feed cards: the newest ``n`` feed rows with a shortened instrument and an
+    'actor → target' label (T4 + E11 + E13)."""
+    feed = diplomatic_feed(fact_diplomatic_action, 15)
+    top = feed.orderBy(F.desc("action_date"), "instrument_name").limit(n)
+    return top.select(
+        "action_date", "status", "action_type",
+        text.prefix("instrument_name", chars).alias("headline"),
+        text.arrow_label("actor", "target").alias("actors"),
+    )
+
+
 def actions_by_type(fact_diplomatic_action: DataFrame) -> DataFrame:
     """Non-sanction actions per type (NULL types drop out of ``!=``)."""
     f = fact_diplomatic_action.where(F.col("action_type") != "sanction")
