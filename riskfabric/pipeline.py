@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from riskfabric import schemas
 from riskfabric.operators import store
+from riskfabric.session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -59,11 +60,15 @@ def run_source(spark: SparkSession, spec: SourceSpec, warehouse: str, run_ts: _d
     state_path = f"{warehouse.rstrip('/')}/_pipeline_state"
     try:
         batch = spec.build(spark)
+        if batch is not None:
+            # Normalise ONCE: stage the conformed batch under the shared checkpoint
+            # folder; the count, the merge and the last-date aggregate all read
+            # that copy (the count comes from parquet footers).
+            batch = materialize(schemas.conform(batch, spec.table), f"batch-{spec.name.lower()}")
         n = 0 if batch is None else batch.count()
         if n == 0:
             _write_state(spark, state_path, spec.name, 0, None, "partial", run_ts)
             return RunResult(spec.name, "partial", 0)
-        batch = schemas.conform(batch, spec.table)
         target = store.read_table(spark, table_path, spec.table)
         keys = schemas.PRIMARY_KEYS[spec.table]
         if spec.partition_by:
