@@ -335,14 +335,14 @@ def q_last_event_date(spark, sf_dir):
         F.max("event_date").alias("last_event_date"), F.count(F.lit(1)).alias("records"))
 
 
-@register("pipeline_state", with_fixtures(f"""
+@register("run_state", with_fixtures(f"""
 SELECT source_name, strftime(TIMESTAMP '{RUN_TS}', '%Y-%m-%d %H:%M') AS last_run, records_processed, status FROM (
   SELECT source_system AS source_name, cast(count(*) AS bigint) AS records_processed, 'success' AS status
   FROM fact_incident GROUP BY 1
   UNION ALL SELECT 'SEED', cast(count(*) AS bigint), 'success' FROM fact_diplomatic_action
   UNION ALL SELECT 'WB', cast(count(*) AS bigint), CASE WHEN count(*) = 0 THEN 'partial' ELSE 'success' END
   FROM fact_risk_indicator) s""", ["fact_incident", "fact_diplomatic_action", "fact_risk_indicator"]))
-def q_pipeline_state(spark, sf_dir):
+def q_run_state(spark, sf_dir):
     """K6 + T1: one state row per loaded source (upserted by source name), listed newest first."""
     from riskfabric import schemas
 
@@ -361,7 +361,7 @@ def q_pipeline_state(spark, sf_dir):
         F.col("records_processed").cast("long").alias("records_processed"),
         F.when(F.col("records_processed") == 0, "partial").otherwise("success").alias("status"))
     state = store.upsert(schemas.empty(spark, "_pipeline_state"), stage, ["source_name"])
-    return dashboard.pipeline_state(state)
+    return dashboard.run_state(state)
 
 
 @register("date_windows", with_fixtures("""
@@ -718,9 +718,12 @@ def q_table_counts(spark, sf_dir):
 
 @register("name_lookup_fuzzy")
 def q_name_lookup_fuzzy(spark, sf_dir):
-    """J11 with the fuzzy step on: every customer's nation name, misspelt by one edit, resolved to iso3.
+    """J11 with the fuzzy step on: every customer's nation name with its fourth letter replaced,
+    looked up by override → exact → fuzzy (same soundex code, at most two edits); names the
+    fuzzy step cannot place stay NULL.
 
-    No SQL oracle (the fuzzy ranking is an approximation); tests compare it with a brute-force edit-distance search.
+    No SQL oracle (the fuzzy ranking approximates a third-party search); tests/test_operators.py
+    checks the fuzzy step against a brute-force soundex + edit-distance search.
     """
     c = fixtures.read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = fixtures.read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")

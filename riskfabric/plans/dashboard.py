@@ -36,7 +36,7 @@ def _named(df: DataFrame, dim_country: DataFrame, key: str, name_alias: str) ->
 # ---------------------------------------------------------------------------
 
 
-def pipeline_state(state: DataFrame) -> DataFrame:
+def run_state(state: DataFrame) -> DataFrame:
     """Run-state rows, newest first, last run rendered to the minute."""
     return state.select(
         "source_name", dates.format_minute("last_run_utc").alias("last_run"), "records_processed", "status",

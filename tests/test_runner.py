@@ -4,7 +4,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from riskfabric import pipeline, schemas
+from riskfabric import runner, schemas
 from riskfabric.operators import store
 from riskfabric.sources import acled, seed
 from riskfabric.streaming import ingest
@@ -30,31 +30,31 @@ def test_run_sources_idempotent(spark, tmp_path):
                               "x,2017-01-23,USA,,withdrawal,trade,TPP Withdrawal Memorandum,,completed,u,AME,\n")
     countries = spark.createDataFrame([("TUR", "TR", "Turkey", "EU_EUR")], schemas.DIM_COUNTRY)
     specs = [
-        pipeline.SourceSpec("ACLED", "fact_incident",
+        runner.SourceSpec("ACLED", "fact_incident",
                             lambda s: bool(acled.regional_files(s, f"{raw}/acled")),
                             lambda s: acled.normalise(acled.read(s, f"{raw}/acled"), countries),
                             replace_source_system="ACLED", partition_by=["source_system"]),
-        pipeline.SourceSpec("SEED", "fact_diplomatic_action", lambda s: store.path_exists(s, f"{raw}/seed.csv"),
+        runner.SourceSpec("SEED", "fact_diplomatic_action", lambda s: store.path_exists(s, f"{raw}/seed.csv"),
                             lambda s: seed.normalise(seed.read(s, f"{raw}/seed.csv"))),
-        pipeline.SourceSpec("GDELT", "fact_news_pulse", lambda s: store.path_exists(s, f"{raw}/gdelt/*.json"),
+        runner.SourceSpec("GDELT", "fact_news_pulse", lambda s: store.path_exists(s, f"{raw}/gdelt/*.json"),
                             lambda s: None),
-        pipeline.SourceSpec("BROKEN", "fact_news_pulse", lambda s: True,
+        runner.SourceSpec("BROKEN", "fact_news_pulse", lambda s: True,
                             lambda s: (_ for _ in ()).throw(RuntimeError("boom"))),
     ]
     for _ in range(2):
-        res = pipeline.run(spark, specs, wh)
+        res = runner.run(spark, specs, wh)
         assert [(r.name, r.status) for r in res] == [("ACLED", "success"), ("SEED", "success"), ("BROKEN", "failed")]
     inc = spark.read.parquet(f"{wh}/fact_incident")
     assert inc.count() == 2 and inc.select("incident_id").distinct().count() == 2
     state = {r.source_name: r for r in spark.read.parquet(f"{wh}/_pipeline_state").collect()}
     assert set(state) == {"ACLED", "SEED", "BROKEN"}
     assert state["ACLED"].records_processed == 2 and str(state["ACLED"].last_event_date_ingested) == "2026-01-11"
-    counts = {r.table_name: r.rows for r in pipeline.table_counts(spark, wh).collect()}
+    counts = {r.table_name: r.rows for r in runner.table_counts(spark, wh).collect()}
     assert counts["fact_incident"] == 2 and counts["fact_diplomatic_action"] == 1 and counts["fact_news_pulse"] == 0
     # replace by source: a shorter re-delivery removes the week that is no longer delivered
     _write(f"{raw}/acled/Europe_aggregated_data_up_to-2026-01-31.csv", "\n".join([
         ACLED_HEADER, "2026-01-04,Europe,Turkey,Istanbul,Violence against civilians,Attack,4,5,,PV,47.0,41.0,29.0"]) + "\n")
-    pipeline.run(spark, specs[:1], wh)
+    runner.run(spark, specs[:1], wh)
     rows = spark.read.parquet(f"{wh}/fact_incident").collect()
     assert len(rows) == 1 and rows[0].event_count == 4
 
@@ -90,24 +90,24 @@ def test_bootstrap_and_evolution(spark, tmp_path):
     import pytest
 
     wh = str(tmp_path / "wh2")
-    first = pipeline.bootstrap(spark, wh)
+    first = runner.bootstrap(spark, wh)
     assert set(first) == set(schemas.TABLES)
     assert spark.read.parquet(f"{wh}/dim_region").count() == 7
     assert spark.read.parquet(f"{wh}/dim_event_type").count() == 9
-    pipeline.bootstrap(spark, wh)   # insert-or-ignore: seeding twice keeps one copy
+    runner.bootstrap(spark, wh)   # insert-or-ignore: seeding twice keeps one copy
     assert spark.read.parquet(f"{wh}/dim_source_system").count() == 7
     df = spark.createDataFrame([("a", None), ("b", 3)], "incident_id string, event_count int")
     assert [r.event_count for r in store.evolve_event_count(df).orderBy("incident_id").collect()] == [1, 3]
     assert store.evolve_event_count(df.drop("event_count")).first().event_count == 1
     today = dt.date(2026, 3, 4)
-    assert pipeline.validate_news_range(["gdelt"], None, None, today) == (dt.date(2025, 12, 5), today)
-    assert pipeline.validate_news_range(["gdelt"], dt.date(2026, 1, 1), None, today) == (dt.date(2026, 1, 1), today)
+    assert runner.validate_news_range(["gdelt"], None, None, today) == (dt.date(2025, 12, 5), today)
+    assert runner.validate_news_range(["gdelt"], dt.date(2026, 1, 1), None, today) == (dt.date(2026, 1, 1), today)
     with pytest.raises(ValueError, match="requires a start"):
-        pipeline.validate_news_range(["gdelt"], None, dt.date(2026, 1, 1), today)
+        runner.validate_news_range(["gdelt"], None, dt.date(2026, 1, 1), today)
     with pytest.raises(ValueError, match="after"):
-        pipeline.validate_news_range(["gdelt"], dt.date(2026, 2, 1), dt.date(2026, 1, 1), today)
+        runner.validate_news_range(["gdelt"], dt.date(2026, 2, 1), dt.date(2026, 1, 1), today)
     with pytest.raises(ValueError, match="selected"):
-        pipeline.validate_news_range(["seed"], dt.date(2026, 1, 1), None, today)
+        runner.validate_news_range(["seed"], dt.date(2026, 1, 1), None, today)
 
 
 def test_partition_scoped_commit(spark, tmp_path):
@@ -119,13 +119,13 @@ def test_partition_scoped_commit(spark, tmp_path):
 
     d = dt.date(2020, 1, 1)
     specs = lambda a, u: [
-        pipeline.SourceSpec("A", "fact_incident", lambda s: True, lambda s: mk(a), "ACLED", ["source_system"]),
-        pipeline.SourceSpec("U", "fact_incident", lambda s: True, lambda s: mk(u), None, ["source_system"]),
+        runner.SourceSpec("A", "fact_incident", lambda s: True, lambda s: mk(a), "ACLED", ["source_system"]),
+        runner.SourceSpec("U", "fact_incident", lambda s: True, lambda s: mk(u), None, ["source_system"]),
     ]
-    pipeline.run(spark, specs([("a1", "ACLED", d, 1)], [("u1", "UCDP_GED", d, 1)]), wh)
+    runner.run(spark, specs([("a1", "ACLED", d, 1)], [("u1", "UCDP_GED", d, 1)]), wh)
     acled_files = sorted(glob.glob(f"{wh}/fact_incident/source_system=ACLED/*.parquet"))
     # a UCDP-only load must leave the ACLED partition's files untouched
-    pipeline.run(spark, specs([], [("u1", "UCDP_GED", d, 5), ("u2", "UCDP_GED", d, 2)])[1:], wh)
+    runner.run(spark, specs([], [("u1", "UCDP_GED", d, 5), ("u2", "UCDP_GED", d, 2)])[1:], wh)
     assert sorted(glob.glob(f"{wh}/fact_incident/source_system=ACLED/*.parquet")) == acled_files
     rows = {r.incident_id: r.event_count for r in spark.read.parquet(f"{wh}/fact_incident").collect()}
     assert rows == {"a1": 1, "u1": 5, "u2": 2}
