@@ -23,7 +23,12 @@ from riskfabric import schemas
 from riskfabric.functions.ids import make_id
 
 
-_READERS: dict[tuple[int, str], DataFrame] = {}
+_READERS: dict[tuple, DataFrame] = {}
+
+
+def _session_key(spark: SparkSession) -> tuple:
+    """Cache key of a session: its application (a new SparkContext gets a new id) and object."""
+    return (spark.sparkContext.applicationId, id(spark))
 # Fact-sized inputs and their key, for spreading a scan that has too few splits.
 _SPREAD_KEY = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
@@ -41,9 +46,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     there. Projections and filters are still pushed below it into the scan.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (_session_key(spark), path)
     df = _READERS.get(key)
-    if df is None:
+    if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)
         if name in _SPREAD_KEY:
             par = spark.sparkContext.defaultParallelism
@@ -53,7 +58,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-_PLANS: dict[tuple[int, str, str], DataFrame] = {}
+_PLANS: dict[tuple, DataFrame] = {}
 
 
 def _cached(fn):
@@ -63,9 +68,9 @@ def _cached(fn):
 
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (id(spark), sf_dir, fn.__name__)
+        key = (_session_key(spark), sf_dir, fn.__name__)
         df = _PLANS.get(key)
-        if df is None:
+        if df is None or df.sparkSession is not spark:
             df = fn(spark, sf_dir)
             _PLANS[key] = df
         return df
