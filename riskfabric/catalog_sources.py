@@ -756,6 +756,8 @@ def q_incremental_events(spark, sf_dir):
         spark, sf_dir, ingest.EVENTS, scratch_path(spark, f"ingest/events-{run}"), ["event_id"],
         checkpoint=scratch_path(spark, f"ingest/events-{run}-ckpt"),
         options={"pathGlobFilter": "events.parquet"},
+        # partitioned by day: a micro-batch merges into and rewrites only the days it touches
+        partition_by=["event_day"], transform=ingest.with_event_day,
     )
     return ingest.daily_event_summary(table)
 

@@ -99,6 +99,11 @@ EVENTS = T.StructType([
 ])
 
 
+def with_event_day(events: DataFrame) -> DataFrame:
+    """Partition column for the ingested events: the event's calendar day (part of its identity)."""
+    return events.withColumn("event_day", F.col("ts").cast("date"))
+
+
 def daily_event_summary(events: DataFrame) -> DataFrame:
     """(day, event_type): event count, distinct users, value total — the check on an ingested table."""
     return events.groupBy(F.col("ts").cast("date").alias("day"), "event_type").agg(

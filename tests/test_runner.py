@@ -129,3 +129,24 @@ def test_partition_scoped_commit(spark, tmp_path):
     assert sorted(glob.glob(f"{wh}/fact_incident/source_system=ACLED/*.parquet")) == acled_files
     rows = {r.incident_id: r.event_count for r in spark.read.parquet(f"{wh}/fact_incident").collect()}
     assert rows == {"a1": 1, "u1": 5, "u2": 2}
+
+
+def test_streaming_partitioned_micro_batches(spark, tmp_path):
+    import datetime as dt
+
+    land, target, ckpt = str(tmp_path / "land2"), str(tmp_path / "t2"), str(tmp_path / "ckpt2")
+    os.makedirs(land)
+    schema = pa.schema([("event_id", pa.int64()), ("ts", pa.timestamp("us")), ("user_id", pa.int64()),
+                        ("event_type", pa.string()), ("value", pa.float64()), ("props", pa.string())])
+    d1, d2 = dt.datetime(2024, 1, 1, 9), dt.datetime(2024, 1, 2, 9)
+    batches = [[(1, d1, 1, "a", 1.0, "{}"), (2, d2, 1, "a", 1.0, "{}")],
+               [(1, d1, 1, "a", 7.0, "{}")],
+               [(3, d2, 2, "b", 3.0, "{}"), (2, d2, 1, "a", 9.0, "{}")]]
+    for i, rows in enumerate(batches):
+        cols = list(zip(*rows))
+        pq.write_table(pa.table([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema),
+                       f"{land}/f{i}.parquet")
+    out = ingest.ingest_files(spark, land, ingest.EVENTS, target, ["event_id"], checkpoint=ckpt,
+                              partition_by=["event_day"], transform=ingest.with_event_day, max_files_per_trigger=1)
+    got = {r.event_id: (r.value, str(r.event_day)) for r in out.collect()}
+    assert got == {1: (7.0, "2024-01-01"), 2: (9.0, "2024-01-02"), 3: (3.0, "2024-01-02")}
