@@ -26,7 +26,8 @@ def exact_lookup(df: DataFrame, col: str, table: DataFrame, key: str, value: str
                  normalise=None) -> DataFrame:
     """Left lookup ``out = table[value] where table[key] = norm(df[col])``."""
     norm = normalise or (lambda c: c)
-    t = table.select(F.col(key).alias("_lk_key"), F.col(value).alias(out)).dropDuplicates(["_lk_key"])
+    # one value per key; on duplicate keys the smallest value wins (deterministic)
+    t = table.groupBy(F.col(key).alias("_lk_key")).agg(F.min(value).alias(out))
     j = df.withColumn("_lk_probe", norm(F.col(col))).join(t, F.col("_lk_probe") == t["_lk_key"], "left")
     return j.drop("_lk_probe", "_lk_key")
 
@@ -121,8 +122,8 @@ def resolve_news_country(values: DataFrame, col: str, countries: DataFrame, fips
     d = values.select(F.col(col).alias("raw")).where(F.col("raw").isNotNull()).distinct()
     d = d.withColumn("code", F.upper(F.trim(F.col("raw"))))
     fp = fips.select(F.col("key").alias("code"), F.col("iso3").alias("fips_iso3"))
-    a2 = countries.where(F.col("iso2").isNotNull()).select(
-        F.upper(F.col("iso2")).alias("code"), F.col("iso3").alias("a2_iso3")).dropDuplicates(["code"])
+    a2 = countries.where(F.col("iso2").isNotNull()).groupBy(F.upper(F.col("iso2")).alias("code")).agg(
+        F.min("iso3").alias("a2_iso3"))
     r = d.join(fp, "code", "left").join(a2, "code", "left")
     by_code = r.select("raw", F.coalesce("fips_iso3", "a2_iso3").alias("code_iso3"))
     names = resolve_names(by_code.where(F.col("code_iso3").isNull()), "raw", countries, overrides, fuzzy)

@@ -44,7 +44,7 @@ def normalise(items: DataFrame, countries: DataFrame) -> DataFrame:
     f = f.withColumn("_a2", F.col("country.id"))
     special = lookup_table(spark, refdata.WB_SPECIAL_CODES, "code", "sp_iso3").drop("ord")
     a2 = countries.where(F.col("iso2").isNotNull()).select(F.upper("iso2").alias("code"),
-                                                            F.col("iso3").alias("a2_iso3")).dropDuplicates(["code"])
+                                                            F.col("iso3").alias("a2_iso3"))
     f = lookup.exact_lookup(f, "_a2", special, "code", "sp_iso3", "_sp")
     f = lookup.exact_lookup(f, "_a2", a2, "code", "a2_iso3", "_a2iso", normalise=F.upper)
     iso = F.when(F.col("_iso") != "", F.col("_iso")).otherwise(F.coalesce("_sp", "_a2iso", F.lit("")))
