@@ -11,8 +11,8 @@ merge semantics are DataFrame operations and the write is a staged, partition
   key; target columns *absent* from the stage keep their old value on replaced
   rows and take the table default on new rows; columns present in the stage
   overwrite, NULLs included.
-* ``replace_source`` — delete one source's rows, then upsert (one job, no window
-  where the table lacks the source).
+* ``replace_source`` — delete one source's rows, then upsert, as one merged
+  result that is committed in a single write.
 * ``insert_ignore`` — existing rows win; first row wins inside the batch.
 * ``commit_table`` — write the merged rows to a staging folder under the shared
   checkpoint directory (cuts lineage; survives executor loss), then overwrite only

@@ -21,9 +21,14 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in st if s.isFile())
 
 
-def read_csv_strings(spark: SparkSession, path: str, header: bool = True, **opts) -> DataFrame:
-    """CSV as all-string columns (no inference), with the file name attached."""
-    r = spark.read.option("header", header).option("inferSchema", False).option("multiLine", True)
+def read_csv_strings(spark: SparkSession, path: str, header: bool = True, multi_line: bool = False,
+                     **opts) -> DataFrame:
+    """CSV as all-string columns (no inference), with the file name attached.
+
+    ``multi_line`` allows quoted fields that span lines; it makes each file a
+    single split, so it is only turned on for sources whose fields need it.
+    """
+    r = spark.read.option("header", header).option("inferSchema", False).option("multiLine", multi_line)
     r = r.option("escape", '"')
     for k, v in opts.items():
         r = r.option(k, v)

@@ -15,8 +15,9 @@ SOURCE = "UCDP_GED"
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Plain or gzip CSV (splittable / codec-backed), all columns as strings."""
-    return read_csv_strings(spark, path)
+    """Plain or gzip CSV, all columns as strings. Free-text columns of this export may
+    hold quoted line breaks, so records may span lines (one split per file)."""
+    return read_csv_strings(spark, path, multi_line=True)
 
 
 def read_zip(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
