@@ -23,10 +23,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def read_zip(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """First ``.csv`` member of each zip archive, streamed out in Arrow batches.
 
-    Spark has no zip codec; each archive is one ``binaryFile`` row whose member
-    is decompressed inside a task by ``mapInPandas`` and emitted in chunks, so
-    neither the driver nor a single pandas frame holds the whole file. Prefer
-    unpacked or gzip CSV for large archives: those split across tasks.
+    Spark has no zip codec; each archive is one ``binaryFile`` row (the task
+    holds the compressed bytes of that one archive) whose CSV member is
+    decompressed inside the task by ``mapInPandas`` and emitted in 50,000-row
+    chunks, so the decompressed file is never held whole and nothing passes
+    through the driver. One archive is one task: prefer unpacked or gzip CSV for
+    large inputs.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
