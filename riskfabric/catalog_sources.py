@@ -654,36 +654,43 @@ def q_seed_normalise(spark, sf_dir):
                       "status", "confidence_flag")
 
 
+_WB_RAW_COLS = {
+    "countryiso3code": "CASE WHEN o_orderkey % 4 = 0 THEN '' "
+                       "ELSE lower(concat('N', lpad(cast(c_nationkey AS {s}), 2, '0'))) END",
+    "country_id": "CASE WHEN c_nationkey % 8 = 0 THEN 'XK' ELSE substring(n_name, 1, 2) END",
+    "date": "CASE WHEN o_orderkey % 5 = 0 THEN '19x7' ELSE cast(year(o_orderdate) AS {s}) END",
+    "value": "CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_totalprice END",
+    "unit": "CASE WHEN o_orderstatus = 'F' THEN NULL ELSE 'u' END",
+    "indicator_code": "CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'SP.POP.TOTL' "
+                      "WHEN '2' THEN 'MS.MIL.XPND.GD.ZS' ELSE 'NY.GDP.PCAP.CD' END",
+}
+
+
 @register("world_bank_normalise", with_fixtures("""
-SELECT CASE WHEN upper(coalesce(ciso, '')) <> '' THEN upper(ciso)
-            ELSE coalesce(CASE a2 WHEN 'KV' THEN 'XKX' WHEN 'XK' THEN 'XKX' END,
-                          (SELECT d.iso3 FROM dim_country d WHERE upper(d.iso2) = upper(a2)), '') END AS country_iso3,
-       make_date(cast(dt AS int), 1, 1) AS period_start, code AS indicator_code,
-       CASE code WHEN 'SP.POP.TOTL' THEN 'population_total' WHEN 'MS.MIL.XPND.GD.ZS' THEN 'military_exp_pct_gdp' END
-         AS indicator_name, v AS value, coalesce(unit, '') AS unit
-FROM (
-  SELECT CASE WHEN n_nationkey % 4 = 0 THEN '' ELSE lower(concat('N', lpad(cast(n_nationkey AS varchar(20)), 2, '0'))) END AS ciso,
-         CASE WHEN n_nationkey % 8 = 0 THEN 'XK' ELSE substring(n_name, 1, 2) END AS a2,
-         CASE WHEN y = 1997 AND n_nationkey % 5 = 0 THEN '19x7' ELSE cast(y AS varchar) END AS dt,
-         CASE WHEN y = 1999 AND n_nationkey = 3 THEN NULL ELSE cast(n_nationkey * 1000 + y AS double) END AS v,
-         CASE WHEN y = 1995 THEN NULL ELSE 'u' END AS unit, code
-  FROM nation CROSS JOIN (VALUES (1995), (1996), (1997), (1998), (1999)) ys(y)
-  CROSS JOIN (VALUES ('SP.POP.TOTL'), ('MS.MIL.XPND.GD.ZS')) cs(code)) r
-WHERE v IS NOT NULL AND regexp_full_match(dt, '[0-9]+')""", ["dim_country"]))
+SELECT CASE WHEN upper(coalesce(countryiso3code, '')) <> '' THEN upper(countryiso3code)
+            ELSE coalesce(CASE country_id WHEN 'KV' THEN 'XKX' WHEN 'XK' THEN 'XKX' END,
+                          (SELECT min(d.iso3) FROM dim_country d WHERE upper(d.iso2) = upper(country_id)), '') END
+         AS country_iso3,
+       make_date(cast(date AS int), 1, 1) AS period_start, indicator_code,
+       CASE indicator_code WHEN 'SP.POP.TOTL' THEN 'population_total' WHEN 'NY.GDP.PCAP.CD' THEN 'gdp_per_capita_usd'
+            WHEN 'MS.MIL.XPND.GD.ZS' THEN 'military_exp_pct_gdp' END AS indicator_name,
+       value, coalesce(unit, '') AS unit
+FROM (SELECT """ + ", ".join(f"{e.format(s='varchar')} AS {k}" for k, e in _WB_RAW_COLS.items()) + """
+      FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) r
+WHERE value IS NOT NULL AND regexp_full_match(date, '[0-9]+')""", ["dim_country"]))
 def q_world_bank_normalise(spark, sf_dir):
-    """P4 + F3 over one raw observation per (nation, year, indicator): iso3 fallback chain, year filter, names."""
+    """P4 + F3 over one raw indicator observation per order: iso3 fallback chain (item code, special
+    codes, alpha-2 lookup, ''), value and all-digit-year filter, period start, indicator names."""
     wh = _wh(spark, sf_dir)
-    n = fixtures.read_table(spark, sf_dir, "nation")
-    grid = n.select("n_nationkey", "n_name", F.explode(F.sequence(F.lit(1995), F.lit(1999))).alias("y")).select(
-        "*", F.explode(F.array(F.lit("SP.POP.TOTL"), F.lit("MS.MIL.XPND.GD.ZS"))).alias("indicator_code"))
-    raw = grid.select(
-        F.expr("CASE WHEN n_nationkey % 4 = 0 THEN '' ELSE lower(concat('N', lpad(cast(n_nationkey AS string), 2, '0'))) END")
-        .alias("countryiso3code"),
-        F.struct(F.expr("CASE WHEN n_nationkey % 8 = 0 THEN 'XK' ELSE substring(n_name, 1, 2) END").alias("id")).alias("country"),
-        F.expr("CASE WHEN y = 1997 AND n_nationkey % 5 = 0 THEN '19x7' ELSE cast(y AS string) END").alias("date"),
-        F.expr("CASE WHEN y = 1999 AND n_nationkey = 3 THEN NULL ELSE cast(n_nationkey * 1000 + y AS double) END").alias("value"),
-        F.expr("CASE WHEN y = 1995 THEN NULL ELSE 'u' END").alias("unit"),
-        "indicator_code",
+    o = fixtures.read_table(spark, sf_dir, "orders")
+    c = fixtures.read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = fixtures.read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
+    cols = {k: F.expr(e.format(s="string")) for k, e in _WB_RAW_COLS.items()}
+    raw = j.select(
+        cols["countryiso3code"].alias("countryiso3code"), F.struct(cols["country_id"].alias("id")).alias("country"),
+        cols["date"].alias("date"), cols["value"].cast("double").alias("value"), cols["unit"].alias("unit"),
+        cols["indicator_code"].alias("indicator_code"),
     )
     out = world_bank.normalise(raw, wh.dim_country)
     return out.select("country_iso3", "period_start", "indicator_code", "indicator_name", "value", "unit")
