@@ -161,7 +161,8 @@ def backfill_report(dim_country: DataFrame, fact: DataFrame) -> DataFrame:
     """Assigned/total region counts for the dimension and the fact."""
     d = dim_country.agg(F.count("region_code").alias("dim_assigned"), F.count(F.lit(1)).alias("dim_total"))
     f = fact.agg(F.struct(F.count("region_code").alias("a"), F.count(F.lit(1)).alias("t")).alias("s")).scalar()
-    return d.select("dim_assigned", "dim_total", f["a"].alias("fact_assigned"), f["t"].alias("fact_total"))
+    d = d.withColumn("_f", f)   # the subquery is projected once, then read field by field
+    return d.select("dim_assigned", "dim_total", F.col("_f.a").alias("fact_assigned"), F.col("_f.t").alias("fact_total"))
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

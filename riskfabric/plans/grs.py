@@ -147,11 +147,11 @@ def grs_monthly(
     # Spark runs it once and inlines the value, so no cross join and no driver
     # round trip is needed.
     bounds = norm_bounds(comb)
-    b = bounds.select(F.struct(*bounds.columns).alias("b")).scalar()
-    c = comb
+    # project the subquery once; every score reads fields of that one column
+    c = comb.withColumn("_bounds", bounds.select(F.struct(*bounds.columns).alias("b")).scalar())
 
     def bnd(s: str):
-        return b[f"min_{s}"], b[f"max_{s}"]
+        return F.col(f"_bounds.min_{s}"), F.col(f"_bounds.max_{s}")
 
     inc = scoring.minmax(F.coalesce("incident_rate_100k", F.lit(0.0)), *bnd("inc"))
     fat = scoring.minmax(F.coalesce("fatality_rate_100k", F.lit(0.0)), *bnd("fat"))
