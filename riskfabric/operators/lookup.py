@@ -131,6 +131,24 @@ def resolve_news_country(values: DataFrame, col: str, countries: DataFrame, fips
     return out.select("raw", F.coalesce("code_iso3", "name_iso3").alias("iso3"))
 
 
+def news_country_to_iso3(df: DataFrame, col: str, countries: DataFrame, fips: DataFrame, overrides: DataFrame,
+                         out: str = "country_focus_iso3", fuzzy: bool = False) -> DataFrame:
+    """``out`` = iso3 of a source-country value: FIPS extras → ISO alpha-2 → country name.
+
+    Single pass: the FIPS list, the alpha-2 table and the name tables are all
+    bounded and size-checked before being broadcast. FIPS wins where codes clash
+    with alpha-2 (e.g. ``CH`` → CHN, ``IS`` → ISR).
+    """
+    code = F.upper(F.trim(F.col(col)))
+    fp = _bounded(fips.select(F.col("key").alias("_nc_code"), F.col("iso3").alias("_nc_fips")))
+    a2 = _bounded(countries.where(F.col("iso2").isNotNull()).groupBy(F.upper(F.col("iso2")).alias("_nc_code"))
+                  .agg(F.min("iso3").alias("_nc_a2")))
+    j = df.withColumn("_nc_code", code).join(fp, "_nc_code", "left").join(a2, "_nc_code", "left")
+    j = name_to_iso3(j, col, countries, overrides, "_nc_name", fuzzy)
+    return j.withColumn(out, F.coalesce("_nc_fips", "_nc_a2", "_nc_name")).drop("_nc_code", "_nc_fips", "_nc_a2",
+                                                                               "_nc_name")
+
+
 def resolve_prefix(values: DataFrame, col: str, mapping: DataFrame) -> DataFrame:
     """Distinct codes → value by exact key, else the first key (map order) that is a prefix.
 

@@ -52,6 +52,5 @@ def normalise(articles: DataFrame, countries: DataFrame, overrides: DataFrame |
     )
     out = dedupe_first(out, ["item_id"], ["_source_file", "_pos"])
     fips = lookup_table(spark, refdata.FIPS_EXTRA, "key", "iso3")
-    resolved = lookup.resolve_news_country(out, "_src_country", countries, fips, ov)
-    out = lookup.attach(out, "_src_country", resolved, "country_focus_iso3")
+    out = lookup.news_country_to_iso3(out, "_src_country", countries, fips, ov, "country_focus_iso3")
     return schemas.conform(out, "fact_news_pulse")
