@@ -805,3 +805,63 @@ def q_weekly_timeline_region_sql(spark, sf_dir):
     prefix = f"rf_{abs(hash(sf_dir)) % 10**8}_"
     sql.register_views(spark, {"fact_incident": fixtures.fact_incident(spark, sf_dir)}, prefix)
     return sql.query(spark, sql.WEEKLY_TIMELINE_REGION.format(p=prefix), [D0, D1, "ASIA"])
+
+
+# ---------------------------------------------------------------------------
+# Manual weekly backfill (S2, P2, F5) and indicator load summary
+# ---------------------------------------------------------------------------
+
+_MANUAL_RAW_COLS = {
+    "country_iso3": "concat(' ', lower(concat('N', lpad(cast(c_nationkey AS {s}), 2, '0'))), ' ')",
+    "week_start": "cast(date_add(DATE '2026-01-01', cast(o_orderkey % 59 AS int)) AS {s})",
+    "event_type": "concat(o_orderpriority, ' #', cast(o_orderkey AS {s}))",
+    "sub_event_type": "CASE WHEN o_orderstatus = 'F' THEN '' ELSE o_orderstatus END",
+    "event_count": "cast(cast(floor(o_totalprice / 1000) AS int) AS {s})",
+    "fatalities_best": "concat(cast(o_custkey % 50 AS {s}), '.0')",
+    "source_url": "CASE WHEN o_orderstatus = 'O' THEN NULL ELSE concat('https://src.example/', cast(o_orderkey AS {s})) END",
+    "notes": "' '",
+}
+
+
+def _manual_raw_df(spark, sf_dir) -> DataFrame:
+    o = fixtures.read_table(spark, sf_dir, "orders")
+    c = fixtures.read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    return j.select(*[F.expr(e.format(s="string")).alias(k) for k, e in _MANUAL_RAW_COLS.items()])
+
+
+@register("acled_manual_normalise", f"""
+SELECT source_event_id, {_make_id_sql("'ACLED_MANUAL'", "source_event_id")} AS incident_id, event_date, country_iso3,
+       event_type, sub_event_type, event_count, fatalities_best, notes, source_urls
+FROM (
+  SELECT concat_ws('|', strftime(wk, '%Y-%m-%d'), iso, et) AS source_event_id, wk AS event_date, iso AS country_iso3,
+         et AS event_type, nullif(trim(sub_event_type), '') AS sub_event_type,
+         cast(round_even(try_cast(event_count AS double), 0) AS int) AS event_count,
+         cast(round_even(try_cast(fatalities_best AS double), 0) AS int) AS fatalities_best,
+         nullif(trim(notes), '') AS notes, nullif(trim(source_url), '') AS source_urls
+  FROM (
+    SELECT *, try_strptime(week_start, '%Y-%m-%d')::date AS wk, upper(trim(coalesce(country_iso3, ''))) AS iso,
+           trim(coalesce(event_type, '')) AS et
+    FROM (SELECT """ + ", ".join(f"{e.format(s='varchar')} AS {k}" for k, e in _MANUAL_RAW_COLS.items()) + """
+          FROM orders JOIN customer ON o_custkey = c_custkey) r) a) b""")
+def q_acled_manual_normalise(spark, sf_dir):
+    """One manual weekly row per order through the fail-fast rules (one aggregate job plus a
+    grouped duplicate-key check), then the canonical projection with ids."""
+    from riskfabric.sources import acled_manual
+
+    out = acled_manual.normalise(_manual_raw_df(spark, sf_dir))
+    return out.select("source_event_id", "incident_id", "event_date", "country_iso3", "event_type", "sub_event_type",
+                      "event_count", "fatalities_best", "notes", "source_urls")
+
+
+@register("indicator_summary", """
+SELECT count(*) AS rows, count(DISTINCT indicator_code) AS indicators FROM (
+  SELECT CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'SP.POP.TOTL' WHEN '2' THEN 'MS.MIL.XPND.GD.ZS'
+              ELSE 'NY.GDP.PCAP.CD' END AS indicator_code,
+         CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_totalprice END AS value,
+         CASE WHEN o_orderkey % 5 = 0 THEN '19x7' ELSE cast(year(o_orderdate) AS varchar) END AS date
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) r
+WHERE value IS NOT NULL AND regexp_full_match(date, '[0-9]+')""")
+def q_indicator_summary(spark, sf_dir):
+    """Rows loaded and distinct indicators, over the normalised indicator observations."""
+    return world_bank.indicator_summary(q_world_bank_normalise(spark, sf_dir))
