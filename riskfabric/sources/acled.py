@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskfabric import refdata, schemas
 from riskfabric.functions import ids, text
 from riskfabric.operators import lookup
-from riskfabric.sources.common import list_files, overrides_df, read_csv_strings, require_columns, union_all
+from riskfabric.sources.common import list_files, overrides_df, read_csv_strings, union_all
 
 SOURCE = "ACLED"
 
@@ -19,21 +19,47 @@ def regional_files(spark: SparkSession, raw_dir: str) -> list[str]:
     return [f for f in files if not f.rsplit("/", 1)[-1].startswith(refdata.ACLED_SUMMARY_PREFIX)]
 
 
+def _header_line(spark: SparkSession, path: str) -> str:
+    """First line of a file through the Hadoop FS (reads a few bytes, not the file)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
 def read(spark: SparkSession, raw_dir: str) -> DataFrame | None:
-    """All regional files, headers trimmed and upper-cased per file, required columns checked per file.
+    """All regional files, headers trimmed and upper-cased, required columns checked per file.
 
-    Files are read one by one only to normalise their headers (which may differ
-    in case and order); the data itself is read by Spark tasks and unioned by name.
+    Files are grouped by their normalised header (read from each file's first
+    line only); each group is ONE multi-file read, so the usual case — every
+    region with the same header — is a single scan however many files there
+    are. Groups with different column order or case are unioned by name.
     """
-    frames = []
+    import csv
+
+    groups: dict[tuple[str, ...], list[str]] = {}
     for path in regional_files(spark, raw_dir):
-        df = read_csv_strings(spark, path)
-        df = df.toDF(*[c if c == "_source_file" else c.strip().upper() for c in df.columns])
-        require_columns(df, refdata.ACLED_REQUIRED, path.rsplit("/", 1)[-1])
-        frames.append(df)
+        raw_cols = next(csv.reader([_header_line(spark, path)]), [])
+        cols = tuple(c.strip().upper() for c in raw_cols)
+        require_columns_list(cols, path.rsplit("/", 1)[-1])
+        groups.setdefault(cols, []).append(path)
+    frames = []
+    for cols, paths in groups.items():
+        df = read_csv_strings(spark, paths)
+        frames.append(df.toDF(*[c if c == "_source_file" else c.strip().upper() for c in df.columns]))
     return union_all(frames) if frames else None
 
 
+def require_columns_list(cols: tuple[str, ...], what: str) -> None:
+    missing = sorted(set(refdata.ACLED_REQUIRED) - set(cols))
+    if missing:
+        raise ValueError(f"{what} is missing required columns: {missing}")
+
+
 def normalise(raw: DataFrame, countries: DataFrame, overrides: DataFrame | None = None,
               fuzzy: bool = False) -> DataFrame:
     """Canonical incident rows; rows with an unparseable week or a missing/negative count are dropped."""

@@ -219,3 +219,19 @@ def test_seed_ids(spark, tmp_path):
     r = seed.normalise(seed.read(spark, p)).first()
     assert r["action_id"] == "c967b4d5-93a8-b439-7003-f58b2012423a"
     assert r["action_date"] == dt.date(2017, 1, 23) and r["confidence_flag"] == "HIGH" and r["target_iso3"] is None
+
+
+def test_acled_files_with_different_headers(spark, tmp_path, countries):
+    d = str(tmp_path / "acled4")
+    row = "2026-01-04,Europe,Turkey,Istanbul,Violence against civilians,Attack,3,5,,PV,47.0,41.0,29.0"
+    _write(f"{d}/Europe_aggregated_data_up_to-2026-01-31.csv", ACLED_HEADER + "\n" + row + "\n")
+    _write(f"{d}/Asia_aggregated_data_up_to-2026-01-31.csv", ACLED_HEADER + "\n" + row.replace("Istanbul", "Izmir") + "\n")
+    # same columns, lower case and a different order
+    cols = ACLED_HEADER.lower().split(",")
+    vals = "2026-01-11,Europe,Turkey,Ankara,Protests,Peaceful protest,2,0,,D,48,39.9,32.8".split(",")
+    order = list(reversed(range(len(cols))))
+    _write(f"{d}/Africa_aggregated_data_up_to-2026-01-31.csv",
+           ",".join(cols[i] for i in order) + "\n" + ",".join(vals[i] for i in order) + "\n")
+    out = {r.admin1: r for r in acled.normalise(acled.read(spark, d), countries).collect()}
+    assert set(out) == {"Istanbul", "Izmir", "Ankara"}
+    assert out["Ankara"].event_count == 2 and out["Ankara"].event_type == "Protests"
