@@ -208,12 +208,8 @@ def commit_table(spark: SparkSession, merged: DataFrame, path: str, partition_by
     n = staged.count()
     out = staged.write.mode("overwrite")
     if partition_by:
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            out.partitionBy(*partition_by).parquet(path)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        # per-write option: replace only the partitions present in the staged rows
+        out.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     else:
         out.parquet(path)
     _delete(spark, staging)
