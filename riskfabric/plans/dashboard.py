@@ -155,7 +155,7 @@ def grs_top_movers(grs: DataFrame, dim_country: DataFrame, n: int = 12) -> DataF
 
 
 def grs_movers_direction(movers: DataFrame) -> DataFrame:
-    """Direction label from the sign of the change."""
+    """Direction label from the sign of the displayed (rounded) change."""
     return movers.withColumn("direction", scoring.direction(F.col("delta")))
 
 
