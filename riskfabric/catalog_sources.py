@@ -357,7 +357,7 @@ def q_run_state(spark, sf_dir):
                 .select(F.lit("WB").alias("source_name"), "*"))
     stage = rows[0].unionByName(rows[1]).unionByName(rows[2])
     stage = stage.select(
-        "source_name", F.lit(RUN_TS).alias("last_run_utc"), "last_event_date_ingested",
+        "source_name", F.lit(RUN_TS).cast("timestamp_ntz").alias("last_run_utc"), "last_event_date_ingested",
         F.col("records_processed").cast("long").alias("records_processed"),
         F.when(F.col("records_processed") == 0, "partial").otherwise("success").alias("status"))
     state = store.upsert(schemas.empty(spark, "_pipeline_state"), stage, ["source_name"])

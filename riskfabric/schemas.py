@@ -32,8 +32,9 @@ DIM_SOURCE_SYSTEM = _struct(
     ("source_system_code", S), ("display_name", S), ("url", S), ("access_method", S),
     ("coverage_start", D), ("coverage_end", D), ("notes", S),
 )
+# last_run_utc is a zone-less UTC wall-clock time (rendering does not depend on the session zone)
 PIPELINE_STATE = _struct(
-    ("source_name", S), ("last_run_utc", TS), ("last_event_date_ingested", D),
+    ("source_name", S), ("last_run_utc", T.TimestampNTZType()), ("last_event_date_ingested", D),
     ("records_processed", LNG), ("status", S),
 )
 
