@@ -72,3 +72,11 @@ def test_arrow_label_and_split(spark):
     d = spark.createDataFrame([("A - B",), ("Solo",), ("",)], "x string")
     got = d.select(text.blank_to_null(text.split_part("x", " - ", 0)), text.blank_to_null(text.split_part("x", " - ", 1))).collect()
     assert [tuple(r) for r in got] == [("A", "B"), ("Solo", None), (None, None)]
+
+
+def test_calendar_spine_size(spark):
+    from riskfabric.sources import dims
+
+    cal = dims.calendar(spark)
+    r = cal.agg(F.count(F.lit(1)).alias("n"), F.min("date_key").alias("lo"), F.max("date_key").alias("hi")).first()
+    assert (r.n, r.lo, r.hi) == (7670, dt.date(2010, 1, 1), dt.date(2030, 12, 31))
