@@ -59,7 +59,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     and is used as is. A scratch folder is created only when the session has none,
     which happens in local tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — Spark Connect: read the setting from the session conf
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="riskfabric-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -28,7 +28,10 @@ _READERS: dict[tuple, DataFrame] = {}
 
 def _session_key(spark: SparkSession) -> tuple:
     """Cache key of a session: its application (a new SparkContext gets a new id) and object."""
-    return (spark.sparkContext.applicationId, id(spark))
+    try:
+        return (spark.sparkContext.applicationId, id(spark))
+    except Exception:  # noqa: BLE001 — sessions without a local SparkContext (Spark Connect)
+        return ("remote", id(spark))
 # Fact-sized inputs and their key, for spreading a scan that has too few splits.
 _SPREAD_KEY = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
@@ -51,9 +54,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)
         if name in _SPREAD_KEY:
-            par = spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < par:
-                df = df.repartition(par, _SPREAD_KEY[name])
+            try:
+                par = spark.sparkContext.defaultParallelism
+                if df.rdd.getNumPartitions() < par:
+                    df = df.repartition(par, _SPREAD_KEY[name])
+            except Exception:  # noqa: BLE001 — no split information (Spark Connect): read as is
+                pass
         _READERS[key] = df
     return df
 
