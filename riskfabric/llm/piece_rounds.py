@@ -31,7 +31,7 @@ MARK = "▁"
 #: Segments of more symbols are merged through a heap, one by one.
 LONG_SEGMENT = 256
 #: Segments kept a worker process; the table is emptied when it is full.
-MOST_SEGMENTS = 200_000
+MOST_SEGMENTS = 400_000
 _NONE = np.int32(1 << 30)
 
 
@@ -50,6 +50,10 @@ class Model:
         self.by_byte = self.bytes[0] != self.unk
         # A symbol is a piece's id or, for a character that is no piece, -1 - its code point.
         self.ids = {p: i for i, p in piece.items()}
+        self.of_char = -1 - np.arange(0x110000, dtype=np.int64)
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.of_char[ord(p)] = i
         order = sorted(normal, key=lambda i: (-sp.get_score(i), i))
         self.rank = np.full(n, _NONE, np.int32)
         self.rank[order] = np.arange(len(order), dtype=np.int32)
@@ -83,12 +87,11 @@ class Model:
         """A part of a piece as a symbol; None if merging can't have made it."""
         return self.ids.get(text, -1 - ord(text) if len(text) == 1 else None)
 
-    def symbols(self, segment: str) -> list[int]:
-        """A segment's characters as symbols."""
-        get = self.ids.get
-        return [get(c, -1 - ord(c)) for c in segment]
+    def symbols(self, text: str) -> np.ndarray:
+        """The characters of a text as symbols."""
+        return self.of_char[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
 
-    def final(self, symbols) -> list[int]:
+    def final(self, symbols: list[int]) -> list[int]:
         """Ids of what is left: characters outside the vocabulary become their bytes."""
         out = []
         for s in symbols:
@@ -106,38 +109,29 @@ class Model:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.made[at], -1)
 
-    def merge_rounds(self, segments: list[list[int]]) -> list[list[int]]:
-        """All segments' symbols after the last merge."""
-        lengths = np.array([len(s) for s in segments], np.int64)
-        out: list[list[int]] = [[]] * len(segments)
-        flat = np.array([x for s in segments for x in s], np.int64)
-        owner = np.repeat(np.arange(len(segments)), lengths)
-        made = self._pairs(flat, owner)
+    def merge_rounds(self, flat: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols and their segments (ascending numbers) after the last merge, in the same order."""
+        ended, owners = [], []
+        flat, made = flat.copy(), self._pairs(flat, owner)
         while len(flat):
             ranks = np.where(made >= 0, self.rank[np.maximum(made, 0)], _NONE)
             first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            best = np.minimum.reduceat(ranks, first)
-            done = np.repeat(best == _NONE, np.diff(np.r_[first, len(flat)]))
-            if done.any():
-                ended, own = flat[done], owner[done]
-                cut = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                for k, part in zip(own[cut].tolist(), np.split(ended, cut[1:]), strict=True):
-                    out[k] = part.tolist()
-                flat, owner, made, ranks = flat[~done], owner[~done], made[~done], ranks[~done]
-                best = best[best != _NONE]
+            sizes = np.diff(np.r_[first, len(flat)])
+            best = np.repeat(np.minimum.reduceat(ranks, first), sizes)
+            going = best != _NONE
+            if not going.all():
+                ended.append(flat[~going])
+                owners.append(owner[~going])
+                flat, owner, made, ranks, best = flat[going], owner[going], made[going], ranks[going], best[going]
                 if not len(flat):
                     break
-                first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            sizes = np.diff(np.r_[first, len(flat)])
-            hit = np.flatnonzero(ranks == np.repeat(best, sizes))
+            hit = np.flatnonzero(ranks == best)
             # Leftmost first: of a run of overlapping pairs, every other one.
             run = np.flatnonzero(np.r_[True, np.diff(hit) != 1])
             place = np.arange(len(hit)) - np.repeat(run, np.diff(np.r_[run, len(hit)]))
-            take = place % 2 == 0
             own = owner[hit]
             lead = np.r_[True, own[1:] != own[:-1]]
-            take &= lead | ~self.alone[made[hit]]
-            hit = hit[take]
+            hit = hit[(place % 2 == 0) & (lead | ~self.alone[made[hit]])]
             flat[hit] = made[hit]
             keep = np.ones(len(flat), bool)
             keep[hit + 1] = False
@@ -145,12 +139,16 @@ class Model:
             new = np.zeros(len(flat), bool)
             new[hit] = True
             flat, owner, made, new = flat[keep], owner[keep], made[keep], new[keep]
+            new[:-1] |= new[1:]
             at = np.flatnonzero(new)
-            at = np.unique(np.r_[at, at[at > 0] - 1])
-            nxt = np.minimum(at + 1, len(flat) - 1)
-            joined = (nxt > at) & (owner[nxt] == owner[at])
-            made[at] = np.where(joined, self._look(flat[at], flat[nxt]), -1)
-        return out
+            after = np.minimum(at + 1, len(flat) - 1)
+            joined = (after > at) & (owner[after] == owner[at])
+            made[at] = np.where(joined, self._look(flat[at], flat[after]), -1)
+        if not ended:
+            return flat, owner
+        flat, owner = np.concatenate(ended), np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return flat[order], owner[order]
 
     def _pairs(self, flat: np.ndarray, owner: np.ndarray) -> np.ndarray:
         made = np.full(len(flat), -1, np.int64)
@@ -193,11 +191,19 @@ class Model:
             self.known.clear()
         known = self.known
         new = list(set().union(*cut).difference(known)) if cut else []
-        spelt = [self.symbols(s) for s in new]
-        short = [k for k, s in enumerate(spelt) if len(s) <= LONG_SEGMENT]
-        merged = dict(zip(short, self.merge_rounds([spelt[k] for k in short]), strict=True))
-        for k, s in enumerate(spelt):
-            known[new[k]] = np.array(self.final(merged[k] if k in merged else self.merge_heap(s)), np.int32).tobytes()
+        short = [w for w in new if len(w) <= LONG_SEGMENT]
+        sizes = np.array([len(w) for w in short], np.int64)
+        flat, owner = self.merge_rounds(self.symbols("".join(short)), np.repeat(np.arange(len(short)), sizes))
+        stops = np.searchsorted(owner, np.arange(1, len(short) + 1)).tolist()
+        data, at = flat.astype(np.int32).tobytes(), 0
+        for w, stop in zip(short, stops, strict=True):
+            known[w] = data[at * 4 : stop * 4]
+            at = stop
+        for k in np.unique(owner[flat < 0]).tolist():
+            known[short[k]] = np.array(self.final(np.frombuffer(known[short[k]], np.int32).tolist()), np.int32).tobytes()
+        for w in new:
+            if len(w) > LONG_SEGMENT:
+                known[w] = np.array(self.final(self.merge_heap(self.symbols(w).tolist())), np.int32).tobytes()
         get = known.__getitem__
         out = [np.frombuffer(b"".join(map(get, c)) + end, np.int32) for c in cut]
         for s in new:
