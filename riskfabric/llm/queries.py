@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfabric.catalog import Query
-from riskfabric.llm import elias_fano, exact_sort, harmonic_pack, piece_rounds, token_counts
+from riskfabric.llm import elias_fano, exact_sort, harmonic_pack, parity_join, piece_rounds, token_counts, toxicity
 
 _QUERIES: dict[str, Query] = {}
 
@@ -31,6 +31,15 @@ def registry() -> dict[str, Query]:
     return _QUERIES | {"pipeline": Query("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL, "The corpus pipeline.")}
 
 
+@_register("op1_noisy_channel_toxicity")
+def op1_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document, learnt from the labels outside the held-out fifth."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, toxicity.training_labels(_table(spark, sf_dir, "labels")))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", F.size("toxic_words").alias("n_toxic_words"))
+
+
 @_register("op2_content_sort", exact_sort.SQL)
 def op2_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts after lower-casing A-Z; the largest doc_id of each stays."""
@@ -43,6 +52,12 @@ def op4_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
     return elias_fano.encode_and_read(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@_register("op5_parity_sketch_join", parity_join.SQL)
+def op5_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle-set sizes and the components of near duplicates."""
+    return parity_join.jaccard_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @_register("op8_merge_rounds")
 def op8_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every document, with an end id, and the text that they decode to."""
