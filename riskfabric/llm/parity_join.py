@@ -15,12 +15,17 @@ number, then empty ones. So a class sends the first D + 1 pairs as keys, with D
 any partner's size; a class that may have a partner in the next band sends keys of that
 band as well. Every linked pair shares a key.
 
-*Candidates.* Within a key, classes are first compared with the key's smallest class only
-(a star, so that large groups of near copies need few comparisons); the links found are
-joined into components. The remaining candidates are the pairs of a key that lie in
-different components, of which one member lies outside its star's component. They are
-compared too, hence no link between two components is missed. A one-bit parity sketch of the
-whole set (bits, not hashes) rejects most candidates; the others are verified on their texts.
+Any order that is the same for all documents will do, so keys that very many sets share (a
+common passage or line) go last: the sets' pass also counts all keys in a fixed number of slots,
+and the slots with high counts form a bit set of a fixed size that every worker gets.
+
+*Candidates.* Sets are first compared with one or a few others of their keys (the smallest,
+then neighbours), a round at a time, and the links found are joined into components, so that a
+large group of near copies needs few comparisons. The remaining candidates are the pairs of
+a key that lie in different components, of which one lies outside the component that most
+sets of the key are in. All of them are compared, so no link between two components is missed. A
+one-bit parity sketch of the whole set (bits, not hashes) rejects most candidates; the others
+are verified on their texts.
 
 Defined results: null and empty texts, and texts of white space, have an empty set and no
 links; fewer than five words are one shingle; repeated rows are copies of each other; a null
@@ -41,7 +46,11 @@ from riskfabric.llm.common import map_arrow, scratch_table, slices, texts_of
 
 WORDS = 5
 #: Places of a band's sketch for each shingle of its largest set.
-PLACES_PER_SHINGLE = 0.5
+PLACES_PER_SHINGLE = 0.4
+#: Slots in which keys are counted, and the count (over the mean, fourfold) from which a slot's keys go last.
+SLOTS, HOT = 1 << 24, 16
+#: Rounds in which a set is compared with single others before all remaining candidates are.
+ROUNDS = 3
 _U = np.uint64
 
 
@@ -144,8 +153,11 @@ def _most_different(n: np.ndarray, partner: np.ndarray) -> np.ndarray:
     return (n + partner) // 9
 
 
-def sketch_keys(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray, up: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, documents) of each document's band or, with ``up``, of the next band for those near it."""
+def sketch_keys(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray, up: bool, hot: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, documents) of each document's band or, with ``up``, of the next band for those near it.
+
+    ``hot`` holds a bit for each slot whose keys go last; without it, the keys of all places with shingles.
+    """
     band = _band(np.maximum(sizes, 1)) + (1 if up else 0)
     top = (2 << band.astype(np.int64)) - 1
     # The largest partner within the band: |B| <= 1.25 |A|.
@@ -164,25 +176,28 @@ def sketch_keys(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray, up: bool) -
     first = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])])
     value = np.bitwise_xor.reduceat(_mix(h + _U(0x632BE59BD9B4E019)), first)
     place, owner = place[first], owner[first]
+    level = _mix(np.arange(64, dtype=np.uint64) * _Q)
+    name = lambda v, p, o: _mix(_mix(v + p.astype(np.uint64) * _U(0xD6E8FEB86659FD93)) + level[band[o]])
+    keys = name(value, place, owner)
+    if hot is None:
+        return keys, owner
     filled = np.bincount(owner, minlength=len(sizes))
+    slot = keys & _U(SLOTS - 1)
+    late = hot[slot >> _U(5)] >> (slot & _U(31)).astype(np.uint32) & np.uint32(1)
+    order = np.argsort(owner * 2 + late, kind="stable")
+    place, owner, keys = place[order], owner[order], keys[order]
     rank = np.arange(len(owner)) - np.repeat(np.cumsum(filled) - filled, filled)
     send = _most_different(sizes, partner) + 1
     keep = rank < send[owner]
-    place, owner, value = place[keep], owner[keep], value[keep]
-    # A set that fills too few places also sends its first empty ones.
     lacks = np.flatnonzero(use & (filled < send))
-    if len(lacks):
-        more = []
-        for d in lacks.tolist():
-            taken = np.zeros(places[d], bool)
-            taken[place[owner == d]] = True
-            empty = np.flatnonzero(~taken)[: send[d] - filled[d]]
-            more.append((empty, np.full(len(empty), d)))
-        place = np.r_[place, *[m[0] for m in more]]
-        owner = np.r_[owner, *[m[1] for m in more]]
-        value = np.r_[value, np.zeros(len(owner) - len(value), np.uint64)]
-    level = band[owner].astype(np.uint64)
-    return _mix(_mix(value + place.astype(np.uint64) * _U(0xD6E8FEB86659FD93)) + level * _Q), owner
+    taken = {d: place[owner == d] for d in lacks.tolist()}
+    owner, keys = owner[keep], keys[keep]
+    # A set that fills too few places also sends its first empty ones.
+    for d, own in taken.items():
+        free = np.setdiff1d(np.arange(places[d]), own)[: send[d] - filled[d]]
+        more = np.full(len(free), d)
+        owner, keys = np.r_[owner, more], np.r_[keys, name(np.zeros(len(free), np.uint64), free, more)]
+    return keys, owner
 
 
 def bit_sketch(h: np.ndarray) -> bytes:
@@ -215,47 +230,84 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
+_PRINTS = _U(0x2545F4914F6CDD1D), _U(0x9FB21C651E98DF25)
+
+
+def _print(h: np.ndarray, cut: np.ndarray, salt: np.uint64) -> np.ndarray:
+    """A 64-bit fingerprint of each set."""
+    sums = np.r_[_U(0), np.cumsum(_mix(h ^ salt), dtype=np.uint64)]
+    return _mix(sums[cut[1:]] - sums[cut[:-1]] + np.diff(cut).astype(np.uint64))
+
+
 def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n (set size), hi and lo (the set's fingerprint), sketch: one narrow row a document."""
+    """doc_id, n (set size), hi and lo (the set's fingerprint), sketch: one narrow row a document.
+
+    Rows with a slot instead hold a task's counts (two at least) of the keys in that slot.
+    """
+    names = ["doc_id", "n", "hi", "lo", "sketch", "slot", "many"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.uint8)
         for batch in slices(batches, most=1 << 20):
             h, owner = shingle_sets(*_texts(batch))
             sizes = np.bincount(owner, minlength=batch.num_rows)
             cut = np.r_[0, np.cumsum(sizes)]
-            prints = []
-            for salt in (_U(0x2545F4914F6CDD1D), _U(0x9FB21C651E98DF25)):
-                sums = np.r_[_U(0), np.cumsum(_mix(h ^ salt), dtype=np.uint64)]
-                prints.append(_mix(sums[cut[1:]] - sums[cut[:-1]] + sizes.astype(np.uint64)))
+            prints = [_print(h, cut, salt) for salt in _PRINTS]
             sketches = [bit_sketch(h[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            for up in (False, True):
+                keys, _ = sketch_keys(h, owner, sizes, up)
+                at, n = np.unique(keys & _U(SLOTS - 1), return_counts=True)
+                at = at.astype(np.int64)
+                counts[at] = np.minimum(counts[at] + n, 255)
+            none = [pa.nulls(batch.num_rows, pa.int32())] * 2
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), _signed(prints[0]), _signed(prints[1]), pa.array(sketches, pa.binary())],
-                names=["doc_id", "n", "hi", "lo", "sketch"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), _signed(prints[0]), _signed(prints[1]), pa.array(sketches, pa.binary()), *none], names=names
             )
+        at = np.flatnonzero(counts > 1)
+        for k in range(0, len(at), 100_000):
+            part = at[k : k + 100_000]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(part), t) for t in kinds[:5]), pa.array(part, pa.int32()), pa.array(counts[part], pa.int32())], names=names)
+
+    return map_arrow(texts_of(docs, id_col, text_col), run, "doc_id long, n long, hi long, lo long, sketch binary, slot int, many int")
 
-    return map_arrow(texts_of(docs, id_col, text_col), run, "doc_id long, n long, hi long, lo long, sketch binary")
 
+def hot_slots(counted: DataFrame) -> np.ndarray:
+    """The bit set of slots (SLOTS / 32 words) with high counts; it decides an order only, never a result."""
+    by_slot = counted.where("slot IS NOT NULL").groupBy("slot").agg(F.sum("many").alias("many"))
+    mean = (by_slot.agg(F.sum("many")).first()[0] or 0) / SLOTS
+    words = by_slot.where(F.col("many") >= HOT + 4 * mean)
+    words = words.select(F.expr("shiftright(slot, 5)").alias("w"), F.expr("shiftleft(1L, slot & 31)").alias("bit"))
+    return _bit_set(words, SLOTS)
 
-def document_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def _bit_set(words: DataFrame, size: int) -> np.ndarray:
+    """w (number of a word of 32 bits), bit -> the words; at most size / 32 rows reach the driver."""
+    found = words.groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits = np.zeros(size // 32, np.uint32)
+    bits[found.column("w").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
+    return bits
+
+
+def document_keys(docs: DataFrame, hot: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """key, node (the set's 64-bit name), own (the key is of the set's own band).
 
     Copies of a set in different slices repeat its rows.
     """
+    held = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=1 << 20):
             h, owner = shingle_sets(*_texts(batch))
             sizes = np.bincount(owner, minlength=batch.num_rows)
-            cut = np.r_[0, np.cumsum(sizes)]
-            sums = np.r_[_U(0), np.cumsum(_mix(h ^ _U(0x2545F4914F6CDD1D)), dtype=np.uint64)]
-            node = _mix(sums[cut[1:]] - sums[cut[:-1]] + sizes.astype(np.uint64))
+            node = _print(h, np.r_[0, np.cumsum(sizes)], _PRINTS[0])
             # Copies of a set within the slice send their keys once.
             _, at = np.unique(node, return_index=True)
             once = np.zeros(batch.num_rows, bool)
             once[at] = True
             pick = once[owner]
             for up in (False, True):
-                keys, who = sketch_keys(h[pick], owner[pick], np.where(once, sizes, 0), up)
+                keys, who = sketch_keys(h[pick], owner[pick], np.where(once, sizes, 0), up, held.value)
                 yield pa.RecordBatch.from_arrays([_signed(keys), _signed(node[who]), pa.array(np.full(len(keys), not up))], names=["key", "node", "own"])
 
     return map_arrow(texts_of(docs, id_col, text_col), run, "key long, node long, own boolean")
@@ -306,9 +358,7 @@ def _asked_for(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """
     place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
     words = ids.select((place / 32).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {FILTER_BITS}) % 32 as int))").alias("bit"))
-    found = words.groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()  # FILTER_BITS / 32 rows at most
-    bits = np.zeros(FILTER_BITS // 32, np.uint32)
-    bits[found.column("w").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
+    bits = _bit_set(words, FILTER_BITS)
     held = texts.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,6 +394,32 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_arrow(wide, run, "a long, b long").distinct()
 
 
+_NEAR = "5 * least(n, other_n) >= 4 * greatest(n, other_n)"
+
+
+def _labelled(shared: DataFrame, label: DataFrame | None) -> DataFrame:
+    """``shared`` with each set's component and the component that most sets of the key are in."""
+    if label is None:
+        here = shared.withColumn("label", F.col("doc"))
+    else:
+        here = shared.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+    here = here.withColumn("same", F.expr("count(*) OVER (PARTITION BY key, label)"))
+    return here.withColumn("most", F.expr("max(struct(same, label)) OVER (PARTITION BY key).label")).drop("same")
+
+
+def _tries(here: DataFrame, k: int) -> DataFrame:
+    """a, b: every set with another of its keys in another component: round 0 the smallest one, then the
+    neighbours in an order of the round. One partner from all of a set's keys in round 0, else up to three."""
+    place = "doc" if k == 0 else f"xxhash64(doc, {k})"
+    before = "first_value" if k == 0 else "lag"
+    seen = here.select("doc", "n", "label", F.expr(f"{before}(struct(doc, n, label)) OVER (PARTITION BY key ORDER BY {place}, doc)").alias("o"))
+    seen = seen.select("doc", "n", "label", F.col("o.doc").alias("other"), F.col("o.n").alias("other_n"), F.col("o.label").alias("other_label"))
+    pairs = seen.where(f"label <> other_label AND {_NEAR}").groupBy("doc").agg(F.array_sort(F.collect_set("other")).alias("others"))
+    some = F.slice("others", 1, 1 if k == 0 else 3)
+    pairs = pairs.select("doc", F.explode(some).alias("other"))
+    return pairs.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
+
+
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, n_links.
 
@@ -351,33 +427,30 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes that are in one component already are not all looked for.
     """
     texts = texts_of(docs, id_col, text_col)
-    sets = scratch_table(document_sets(docs, id_col, text_col), "shingle_sets")
+    counted = scratch_table(document_sets(docs, id_col, text_col), "shingle_sets")
+    sets = counted.where("slot IS NULL").drop("slot", "many")
     classes = scratch_table(
         sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("hi", "lo").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
         "shingle_classes",
     )
     # One exchange by key: the distinct rows and the window both use it.
-    keys = document_keys(docs, id_col, text_col).repartition("key").distinct()
+    keys = document_keys(docs, hot_slots(counted), id_col, text_col).repartition("key").distinct()
     shared = keys.withColumn("many", F.expr("count(*) OVER (PARTITION BY key)")).where("many > 1").drop("many")
     shared = scratch_table(shared, "shared_keys")
     # From a set's 64-bit name to its class: sets that share a name are classes of their own from here on.
-    shared = shared.join(classes.select(F.col("hi").alias("node"), "doc"), "node").select("key", "doc", "own")
-    shared = scratch_table(shared.withColumn("hub", F.expr("min(doc) OVER (PARTITION BY key)")), "shared_keys")
-    # First the stars ...
-    star = shared.where("doc <> hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
-    star = scratch_table(_sketched(star, classes), "star_pairs")
-    links = scratch_table(_verified(star, texts), "star_links")
-    label = components(links)
-    # ... then the pairs that lie in different components.
-    here = shared.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    hub = label.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
-    here = here.join(hub, "hub", "left").withColumn("hub_label", F.coalesce("hub_label", "hub"))
-    here = scratch_table(here.select("key", "doc", "own", "hub", "label", "hub_label"), "labelled_keys")
-    out = here.where("label <> hub_label").select("key", F.col("doc").alias("x"), F.col("own").alias("x_own"), F.col("label").alias("x_label"))
-    different = (F.col("label") != F.col("x_label")) & (F.col("x_own") | F.col("own")) & (F.col("doc") != F.col("hub"))
-    once = (F.col("label") == F.col("hub_label")) | (F.col("x") < F.col("doc"))
-    rest = out.join(here, "key").where(different & once)
-    rest = rest.select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b")).distinct()
+    shared = scratch_table(shared.join(classes.select(F.col("hi").alias("node"), "doc", "n"), "node").select("key", "doc", "n", "own"), "shared_keys")
+    links, label = None, None
+    for k in range(ROUNDS):
+        pairs = scratch_table(_sketched(_tries(_labelled(shared, label), k), classes), "tried_pairs")
+        found = scratch_table(_verified(pairs, texts), "tried_links")
+        links = found if links is None else links.union(found)
+        label = components(links)
+    # Then all pairs of a key that lie in different components.
+    here = scratch_table(_labelled(shared, label), "labelled_keys")
+    out = here.where("label <> most").select("key", F.col("doc").alias("other"), F.col("n").alias("other_n"), F.col("own").alias("other_own"), F.col("label").alias("other_label"))
+    once = "label = most OR other < doc"
+    rest = out.join(here, "key").where(F.expr(f"label <> other_label AND (own OR other_own) AND {_NEAR} AND ({once})"))
+    rest = rest.select(F.least("other", "doc").alias("a"), F.greatest("other", "doc").alias("b")).distinct()
     more = _verified(scratch_table(_sketched(rest, classes), "other_pairs"), texts)
     links = scratch_table(links.union(more).distinct(), "all_links")
     label = components(links).select(F.col("node").alias("doc"), F.col("label").alias("component_id"))
