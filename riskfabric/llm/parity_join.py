@@ -200,30 +200,22 @@ def sketch_keys(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray, up: bool, h
     return keys, owner
 
 
-def bit_sketch(h: np.ndarray) -> bytes:
-    """A parity bit for each place of a power of two of at least as many places as shingles (64 at least)."""
-    bits = max(64, 1 << int(max(len(h), 1) - 1).bit_length())
+def bit_sketch(h: np.ndarray) -> np.ndarray:
+    """A parity bit for each place of a power of two of at least twice as many places as shingles (64 at least), in 64-bit words."""
+    bits = max(64, 1 << int(max(2 * len(h), 1) - 1).bit_length())
     counts = np.bincount((h & _U(bits - 1)).astype(np.int64), minlength=bits)
-    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
-def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
-    """The sketch with ``size`` bytes: halves laid over each other, as the place is a hash's low bits."""
-    while len(sketch) > size:
-        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
-    return sketch
+def _folded(a: str, b: str) -> str:
+    """SQL: sketch ``a`` cut to the size of ``b`` if it is larger, its halves laid over each other (a place is a hash's low bits)."""
+    half = f"cast(size({a}) / 2 as int)"
+    return f"if(size({a}) > size({b}), zip_with(slice({a}, 1, {half}), slice({a}, {half} + 1, {half}), (p, q) -> p ^ q), {a})"
 
 
-_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
-
-
-def may_link(a: bytes, n_a: int, b: bytes, n_b: int) -> bool:
-    """False only if sizes or sketches prove a Jaccard similarity under 0.8."""
-    if 5 * min(n_a, n_b) < 4 * max(n_a, n_b):
-        return False
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    size = min(len(x), len(y))
-    return 9 * int(_ONES[_fold(x, size) ^ _fold(y, size)].sum()) <= n_a + n_b
+#: SQL: false only if sizes (within a factor of 1.25, so that one fold is enough) or sketches prove a Jaccard similarity under 0.8.
+_MAY_LINK = f"""5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b) AND 9 * aggregate(zip_with(
+  {_folded("sketch_a", "sketch_b")}, {_folded("sketch_b", "sketch_a")}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x) <= n_a + n_b"""
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -245,7 +237,7 @@ def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Rows with a slot instead hold a task's counts (two at least) of the keys in that slot.
     """
     names = ["doc_id", "n", "hi", "lo", "sketch", "slot", "many"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.uint8)
@@ -262,14 +254,14 @@ def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 counts[at] = np.minimum(counts[at] + n, 255)
             none = [pa.nulls(batch.num_rows, pa.int32())] * 2
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), _signed(prints[0]), _signed(prints[1]), pa.array(sketches, pa.binary()), *none], names=names
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), _signed(prints[0]), _signed(prints[1]), pa.array(sketches, kinds[4]), *none], names=names
             )
         at = np.flatnonzero(counts > 1)
         for k in range(0, len(at), 100_000):
             part = at[k : k + 100_000]
             yield pa.RecordBatch.from_arrays([*(pa.nulls(len(part), t) for t in kinds[:5]), pa.array(part, pa.int32()), pa.array(counts[part], pa.int32())], names=names)
 
-    return map_arrow(texts_of(docs, id_col, text_col), run, "doc_id long, n long, hi long, lo long, sketch binary, slot int, many int")
+    return map_arrow(texts_of(docs, id_col, text_col), run, "doc_id long, n long, hi long, lo long, sketch array<long>, slot int, many int")
 
 
 def hot_slots(counted: DataFrame) -> np.ndarray:
@@ -336,15 +328,7 @@ def _sketched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a < b, of classes' documents) whose sizes and bit sketches allow a link."""
     named = lambda s: classes.select(F.col("doc").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            c = {k: batch.column(i).to_pylist() for i, k in enumerate(batch.schema.names)}
-            keep = [may_link(*x) for x in zip(c["sketch_a"], c["n_a"], c["sketch_b"], c["n_b"], strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    near = (F.col("n_a") * 5 >= F.col("n_b") * 4) & (F.col("n_b") * 5 >= F.col("n_a") * 4)
-    wide = pairs.join(named("a"), "a").join(named("b"), "b").where(near).select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
-    return map_arrow(wide, run, "a long, b long")
+    return pairs.join(named("a"), "a").join(named("b"), "b").where(_MAY_LINK).select("a", "b")
 
 
 #: Bits of the filter that keeps most texts without a candidate out of the verifying joins.
