@@ -47,10 +47,12 @@ from riskfabric.llm.common import map_arrow, scratch_table, slices, texts_of
 WORDS = 5
 #: Places of a band's sketch for each shingle of its largest set.
 PLACES_PER_SHINGLE = 0.4
-#: Slots in which keys are counted, and the count (over the mean, fourfold) from which a slot's keys go last.
-SLOTS, HOT = 1 << 24, 16
+#: Slots in which keys are counted, and the count (over the mean, twofold) from which a slot's keys go last.
+SLOTS, HOT = 1 << 24, 4
 #: Rounds in which a set is compared with single others before all remaining candidates are.
 ROUNDS = 3
+#: Words of the sketch's fold that travels with the keys: it rejects most pairs of sets of up to a thousand shingles.
+FOLD = 8
 _U = np.uint64
 
 
@@ -201,8 +203,8 @@ def sketch_keys(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray, up: bool, h
 
 
 def bit_sketch(h: np.ndarray) -> np.ndarray:
-    """A parity bit for each place of a power of two of at least twice as many places as shingles (64 at least), in 64-bit words."""
-    bits = max(64, 1 << int(max(2 * len(h), 1) - 1).bit_length())
+    """A parity bit for each place of a power of two of at least twice as many places as shingles (64 FOLD at least), in 64-bit words."""
+    bits = max(64 * FOLD, 1 << int(max(2 * len(h), 1) - 1).bit_length())
     counts = np.bincount((h & _U(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
@@ -268,7 +270,7 @@ def hot_slots(counted: DataFrame) -> np.ndarray:
     """The bit set of slots (SLOTS / 32 words) with high counts; it decides an order only, never a result."""
     by_slot = counted.where("slot IS NOT NULL").groupBy("slot").agg(F.sum("many").alias("many"))
     mean = (by_slot.agg(F.sum("many")).first()[0] or 0) / SLOTS
-    words = by_slot.where(F.col("many") >= HOT + 4 * mean)
+    words = by_slot.where(F.col("many") >= HOT + 2 * mean)
     words = words.select(F.expr("shiftright(slot, 5)").alias("w"), F.expr("shiftleft(1L, slot & 31)").alias("bit"))
     return _bit_set(words, SLOTS)
 
@@ -331,6 +333,9 @@ def _sketched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(named("a"), "a").join(named("b"), "b").where(_MAY_LINK).select("a", "b")
 
 
+_FOLDED = f"transform(sequence(0, {FOLD - 1}), j -> aggregate(filter(sketch, (x, i) -> i % {FOLD} = j), 0L, (s, x) -> s ^ x))"
+_FOLD_NEAR = "9 * aggregate(zip_with(fold, other_fold, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x) <= n + other_n"
+
 #: Bits of the filter that keeps most texts without a candidate out of the verifying joins.
 FILTER_BITS = 1 << 22
 
@@ -382,12 +387,13 @@ _NEAR = "5 * least(n, other_n) >= 4 * greatest(n, other_n)"
 
 
 def _labelled(shared: DataFrame, label: DataFrame | None) -> DataFrame:
-    """``shared`` with each set's component and the component that most sets of the key are in."""
+    """``shared`` with each set's component and the component that most sets of the key are in; keys within one component are left out."""
     if label is None:
         here = shared.withColumn("label", F.col("doc"))
     else:
         here = shared.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
     here = here.withColumn("same", F.expr("count(*) OVER (PARTITION BY key, label)"))
+    here = here.withColumn("mixed", F.expr("min(label) OVER (PARTITION BY key) < max(label) OVER (PARTITION BY key)")).where("mixed").drop("mixed")
     return here.withColumn("most", F.expr("max(struct(same, label)) OVER (PARTITION BY key).label")).drop("same")
 
 
@@ -431,9 +437,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         label = components(links)
     # Then all pairs of a key that lie in different components.
     here = scratch_table(_labelled(shared, label), "labelled_keys")
-    out = here.where("label <> most").select("key", F.col("doc").alias("other"), F.col("n").alias("other_n"), F.col("own").alias("other_own"), F.col("label").alias("other_label"))
+    here = scratch_table(here.join(classes.select("doc", F.expr(_FOLDED).alias("fold")), "doc"), "labelled_keys")
+    out = here.where("label <> most").select("key", F.col("doc").alias("other"), F.col("n").alias("other_n"), F.col("own").alias("other_own"), F.col("label").alias("other_label"), F.col("fold").alias("other_fold"))
     once = "label = most OR other < doc"
-    rest = out.join(here, "key").where(F.expr(f"label <> other_label AND (own OR other_own) AND {_NEAR} AND ({once})"))
+    rest = out.join(here, "key").where(F.expr(f"label <> other_label AND (own OR other_own) AND {_NEAR} AND ({once}) AND {_FOLD_NEAR}"))
     rest = rest.select(F.least("other", "doc").alias("a"), F.greatest("other", "doc").alias("b")).distinct()
     more = _verified(scratch_table(_sketched(rest, classes), "other_pairs"), texts)
     links = scratch_table(links.union(more).distinct(), "all_links")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfabric.catalog import Query
-from riskfabric.llm import elias_fano, exact_sort, harmonic_pack, parity_join, piece_rounds, token_counts, toxicity
+from riskfabric.llm import elias_fano, exact_sort, harmonic_pack, license_index, parity_join, pii_crf, piece_rounds, posting_ann, token_counts, toxicity
 
 _QUERIES: dict[str, Query] = {}
 
@@ -46,6 +46,13 @@ def op2_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_sort.content_groups(_table(spark, sf_dir, "documents"))
 
 
+@_register("op3_lstm_crf_pii")
+def op3_lstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the patterns' spans and those that the tagger adds."""
+    docs = _table(spark, sf_dir, "documents")
+    return pii_crf.find(docs, pii_crf.fit(docs))
+
+
 @_register("op4_elias_fano")
 def op4_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id shards with Elias-Fano boundaries, written in doc_id order and read back."""
@@ -58,6 +65,19 @@ def op5_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.jaccard_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@_register("op6_rare_word_licences")
+def op6_rare_word_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of every document."""
+    return license_index.scan(_table(spark, sf_dir, "documents"))
+
+
+@_register("op7_posting_lists")
+def op7_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors found for each vector whose vec_id is divisible by 50."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return posting_ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
 @_register("op8_merge_rounds")
 def op8_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every document, with an end id, and the text that they decode to."""
