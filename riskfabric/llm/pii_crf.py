@@ -378,16 +378,23 @@ def method_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int,
         text = texts[k]
         for kind, a, b in _seams(t, len(text)):
             part = text[a:b]
-            # Spaces and line ends at its edges belong to no span; it holds a digit or '@' and no line end.
+            # Spaces and line ends at its edges belong to no span.
             a, b = a + len(part) - len(part.lstrip()), b - (len(part) - len(part.rstrip()))
-            if b - a >= _LEAST[kind] and ("@" in text[a:b] or _HAS_DIGIT.search(text, a, b)) and "\n" not in text[a:b]:
+            if b > a and _CONTENT[kind].fullmatch(text[a:b]):
                 found[k].append((kind, a, b))
     return found
 
 
 _HAS_DIGIT = re.compile(r"[0-9]")
-#: Characters of the shortest span of each kind that the method may add.
-_LEAST = (6, 7, 13, 9)
+_SIGNS = r"[^\n0-9]{0,5}"
+#: What a span of the method must hold, by kind: a sign or word for "at" between other characters; four numbers;
+#: 13 to 19 digits; 7 to 15 digits. No line ends, at most five other characters between two digits.
+_CONTENT = (
+    re.compile(r"(?=.*[0-9@])[^\n]*[^\s][^\n]{0,3}(?:@|\bat\b)[^\n]{0,3}[^\s][^\n]*"),
+    re.compile(rf"(?:[0-9]{{1,3}}{_SIGNS}){{3}}[0-9]{{1,3}}"),
+    re.compile(rf"(?:[0-9]{_SIGNS}){{12,18}}[0-9]"),
+    re.compile(rf"[^\n0-9]{{0,6}}(?:[0-9]{_SIGNS}){{6,14}}[0-9]"),
+)
 
 
 def all_spans(texts: list[str], tagger: Tagger | None) -> tuple[list, list]:

@@ -35,8 +35,8 @@ from riskfabric.llm.common import map_arrow, scratch_table, ship_package
 
 SAMPLE, MAX_CENTROIDS, ITERATIONS = 20_000, 512, 12
 REPLICAS, BOUNDARY = 4, 0.10
-MOST_LISTS, RATIO = 24, 0.35
-LINKS, BEAM = 16, 48
+MOST_LISTS, RATIO = 48, 0.5
+LINKS, BEAM = 16, 96
 PART = 2_000
 DEPTH_SEED = 42
 
@@ -112,22 +112,23 @@ class CentroidGraph:
                         heapq.heappop(best)
         return sorted((-s, -j) for s, j in best)
 
-    def lists(self, q: np.ndarray) -> list[int]:
-        """The lists to read: pruned by the ratio of distances."""
+    def lists(self, q: np.ndarray, sizes: np.ndarray, k: int) -> list[int]:
+        """The lists to read: pruned by the ratio of distances; all lists if those don't hold ``k`` vectors."""
         found = self.search(q)
         limit = math.sqrt(max(found[0][0], 0.0)) * (1 + RATIO) + 1e-9
-        return [j for s, j in found[:MOST_LISTS] if math.sqrt(max(s, 0.0)) <= limit]
+        near = [j for s, j in found[:MOST_LISTS] if math.sqrt(max(s, 0.0)) <= limit]
+        return near if sizes[near].sum() >= k else list(range(len(self.c)))
 
 
-def _homes(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, list) of every copy of the vectors ``x``."""
+def _homes(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, list, is the nearest list) of every copy of the vectors ``x``."""
     d = np.sqrt(np.maximum(2 - 2 * (_unit(x) @ c.T), 0))
     order = np.argsort(d, axis=1, kind="stable")[:, :REPLICAS]
     near = np.take_along_axis(d, order, axis=1)
     keep = near <= near[:, :1] * (1 + BOUNDARY)
     keep[:, 0] = True
     row, at = np.nonzero(keep)
-    return row, order[row, at]
+    return row, order[row, at], at == 0
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -151,23 +152,27 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                row, home = _homes(_rows(part.column("v")), c)
+                row, home, first = _homes(_rows(part.column("v")), c)
                 moved = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(home, pa.int32()), moved.column("vec_id"), moved.column("v")], names=["list", "vec_id", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(home, pa.int32()), pa.array(first), moved.column("vec_id"), moved.column("v")], names=["list", "first", "vec_id", "v"])
 
     def aim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = graph.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lists = [g.lists(q) for q in _unit(_rows(batch.column("v")))]
+            lists = [g.lists(q, sizes, k + 1) for q in _unit(_rows(batch.column("v")))]
             row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
             moved = batch.take(pa.array(row))
             yield pa.RecordBatch.from_arrays([pa.array([j for x in lists for j in x], pa.int32()), moved.column("vec_id"), moved.column("v")], names=["list", "query_id", "q"])
 
-    homes = scratch_table(map_arrow(rows, place, "list int, vec_id long, v array<double>"), "posting_lists")
+    homes = scratch_table(map_arrow(rows, place, "list int, first boolean, vec_id long, v array<double>"), "posting_lists")
     # A list in as many parts as it needs; a vector's part is a hash of its identifier.
-    parts = homes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    parts = homes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"), F.sum(F.col("first").cast("int")).alias("own"))
+    sizes = np.zeros(MAX_CENTROIDS, np.int64)
+    for r in parts.collect():
+        sizes[r["list"]] = r["own"]
+    parts = parts.select("list", "parts")
     homes = homes.join(F.broadcast(parts), "list")  # MAX_CENTROIDS rows at most
     homes = homes.select("list", F.pmod(F.xxhash64("vec_id"), "parts").cast("int").alias("part"), "vec_id", "v")
     sent = map_arrow(asked, aim, "list int, query_id long, q array<double>").join(F.broadcast(parts), "list")

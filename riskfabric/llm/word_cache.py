@@ -17,7 +17,7 @@ import pyarrow.fs as pafs
 _LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
 #: ASCII without the four separators U+001C-1F, Latin letters without U+0130 (lower case of two
 #: characters), no numbers outside ASCII, common punctuation and currency signs.
-_SAFE = re.compile("[\x00-\x1b -\x84\x86-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ‐-‧₠-₿]*")
+_SAFE = re.compile("[\x00-\x1b -\x84\x86-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ſ‐-‧₠-₿]*")
 _BYTE_LEVEL = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s+(?!\\S)|\\s+"
 )
