@@ -38,6 +38,8 @@ from riskfabric.session import scratch_path
 MAGIC = b"EFTOK001"
 _HEAD = struct.Struct("<8s6Q")
 SAMPLE = 256
+#: Documents that a reader of whole shards reads at once.
+READ_DOCS = 512
 #: A shard is closed when it holds this many bytes of ids.
 SHARD_BYTES = 32 << 20
 #: Stands for a null identifier in a shard.
@@ -90,6 +92,12 @@ class EliasFano:
         bit = (at + byte) * 8 + int(_BIT[self.highs[at + byte], i - rank])
         return (bit - i) << self.low | self._low(i)
 
+    def values(self) -> np.ndarray:
+        """All values, for a reader of the whole shard."""
+        at = np.flatnonzero(np.unpackbits(self.highs, bitorder="little"))[: self.n]
+        low = np.unpackbits(self.lows, bitorder="little")[: self.n * self.low].reshape(self.n, self.low)
+        return (at - np.arange(self.n)) << self.low | low.astype(np.int64) @ (1 << np.arange(self.low))
+
     def span(self, i: int) -> tuple[int, int]:
         """Start and end of document i."""
         return (self.select(i - 1) if i else 0), self.select(i)
@@ -115,6 +123,13 @@ class Shard:
         self.bounds = EliasFano(self.n, low, file.read(n_low), file.read(n_high))
         self.first = _HEAD.size + 8 * self.n + n_low + n_high
 
+    def documents(self, a: int, b: int, ends: np.ndarray) -> list[np.ndarray]:
+        """Documents a to b - 1 in one read; ``ends`` are all boundaries."""
+        start = int(ends[a - 1]) if a else 0
+        self.file.seek(self.first + start * self.width)
+        ids = np.frombuffer(self.file.read((int(ends[b - 1]) - start) * self.width), f"<u{self.width}")
+        return np.split(ids, ends[a : b - 1] - start)
+
     def document(self, i: int) -> np.ndarray:
         start, end = self.bounds.span(i)
         self.file.seek(self.first + start * self.width)
@@ -180,16 +195,17 @@ def read_shards(manifest: DataFrame, out: str) -> DataFrame:
             for name, first in zip(batch.column("file").to_pylist(), batch.column("first").to_pylist(), strict=True):
                 with fs.open_input_file(f"{folder}/{name}") as f:
                     shard = Shard(f)
-                    for at in range(0, shard.n, 4096):
-                        rows = range(at, min(at + 4096, shard.n))
-                        starts = [first + shard.bounds.span(i)[0] for i in rows]
-                        parts = [shard.document(i) for i in rows]
+                    ends = shard.bounds.values()
+                    starts = first + np.r_[0, ends[:-1]]
+                    for at in range(0, shard.n, READ_DOCS):
+                        to = min(at + READ_DOCS, shard.n)
+                        parts = shard.documents(at, to, ends)
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array([None if k == NULL_ID else k for k in shard.ids[at : at + 4096].tolist()], pa.int64()),
-                                pa.array(starts, pa.int64()),
+                                pa.array([None if k == NULL_ID else k for k in shard.ids[at:to].tolist()], pa.int64()),
+                                pa.array(starts[at:to], pa.int64()),
                                 pa.array([len(p) for p in parts], pa.int64()),
-                                pa.array([zlib.crc32(p.astype("<u4").tobytes()) for p in parts], pa.int64()),
+                                pa.array([zlib.crc32(p.astype("<u4")) for p in parts], pa.int64()),
                             ],
                             names=["doc_id", "start", "n_tokens", "ids_crc32"],
                         )

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskfabric.llm.common import map_arrow, slices, texts_of
-from riskfabric.llm.word_cache import BYTE_SPECIALS, LONG_WORD, MOST_WORDS, word_cache
+from riskfabric.llm.word_cache import BYTE_SPECIALS, word_cache
 
 
 def whole_tokens(path: str) -> frozenset[str]:
@@ -34,6 +34,8 @@ def whole_tokens(path: str) -> frozenset[str]:
     return frozenset(s for i, (s, e) in enumerate(zip(strings, alone, strict=True)) if list(e.ids) == [i])
 
 
+#: Merged pre-tokens kept a worker process, and the longest one that is kept.
+MOST_WORDS, LONG_WORD = 250_000, 64
 _KNOWN: dict[str, dict[str, int]] = {}
 
 

@@ -1,7 +1,7 @@
 """Token ids of whole texts through the tokenizers library, one library call per distinct word.
 
 A text is cut where the tokenizer's own pre-tokenizer cuts it; the library encodes each
-distinct piece once and the pieces' ids are joined. Cutting by a regular expression here is
+distinct piece once, a table numbers the pieces, and the texts' ids are gathered by number. Cutting by a regular expression here is
 only done for texts over ``_SAFE`` characters, for which the expression's classes agree with
 the library's; every other text, and each that may hold a special token, goes to the library whole.
 """
@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import re
+from collections import defaultdict
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow.fs as pafs
@@ -22,17 +24,14 @@ _BYTE_LEVEL = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s+(?!\\S)|\\s+"
 )
 _LOWER_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+")
-#: Words kept a worker process; the table is emptied when it is full.
-MOST_WORDS = 250_000
-#: A piece over this many characters is not worth keeping.
-LONG_WORD = 64
+#: Words, and characters of words, kept a worker process; the table is emptied when it is full.
+MOST_WORDS, MOST_CHARS = 600_000, 32 << 20
 
 
-class WordCache(dict):
-    """word -> its ids as little-endian bytes of ``dtype``."""
+class WordCache:
+    """Numbers of words, and each one's ids (``dtype``) in one array."""
 
     def __init__(self, spec: bytes, lower: bool, specials: tuple[str, ...], dtype: str):
-        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -40,6 +39,22 @@ class WordCache(dict):
         self.lower, self.dtype = lower, np.dtype(dtype)
         self.pattern = _LOWER_WORDS if lower else _BYTE_LEVEL
         self.special = re.compile("|".join(map(re.escape, specials))) if specials else None
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: defaultdict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__  # a new word gets the next number
+        self.chars = 0
+        self.ids, self.ends = np.zeros(0, self.dtype), np.zeros(1, np.int64)
+
+    def _learn(self, known: int) -> None:
+        """Encode the words numbered from ``known`` on."""
+        new = list(islice(reversed(self.number), len(self.number) - known))[::-1]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.ids = np.r_[self.ids, np.fromiter(chain.from_iterable(found), self.dtype, int(sizes.sum()))]
+        self.ends = np.r_[self.ends, self.ends[-1] + np.cumsum(sizes)]
+        self.chars += sum(map(len, new))
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -53,19 +68,30 @@ class WordCache(dict):
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
+        if len(self.number) > MOST_WORDS or self.chars > MOST_CHARS:
+            self._clear()
+        known = len(self.number)
         cut = [self.pieces(t) for t in texts]
-        need = set().union(*(c for c in cut if c is not None)) if texts else set()
-        if len(self) > MOST_WORDS:
-            self.clear()
-        new = [w for w in need if w not in self]
-        for word, ids in zip(new, self.whole(new), strict=True):
-            self[word] = ids
+        fast = [c for c in cut if c is not None]
+        at = np.fromiter(map(self.number.__getitem__, chain.from_iterable(fast)), np.int64, sum(map(len, fast)))
+        if len(self.number) > known:
+            self._learn(known)
+        first = self.ends[at]
+        sizes = self.ends[at + 1] - first
+        stops = np.cumsum(sizes)
+        data = self.ids[np.repeat(first - stops + sizes, sizes) + np.arange(int(sizes.sum()))].tobytes()
+        # Where each text's ids end, in bytes.
+        words = np.cumsum([len(c) for c in fast], dtype=np.int64)
+        bounds = iter((np.r_[0, stops][words] * self.dtype.itemsize).tolist())
         rest = iter(self.whole([t for t, c in zip(texts, cut, strict=True) if c is None]))
-        get = self.__getitem__
-        out = [next(rest) if c is None else b"".join(map(get, c)) for c in cut]
-        for word in new:
-            if len(word) > LONG_WORD:
-                del self[word]
+        out, begin = [], 0
+        for c in cut:
+            if c is None:
+                out.append(next(rest))
+            else:
+                end = next(bounds)
+                out.append(data[begin:end])
+                begin = end
         return out
 
 
