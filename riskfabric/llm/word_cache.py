@@ -26,6 +26,8 @@ _BYTE_LEVEL = re.compile(
 _LOWER_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+")
 #: Words, and characters of words, kept a worker process; the table is emptied when it is full.
 MOST_WORDS, MOST_CHARS = 600_000, 32 << 20
+#: Words of letters that one call encodes in a row.
+ROW = 200
 
 
 class WordCache:
@@ -39,6 +41,9 @@ class WordCache:
         self.lower, self.dtype = lower, np.dtype(dtype)
         self.pattern = _LOWER_WORDS if lower else _BYTE_LEVEL
         self.special = re.compile("|".join(map(re.escape, specials))) if specials else None
+        # Tokens that begin (a space and letters) or, by the end mark, end a word: words encoded in a row are told apart by them.
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.edge = np.array([t.endswith("</w>") if lower else t.startswith("Ġ") for t in names])
         self._clear()
 
     def _clear(self) -> None:
@@ -50,10 +55,29 @@ class WordCache:
     def _learn(self, known: int) -> None:
         """Encode the words numbered from ``known`` on."""
         new = list(islice(reversed(self.number), len(self.number) - known))[::-1]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.ids = np.r_[self.ids, np.fromiter(chain.from_iterable(found), self.dtype, int(sizes.sum()))]
-        self.ends = np.r_[self.ends, self.ends[-1] + np.cumsum(sizes)]
+        plain = [w.isalpha() if self.lower else w[0] == " " and w[1:].isalpha() for w in new]
+        row = [w for w, p in zip(new, plain, strict=True) if p]
+        other = [e.ids for e in self.tokenizer.encode_batch_fast([w for w, p in zip(new, plain, strict=True) if not p], add_special_tokens=False)]
+        # Words of letters are encoded many at a time; cutting them apart again is what the pre-tokenizer does.
+        gap = " " if self.lower else ""
+        rows = self.tokenizer.encode_batch_fast([gap.join(row[i : i + ROW]) for i in range(0, len(row), ROW)], add_special_tokens=False)
+        flat = np.fromiter(chain.from_iterable(e.ids for e in rows), np.int64)
+        edges = np.flatnonzero(self.edge[flat])
+        row_ends = edges + 1 if self.lower else np.r_[edges[1:], len(flat)][: len(edges)]
+        if len(row_ends) != len(row):
+            raise ValueError("words encoded in a row can't be told apart")
+        other_ends = np.cumsum([len(x) for x in other], dtype=np.int64) + len(flat)
+        flat = np.r_[flat, np.fromiter(chain.from_iterable(other), np.int64)]
+        # Back into the order of the words' numbers.
+        first, last = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        is_row = np.array(plain, bool)
+        for pick, ends, start in ((is_row, row_ends, 0), (~is_row, other_ends, len(flat) - sum(map(len, other)))):
+            last[pick] = ends
+            first[pick] = np.r_[start, ends[:-1]][: len(ends)]
+        sizes = last - first
+        stops = np.cumsum(sizes)
+        self.ids = np.r_[self.ids, flat[np.repeat(first - stops + sizes, sizes) + np.arange(int(sizes.sum()))].astype(self.dtype)]
+        self.ends = np.r_[self.ends, self.ends[-1] + stops]
         self.chars += sum(map(len, new))
 
     def whole(self, texts: list[str]) -> list[bytes]:
