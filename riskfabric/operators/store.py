@@ -88,33 +88,30 @@ def evolve_event_count(fact_incident: DataFrame) -> DataFrame:
 
 
 def replace_source(target: DataFrame, stage: DataFrame, keys: list[str], source_col: str, source: str,
-                   table: str | None = None) -> DataFrame:
+                   table: str | None = None, order_cols: list[Column | str] | None = None) -> DataFrame:
     """Delete ``source_col = source`` rows (NULL sources are kept), then upsert the stage (K4)."""
     rest = target.where(~F.col(source_col).eqNullSafe(F.lit(source)))
-    return upsert(rest, stage, keys, table)
+    return upsert(rest, stage, keys, table, order_cols)
 
 
-def touched_partitions(stage: DataFrame, partition_by: list[str], limit: int = 10_000) -> list[tuple]:
-    """Distinct partition values present in a batch (a handful: e.g. source systems).
-
-    Collected to the driver because they parameterise the scan of the target; the
-    count is capped and exceeding the cap raises instead of collecting more.
-    """
-    vals = stage.select(*partition_by).distinct().limit(limit + 1).collect()
-    if len(vals) > limit:
-        raise ValueError(f"batch touches more than {limit} partitions")
-    return [tuple(r) for r in vals]
+def touched_partitions(target: DataFrame, stage: DataFrame, keys: list[str], partition_by: list[str],
+                       source: tuple[str, str] | None = None) -> DataFrame:
+    """Distinct partition values a batch touches: those it writes to, those in which the target
+    holds one of its keys (a row that moves leaves its old partition), and, with ``source``
+    (column, value), those with rows of a source that is replaced. Nothing is collected."""
+    parts = stage.select(*partition_by)
+    held = target.join(stage.select(*keys).distinct(), keys, "left_semi").select(*partition_by)
+    parts = parts.union(held)
+    if source is not None:
+        parts = parts.union(target.where(F.col(source[0]) == source[1]).select(*partition_by))
+    return parts.distinct()
 
 
-def partition_filter(partition_by: list[str], values: list[tuple]) -> Column:
-    """Predicate selecting the given partitions (NULL-safe), for partition pruning on the target."""
-    cond = F.lit(False)
-    for v in values:
-        c = F.lit(True)
-        for col, x in zip(partition_by, v):
-            c = c & F.col(col).eqNullSafe(F.lit(x))
-        cond = cond | c
-    return cond
+def in_partitions(target: DataFrame, parts: DataFrame) -> DataFrame:
+    """Target rows of the given partitions (NULL-safe); a join on partition columns, so that Spark prunes them at run time."""
+    p = parts.select(*[F.col(c).alias(f"_part_{c}") for c in parts.columns])
+    on = [F.col(c).eqNullSafe(F.col(f"_part_{c}")) for c in parts.columns]
+    return target.join(p, on, "left_semi")
 
 
 def insert_ignore(target: DataFrame, stage: DataFrame, keys: list[str],
@@ -152,7 +149,9 @@ def backfill_region_dim(dim_country: DataFrame, mapping: DataFrame, order_col: s
 
 def backfill_region_fact(fact: DataFrame, dim_country: DataFrame, key: str = "country_iso3") -> DataFrame:
     """Fill NULL ``region_code`` on a fact from the country dimension."""
-    d = dim_country.select(F.col("iso3").alias("_bf_iso3"), F.col("region_code").alias("_bf_region"))
+    # A country dimension has a few hundred rows, one a country; hashing the fact on the country
+    # would put a large country's rows into one task.
+    d = F.broadcast(dim_country.select(F.col("iso3").alias("_bf_iso3"), F.col("region_code").alias("_bf_region")))
     j = fact.join(d, fact[key] == d["_bf_iso3"], "left")
     return j.withColumn("region_code", F.coalesce(F.col("region_code"), F.col("_bf_region"))).select(*fact.columns)
 
@@ -195,27 +194,44 @@ def commit_table(spark: SparkSession, merged: DataFrame, path: str, partition_by
     """Stage ``merged`` under the checkpoint folder, then overwrite ``path``.
 
     With ``partition_by`` only partitions present in the staged rows are
-    replaced (dynamic partition overwrite); ``touched`` lists partitions that
-    must be emptied even when no staged row lands in them (a source replaced by
-    nothing). Returns the number of staged rows.
+    replaced (dynamic partition overwrite); those of ``touched`` (distinct partition
+    values) in which no staged row lands are emptied. Returns the number of staged rows.
     """
     staging = scratch_path(spark, f"staging/{uuid.uuid4().hex}")
+    touched_at = scratch_path(spark, f"staging/{uuid.uuid4().hex}")
     w = merged.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(staging)
-    staged = spark.read.parquet(staging)
+    staged = spark.read.schema(merged.schema).parquet(staging)
     n = staged.count()
+    emptied = []
+    if partition_by and touched is not None:
+        touched.write.mode("overwrite").parquet(touched_at)  # read before the table changes
+        left = spark.read.parquet(touched_at).exceptAll(staged.select(*touched.columns).distinct())
+        # Partitions that lose their last row: folder names, one at a time.
+        for row in left.select(*[F.col(c).cast("string") for c in partition_by]).toLocalIterator():
+            emptied.append("/".join([path.rstrip("/"), *[_partition_folder(c, row[c]) for c in partition_by]]))
     out = staged.write.mode("overwrite")
     if partition_by:
         # per-write option: replace only the partitions present in the staged rows
         out.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     else:
         out.parquet(path)
+    for folder in emptied:
+        _delete(spark, folder)
     _delete(spark, staging)
+    _delete(spark, touched_at)
     return n
 
 
+def _partition_folder(col: str, value: str | None) -> str:
+    """A partition's folder name as Spark writes it: a fixed name for NULL, special characters by their codes."""
+    if value is None:
+        return f"{col}=__HIVE_DEFAULT_PARTITION__"
+    return f"{col}=" + "".join(f"%{ord(c):02X}" if c < " " or c in "\"#%'*/:=?\\\x7f{[]^" else c for c in value)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

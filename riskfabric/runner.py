@@ -64,27 +64,31 @@ def run_source(spark: SparkSession, spec: SourceSpec, warehouse: str, run_ts: _d
             # Normalise ONCE: stage the conformed batch under the shared checkpoint
             # folder; the count, the merge and the last-date aggregate all read
             # that copy (the count comes from parquet footers).
-            batch = materialize(schemas.conform(batch, spec.table), f"batch-{spec.name.lower()}")
+            # Columns that the source lacks stay out of it, so that stored values survive; the
+            # position decides between rows of the same key (the first one wins).
+            present = [c for c in schemas.TABLES[spec.table].fieldNames() if c in batch.columns]
+            batch = schemas.conform(batch, spec.table).select(*present).withColumn("_pos", F.monotonically_increasing_id())
+            batch = materialize(batch, f"batch-{spec.name.lower()}")
         n = 0 if batch is None else batch.count()
         if n == 0:
             _write_state(spark, state_path, spec.name, 0, None, "partial", run_ts)
             return RunResult(spec.name, "partial", 0)
         target = store.read_table(spark, table_path, spec.table)
         keys = schemas.PRIMARY_KEYS[spec.table]
+        parts = None
         if spec.partition_by:
             # Merge only inside the partitions this batch touches (the partition
             # column is part of each key's identity: ids are hashed with their
             # source), so the scan of the target is pruned to those partitions
             # and the dynamic-overwrite commit rewrites only them.
-            parts = store.touched_partitions(batch, spec.partition_by)
-            if spec.replace_source_system:
-                parts = list({*parts, (spec.replace_source_system,)})
-            target = target.where(store.partition_filter(spec.partition_by, parts))
+            replaced = ("source_system", spec.replace_source_system) if spec.replace_source_system else None
+            parts = store.touched_partitions(target, batch, keys, list(spec.partition_by), replaced)
+            target = store.in_partitions(target, parts)
         if spec.replace_source_system:
-            merged = store.replace_source(target, batch, keys, "source_system", spec.replace_source_system, spec.table)
+            merged = store.replace_source(target, batch, keys, "source_system", spec.replace_source_system, spec.table, ["_pos"])
         else:
-            merged = store.upsert(target, batch, keys, spec.table)
-        store.commit_table(spark, merged, table_path, spec.partition_by or None)
+            merged = store.upsert(target, batch, keys, spec.table, ["_pos"])
+        store.commit_table(spark, merged, table_path, spec.partition_by or None, parts)
         last_col = LAST_DATE_COLUMN.get(spec.table)
         last = batch.agg(F.max(F.col(last_col).cast("date"))).first()[0] if last_col else None
         _write_state(spark, state_path, spec.name, n, last, "success", run_ts)

@@ -33,18 +33,27 @@ def build_session(
     app_name: str = "riskfabric",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Get or create a session with AQE on and the UI off.
+    """Get or create a session.
 
-    ``master`` defaults to ``local[$BENCH_CPUS]`` (or ``local[8]``) when no
-    master is configured by the environment.
+    A submitted application (``spark-submit``) or one with an active session keeps its
+    master, shuffle partitions, driver memory and every other setting; only ``extra``
+    and explicit arguments are added. A plain Python process gets a local session
+    with AQE on and the UI off.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app_name)
-    builder = builder.master(master or f"local[{cpus}]")
-    parts = shuffle_partitions or int(cpus)
-    builder = builder.config("spark.sql.shuffle.partitions", str(parts))
-    builder = builder.config("spark.driver.memory", os.environ.get("RISKFABRIC_DRIVER_MEM", "16g"))
-    for k, v in {**_LOCAL_DEFAULTS, **(extra or {})}.items():
+    settings = dict(extra or {})
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if not is_submitted():
+        cpus = os.environ.get("BENCH_CPUS", "8")
+        if not master:
+            builder = builder.master(f"local[{cpus}]")
+        if (master or "local").startswith("local"):
+            settings.setdefault("spark.sql.shuffle.partitions", cpus)
+        settings = {**_LOCAL_DEFAULTS, "spark.driver.memory": os.environ.get("RISKFABRIC_DRIVER_MEM", "16g"), **settings}
+    for k, v in settings.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -52,24 +61,36 @@ def build_session(
     return spark
 
 
+def is_submitted() -> bool:
+    """Whether the settings come from elsewhere: ``spark-submit`` or a session that is active already."""
+    return "PYSPARK_GATEWAY_PORT" in os.environ or SparkSession.getActiveSession() is not None
+
+
+def _local_folder(master: str) -> str:
+    """A scratch folder for a session whose executors share this machine's disk; others must name a shared one."""
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
+    return tempfile.mkdtemp(prefix="riskfabric-ckpt-")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object-store) folder
-    and is used as is. A scratch folder is created only when the session has none,
-    which happens in local tests.
+    and is used as is; without it a session that is not local raises. A local
+    session, as in tests, gets a scratch folder.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 — Spark Connect: read the setting from the session conf
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="riskfabric-ckpt-")
+        return configured or _local_folder("remote")
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="riskfabric-ckpt-")
+        configured = _local_folder(sc.master)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

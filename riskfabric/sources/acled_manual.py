@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskfabric.session import materialize
 from riskfabric import refdata, schemas
 from riskfabric.functions import dates, ids, text
 from riskfabric.sources.common import col_or_null, read_csv_strings, require_columns
@@ -44,10 +45,21 @@ def validate(raw: DataFrame) -> None:
         raise ValueError("manual backfill event_count and fatalities_best must be numeric")
     if r["negative"]:
         raise ValueError("manual backfill event_count and fatalities_best must be >= 0")
-    dupes = (raw.select(_key(raw).alias("k")).groupBy("k").count().where("count > 1")
-             .orderBy("k").limit(50).collect())
-    if dupes:
-        raise ValueError(f"Duplicate manual backfill keys: {[d['k'] for d in dupes]}")
+    dupes = duplicate_keys(raw)
+    n = dupes.count()
+    if n:
+        table = materialize(dupes, "duplicate-manual-keys").orderBy("k")
+        shown = [r["k"] for r in table.take(SHOWN_KEYS)]
+        raise ValueError(f"Duplicate manual backfill keys: {n}, listed in {table.inputFiles()[0].rsplit('/', 1)[0]}, the first being {shown}")
+
+
+#: Keys that the error's message shows; the table it names has all.
+SHOWN_KEYS = 20
+
+
+def duplicate_keys(raw: DataFrame) -> DataFrame:
+    """Every key that occurs more than once (k, count)."""
+    return raw.select(_key(raw).alias("k")).groupBy("k").count().where("count > 1")
 
 
 def _key(raw: DataFrame):

@@ -23,65 +23,9 @@ from riskfabric import schemas
 from riskfabric.functions.ids import make_id
 
 
-_READERS: dict[tuple, DataFrame] = {}
-
-
-def _session_key(spark: SparkSession) -> tuple:
-    """Cache key of a session: its application (a new SparkContext gets a new id) and object."""
-    try:
-        return (spark.sparkContext.applicationId, id(spark))
-    except Exception:  # noqa: BLE001 — sessions without a local SparkContext (Spark Connect)
-        return ("remote", id(spark))
-# Fact-sized inputs and their key, for spreading a scan that has too few splits.
-_SPREAD_KEY = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table ``<sf_dir>/<name>.parquet``, one reader per session and path
-    (file listing and footer reads happen once, not once per query).
-
-    A parquet file written as ONE row group scans as one task however large it
-    is, so every per-row step above it (hashing, parsing, joins) would run on one
-    core. When a fact-sized table's scan yields fewer splits than the default
-    parallelism, it is spread by hashing its key (deterministic on retry; unlike a
-    round-robin repartition it needs no pre-sort). At cluster scale a scan has
-    far more splits than cores and this never triggers, so no shuffle is added
-    there. Projections and filters are still pushed below it into the scan.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (_session_key(spark), path)
-    df = _READERS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        if name in _SPREAD_KEY:
-            try:
-                par = spark.sparkContext.defaultParallelism
-                if df.rdd.getNumPartitions() < par:
-                    df = df.repartition(par, _SPREAD_KEY[name])
-            except Exception:  # noqa: BLE001 — no split information (Spark Connect): read as is
-                pass
-        _READERS[key] = df
-    return df
-
-
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def _cached(fn):
-    """Reuse the (lazy) plan object of a fixture per session and folder: building
-    a plan costs JVM round trips; the rows are still computed by every query."""
-    import functools
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (_session_key(spark), sf_dir, fn.__name__)
-        df = _PLANS.get(key)
-        if df is None or df.sparkSession is not spark:
-            df = fn(spark, sf_dir)
-            _PLANS[key] = df
-        return df
-
-    return wrapper
+    """The parquet table ``<sf_dir>/<name>.parquet``, listed anew each time."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def nation_code(col: Column) -> Column:
@@ -93,13 +37,11 @@ def _null_unless(cond: Column, value: Column) -> Column:
     return F.when(cond, value)
 
 
-@_cached
 def dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = read_table(spark, sf_dir, "region")
     return r.select(F.col("r_name").alias("region_code"), F.col("r_name").alias("region_name"))
 
 
-@_cached
 def dim_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation").where(F.col("n_nationkey") != 24)
     r = read_table(spark, sf_dir, "region")
@@ -120,7 +62,6 @@ def _customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.join(geo, c.c_nationkey == geo.n_nationkey).select("c_custkey", "c_nationkey", "r_name")
 
 
-@_cached
 def fact_incident(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
@@ -147,7 +88,6 @@ def fact_incident(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.conform(out, "fact_incident", fill_defaults=False)
 
 
-@_cached
 def fact_diplomatic_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -168,7 +108,6 @@ def fact_diplomatic_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.conform(out, "fact_diplomatic_action", fill_defaults=False)
 
 
-@_cached
 def fact_risk_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population 1995–1999 and a sparse military series per nation (FIXTURES.md §C4)."""
     n = read_table(spark, sf_dir, "nation").select("n_nationkey")
@@ -191,7 +130,6 @@ def fact_risk_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.conform(out, "fact_risk_indicator", fill_defaults=False)
 
 
-@_cached
 def fact_news_pulse(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").where(
         (F.col("l_linenumber") == 1) & (F.col("l_returnflag") == "N")

@@ -37,6 +37,12 @@ def upsert_batch_writer(target_path: str, keys: list[str], order_cols: list[str]
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stage = transform(batch) if transform else batch
+        order = order_cols
+        if order is None:  # the first row of a key in the micro-batch wins
+            stage = stage.withColumn("_pos", F.monotonically_increasing_id())
+            order = ["_pos"]
+        stage = store.dedupe_first(stage, keys, order)
+        parts = None
         try:
             current = spark.read.parquet(target_path)
         except Exception as e:  # noqa: BLE001 — first batch: no table yet
@@ -44,15 +50,14 @@ def upsert_batch_writer(target_path: str, keys: list[str], order_cols: list[str]
                 raise
             current = None
         if current is None:
-            merged = stage if order_cols is None else store.dedupe_first(stage, keys, order_cols)
-            merged = merged.select(*[c for c in merged.columns if c not in (order_cols or [])])
+            merged = stage.select(*[c for c in stage.columns if c not in order])
         else:
             if partition_by:
-                # merge only inside the partitions this micro-batch touches
-                parts = store.touched_partitions(stage, partition_by)
-                current = current.where(store.partition_filter(partition_by, parts))
-            merged = store.upsert(current, stage, keys, order_cols=order_cols)
-        store.commit_table(spark, merged, target_path, partition_by)
+                # merge only inside the partitions this micro-batch writes to or takes rows from
+                parts = store.touched_partitions(current, stage, keys, partition_by)
+                current = store.in_partitions(current, parts)
+            merged = store.upsert(current, stage, keys)
+        store.commit_table(spark, merged, target_path, partition_by, parts)
 
     return write
 
