@@ -317,9 +317,9 @@ def training_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tagger | None:
     """Train on a bounded sample of documents that hold a digit or '@' (None if there is no pattern span)."""
     texts = texts_of(docs, id_col, text_col).where(F.col("text").rlike("[0-9@]"))
-    # Pieces around the first and the last such character: the sample's size has a bound, whatever the texts' length.
-    head = F.regexp_extract("text", r"(?s).{0,300}[0-9@].{0,300}", 0)
-    rows = texts.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).select(head.alias("t")).collect()
+    # Only a piece around the first such character is sorted and collected: the sample's size has a bound, whatever the texts' length.
+    piece = F.expr("substring(text, greatest(1, regexp_instr(text, '[0-9@]') - 300), 900)")
+    rows = texts.select("doc_id", piece.alias("t")).orderBy(F.xxhash64("doc_id"), "doc_id", "t").limit(SAMPLE_DOCS).select("t").collect()
     x, y = training_windows([r["t"] for r in rows])
     return train(x, y) if (y > 0).any() else None
 
