@@ -77,3 +77,15 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back (lineage ends there)."""
     return materialize(df, name)
+
+
+def hash_sample(df: DataFrame, id_col: str, most: int, *ties: str) -> DataFrame:
+    """At most ``most`` rows, those with the smallest hash of ``id_col`` (ties by it, then by ``ties``).
+
+    The rows' number gives a hash under which about twice as many rows lie, so that all tasks
+    together sort and send that many, not ``most`` each.
+    """
+    h = F.xxhash64(id_col)
+    share = min(1.0, 2 * most / max(1, df.count()))
+    highest = min(2**63 - 1, -(2**63) + int(share * 2**64))
+    return df.where(h <= highest).orderBy(h, id_col, *ties).limit(most)

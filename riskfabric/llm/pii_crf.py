@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfabric.llm.common import map_arrow, slices, texts_of
+from riskfabric.llm.common import hash_sample, map_arrow, slices, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)
@@ -319,7 +319,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tagg
     texts = texts_of(docs, id_col, text_col).where(F.col("text").rlike("[0-9@]"))
     # Only a piece around the first such character is sorted and collected: the sample's size has a bound, whatever the texts' length.
     piece = F.expr("substring(text, greatest(1, regexp_instr(text, '[0-9@]') - 300), 900)")
-    rows = texts.select("doc_id", piece.alias("t")).orderBy(F.xxhash64("doc_id"), "doc_id", "t").limit(SAMPLE_DOCS).select("t").collect()
+    rows = hash_sample(texts.select("doc_id", piece.alias("t")), "doc_id", SAMPLE_DOCS, "t").select("t").collect()
     x, y = training_windows([r["t"] for r in rows])
     return train(x, y) if (y > 0).any() else None
 
