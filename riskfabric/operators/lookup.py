@@ -47,14 +47,32 @@ def country_name_candidates(countries: DataFrame) -> DataFrame:
     return best.select("probe", F.col("b.iso3").alias("iso3"))
 
 
+def _edit_block(probes: DataFrame, names: DataFrame, d: int) -> DataFrame:
+    """Pairs of ``probes`` (probe) and ``names`` (cname) that may be within ``d`` edits, by an equi-join.
+
+    A name is cut into d + 1 segments. At most d edits leave one of them whole, moved by at
+    most d places, so the pair shares (name's length, segment number, segment's text).
+    """
+    part = f"floor((_seg * _len) / {d + 1})", f"floor(((_seg + 1) * _len) / {d + 1})"
+    segments = F.explode(F.sequence(F.lit(0), F.lit(d))).alias("_seg")
+    span = [F.expr(part[0]).cast("int").alias("_from"), F.expr(f"{part[1]} - {part[0]}").cast("int").alias("_n")]
+    cut = names.select("*", F.length("cname").alias("_len"), segments).select("*", *span)
+    cut = cut.withColumn("_text", F.expr("substring(cname, _from + 1, _n)")).drop("_from", "_n")
+    moved = F.explode(F.sequence(F.lit(-d), F.lit(d)))
+    asked = probes.select("*", moved.alias("_longer")).withColumn("_len", F.length("probe") + F.col("_longer")).where("_len >= 0")
+    asked = asked.select("*", segments).select("*", *span).select("*", moved.alias("_shift"))
+    asked = asked.where("_from + _shift >= 0 AND _from + _shift + _n <= length(probe)")
+    asked = asked.withColumn("_text", F.expr("substring(probe, _from + _shift + 1, _n)")).drop("_longer", "_from", "_n", "_shift")
+    return asked.distinct().join(cut, ["_len", "_seg", "_text"]).drop("_len", "_seg", "_text").distinct()
+
+
 def resolve_names(names: DataFrame, col: str, countries: DataFrame, overrides: DataFrame,
                   fuzzy: bool = False, max_distance: int = 2) -> DataFrame:
     """Distinct ``col`` values → ``iso3`` by override → exact ISO lookup → optional fuzzy → NULL.
 
-    ``overrides`` has columns (name, iso3) with lower-case names. The fuzzy step
-    is an approximation of a third-party fuzzy search: candidates share the
-    soundex code of the name (an equi-join block, never a cross product) and the
-    closest one within ``max_distance`` edits wins.
+    ``overrides`` has columns (name, iso3) with lower-case names. The fuzzy step takes
+    the closest country name within ``max_distance`` edits (ties to the smaller iso3); every
+    such name is a candidate (``_edit_block``).
     """
     d = names.select(F.col(col).alias("raw")).where(F.col("raw").isNotNull()).distinct()
     d = d.withColumn("probe", _norm_lower(F.col("raw"))).where(F.col("probe") != "")
@@ -64,11 +82,10 @@ def resolve_names(names: DataFrame, col: str, countries: DataFrame, overrides: D
     resolved = r.select("raw", "probe", F.coalesce("ov_iso3", "ex_iso3").alias("iso3"))
     if not fuzzy:
         return resolved.select("raw", "iso3")
-    todo = resolved.where(F.col("iso3").isNull()).select("raw", "probe", F.soundex("probe").alias("sx"))
+    todo = resolved.where(F.col("iso3").isNull()).select("raw", "probe")
     cand = countries.where(F.col("name").isNotNull()).select(
         F.col("iso3").alias("f_iso3"), _norm_lower(F.col("name")).alias("cname"))
-    cand = cand.withColumn("sx", F.soundex("cname"))
-    m = todo.join(cand, "sx", "inner").withColumn("dist", F.levenshtein("probe", "cname"))
+    m = _edit_block(todo, cand, max_distance).withColumn("dist", F.levenshtein("probe", "cname"))
     m = m.where(F.col("dist") <= max_distance)
     best = m.groupBy("raw").agg(F.min(F.struct("dist", "f_iso3")).alias("b")).select(
         "raw", F.col("b.f_iso3").alias("fz_iso3"))
