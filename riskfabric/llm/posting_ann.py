@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskfabric.llm.common import map_arrow, scratch_table, ship_package
+from riskfabric.llm.common import hash_sample, map_arrow, scratch_table, ship_package
 
 SAMPLE, MAX_CENTROIDS, ITERATIONS = 20_000, 512, 12
 REPLICAS, BOUNDARY = 4, 0.10
@@ -136,7 +136,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
     spark = vectors.sparkSession
     ship_package(spark)
     rows, asked = usable(vectors, id_col, vector_col), usable(queries, id_col, vector_col)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toArrow().column("v").combine_chunks()
+    sample = hash_sample(rows, "vec_id", SAMPLE, "v").select("v").toArrow().column("v").combine_chunks()
     result = "query_id long, rank int, vec_id long, score double"
     if not len(sample):
         return spark.createDataFrame([], result)
