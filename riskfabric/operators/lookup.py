@@ -7,9 +7,10 @@ DISTINCT values first — bounded by the number of distinct names/codes, not by
 the rows — and join the answer back with an equi-join whose small side Spark
 broadcasts when its measured size allows (auto-broadcast threshold / AQE).
 
-The ordered prefix lookup (J13) avoids a theta join: each distinct code is
-expanded into its own prefixes (bounded by the code length) and equi-joined to
-the map keys.
+The ordered prefix lookup (J13) against a fixed list is one expression over a
+constant array (``prefix_value``): no join, no shuffle on the codes, of which a few
+may hold most rows. Against a mapping table (``resolve_prefix``) each distinct code
+is expanded into its own prefixes (bounded by the code length) and equi-joined.
 """
 
 from __future__ import annotations
@@ -166,6 +167,18 @@ def news_country_to_iso3(df: DataFrame, col: str, countries: DataFrame, fips: Da
                                                                                "_nc_name")
 
 
+def prefix_value(code: Column, pairs: list[tuple[str, str | None]]) -> Column:
+    """Value of the exact key, else of the first key (list order) that is a prefix of ``code``.
+
+    Same rules as ``resolve_prefix``; ``pairs`` is a fixed list of (key, value).
+    """
+    c = F.upper(F.trim(code))
+    entries = F.array(*[F.struct(F.lit(k.upper()).alias("key"), F.lit(v).cast("string").alias("value")) for k, v in pairs if k])
+    exact = F.get(F.filter(entries, lambda e: e["key"] == c), F.lit(0))
+    prefix = F.get(F.filter(entries, lambda e: F.startswith(c, e["key"])), F.lit(0))
+    return F.when(c != "", F.coalesce(exact, prefix)["value"])
+
+
 def resolve_prefix(values: DataFrame, col: str, mapping: DataFrame) -> DataFrame:
     """Distinct codes → value by exact key, else the first key (map order) that is a prefix.
 

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from riskfabric import refdata, schemas
 from riskfabric.functions import ids, text
 from riskfabric.operators import lookup
-from riskfabric.sources.dims import lookup_table
 
 SOURCE = "OFAC_SDN"
 # One column beyond the 12 positional ones detects over-long lines.
@@ -31,10 +30,6 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in refdata.SDN_COLUMNS])
 
 
-def program_map(spark: SparkSession) -> DataFrame:
-    return lookup_table(spark, refdata.SANCTION_PROGRAMS, "key", "iso3")
-
-
 def explode_programs(raw: DataFrame) -> DataFrame:
     """One row per (entity, program) with placeholders removed."""
     clean = raw.select(*[text.null_token(c, refdata.SDN_NULL_TOKEN).alias(c) for c in refdata.SDN_COLUMNS])
@@ -44,11 +39,8 @@ def explode_programs(raw: DataFrame) -> DataFrame:
 
 def normalise(raw: DataFrame, run_date: _dt.date | str) -> DataFrame:
     """Canonical sanction actions dated at the run date (the list carries no designation date)."""
-    spark = raw.sparkSession
     rd = run_date if isinstance(run_date, _dt.date) else _dt.date.fromisoformat(run_date)
-    e = explode_programs(raw)
-    resolved = lookup.resolve_prefix(e, "_prog", program_map(spark))
-    e = lookup.attach(e, "_prog", resolved, "target_iso3")
+    e = explode_programs(raw).withColumn("target_iso3", lookup.prefix_value(F.col("_prog"), refdata.SANCTION_PROGRAMS))
     instrument = F.format_string("SDN: %s (%s)", F.coalesce("sdn_name", F.lit("None")), F.col("_prog"))
     out = e.select(
         ids.make_id(F.lit(SOURCE), F.coalesce("ent_num", F.lit("None")), F.col("_prog")).alias("action_id"),

@@ -91,6 +91,9 @@ def test_prefix_lookup(spark):
     vals = spark.createDataFrame([("IRAN2",), ("iran2x",), ("SDGT-X",), ("DPRK9",), ("",), ("OTHER",), (None,)], "p string")
     got = dict(lookup.resolve_prefix(vals, "p", m).collect())
     assert got == {"IRAN2": "IRN2", "iran2x": "IRN", "SDGT-X": None, "DPRK9": "PRK", "OTHER": None}
+    pairs = [("IRAN", "IRN"), ("IRAN2", "IRN2"), ("SDGT", None), ("DPRK", "PRK")]
+    native = dict(vals.select("p", lookup.prefix_value(F.col("p"), pairs)).collect())
+    assert native == got | {"": None, None: None}
 
 
 def test_fuzzy_matches_brute_force(spark):

@@ -25,3 +25,9 @@ def test_filters_and_columns_reach_the_scan(spark):
     news = E.queries()["news_monthly"](spark, SF)
     nplan = news._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_linenumber), IsNotNull(l_returnflag), EqualTo(l_linenumber,1)" in nplan
+
+
+def test_program_lookup_moves_no_rows(spark):
+    plan = E.queries()["ofac_normalise"](spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "hashpartitioning" not in plan
+    assert plan.count("FileScan parquet") == 1
