@@ -5,8 +5,8 @@ Spark has no public as-of join, so two plans are provided:
 
 * ``interval`` — the right side is reduced to validity intervals
   ``[ts, next_ts)`` per key and joined as an equi-join on the keys with a range
-  residual. Used when the reduced right side is proven small (``is_small``:
-  optimizer size estimate, else a capped row count) before it is broadcast.
+  residual. Used when the reduced right side is small by the optimizer's
+  estimate (``is_small``) before it is broadcast.
 * ``bucketed`` — for a right side of any size. The as-of is solved for the
   DISTINCT left (key, time) pairs only (rows sharing them share the answer),
   then joined back many-to-one on (key, time). Time is cut into fixed-width
@@ -51,16 +51,13 @@ def _numeric_time(col: Column, dtype: T.DataType) -> Column:
     return col.cast("long")
 
 
-def is_small(df: DataFrame, max_rows: int, max_bytes: int = 64 * 1024 * 1024) -> bool:
-    """Size check before a broadcast: the optimizer's size estimate first (no job);
-    when that is inconclusive, an exact row count capped at ``max_rows + 1``."""
-    try:
-        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        if est <= max_bytes:
-            return True
-    except Exception:  # noqa: BLE001 — estimate unavailable: fall through to the count
-        pass
-    return df.limit(max_rows + 1).count() <= max_rows
+#: Bytes that a broadcast side may have by the optimizer's estimate.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Size check before a broadcast, by the optimizer's estimate in bytes; no job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= max_bytes
 
 
 def asof_left(
@@ -72,20 +69,20 @@ def asof_left(
     value_cols: list[str],
     *,
     strategy: str = "auto",
-    broadcast_limit: int = 1_000_000,
+    broadcast_bytes: int = BROADCAST_BYTES,
     bucket_width: int | None = None,
 ) -> DataFrame:
     """Left rows plus ``value_cols`` from the as-of matching right row (NULL when none).
 
-    ``strategy``: ``"auto"`` (interval when the reduced right side has at most
-    ``broadcast_limit`` rows, else bucketed), ``"interval"`` or ``"bucketed"``.
+    ``strategy``: ``"auto"`` (interval when the reduced right side is estimated at
+    ``broadcast_bytes`` or less, else bucketed), ``"interval"`` or ``"bucketed"``.
     ``bucket_width`` is in days for DATE time columns and microseconds for
     timestamps (default: 366 days / 1 day).
     """
     on = [on] if isinstance(on, str) else list(on)
     reduced = _reduce_right(right, on, right_ts, value_cols)
     if strategy == "auto":
-        strategy = "interval" if is_small(reduced, broadcast_limit) else "bucketed"
+        strategy = "interval" if is_small(reduced, broadcast_bytes) else "bucketed"
     if strategy == "interval":
         return _asof_interval(left, reduced, on, _as_col(left_ts), value_cols)
     if strategy == "bucketed":

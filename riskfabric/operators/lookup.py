@@ -100,11 +100,11 @@ def attach(df: DataFrame, col: str, resolved: DataFrame, out: str) -> DataFrame:
     return df.join(r, df[col] == r["_rs_raw"], "left").drop("_rs_raw")
 
 
-def _bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint for a lookup table after a size check (estimate, else capped count)."""
+def _bounded(df: DataFrame) -> DataFrame:
+    """Broadcast hint for a lookup table that is small by the optimizer's estimate; else Spark decides."""
     from riskfabric.operators.asof import is_small
 
-    return F.broadcast(df) if is_small(df, max_rows) else df
+    return F.broadcast(df) if is_small(df) else df
 
 
 def name_to_iso3(df: DataFrame, col: str, countries: DataFrame, overrides: DataFrame, out: str = "country_iso3",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfabric import refdata
+from riskfabric.sources.dims import lookup_table
 
 
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
@@ -47,7 +48,7 @@ def require_columns(df: DataFrame, required: list[str], what: str) -> None:
 
 
 def overrides_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(refdata.NAME_OVERRIDES, "name string, iso3 string")
+    return lookup_table(spark, refdata.NAME_OVERRIDES, "name").drop("ord")
 
 
 def col_or_null(df: DataFrame, name: str):

@@ -79,8 +79,10 @@ def seed_countries(iso_countries: DataFrame, region_map: DataFrame, specials: Da
 
 
 def lookup_table(spark: SparkSession, pairs: list[tuple], key: str = "key", value: str = "iso3") -> DataFrame:
-    """A small two-column lookup DataFrame with an order column (for ordered lookups)."""
-    rows = [(k, v, i) for i, (k, v) in enumerate(pairs)]
-    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField(value, T.StringType()),
-                           T.StructField("ord", T.IntegerType())])
-    return spark.createDataFrame(rows, schema)
+    """A small two-column lookup DataFrame with an order column (for ordered lookups).
+
+    A constant array, so that the optimizer knows its size.
+    """
+    rows = [F.struct(F.lit(k).cast("string").alias(key), F.lit(v).cast("string").alias(value), F.lit(i).alias("ord"))
+            for i, (k, v) in enumerate(pairs)]
+    return spark.range(1).select(F.inline(F.array(*rows)))
