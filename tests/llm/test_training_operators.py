@@ -383,6 +383,36 @@ def test_noise_is_decoded(toxic, noisy):
     assert model.score(list(hits.values())) >= 0.5
 
 
+@pytest.fixture(scope="module")
+def chatty(spark):
+    """A scorer from sentences with short words."""
+    rng = np.random.default_rng(8)
+    plain = ["you", "are", "an", "a", "i", "what", "idea", "this", "is", "so", "the", "that", "tool", "all", "love", "we", "to", "house", "river", "green", "garden"]
+    rows = []
+    for i in range(600):
+        words = list(rng.choice(plain, 40)) + (["stupid", "idiot"] if i % 6 == 0 else [])
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(i % 6 == 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return toxicity.fit(df.select("doc_id", "text"), toxicity.training_labels(df.select("doc_id", "toxic")))
+
+
+@pytest.mark.parametrize("text", [
+    "what a s t u p i d idea", "y o u a r e a n i d i o t", "t h i s i s s o s t u p i d", "i a m a n i d i o t", "what a s.t.u.p.1.d idea",
+    "t h a t t o o l i s s t u u u u p i d", "y.o.u.a.r.e.s.t.u.p.i.d", "w e a l l l o v e t h e r i v e r y o u i d i 0 t",
+])
+def test_spaced_runs_are_several_words(chatty, text):
+    hits = toxicity.Scorer(chatty).hits(text)
+    assert set(hits) & {"stupid", "idiot"}, hits
+
+
+def test_spaced_runs_in_words(chatty):
+    words = lambda t: toxicity.decode(t, chatty.chars).split(" ")
+    assert words("y o u a r e a n i d i o t") == ["you", "are", "an", "idiot"]
+    assert words("t h a t t o o l") == ["that", "tool"]
+    assert words("s t u u u u p i d") == ["stupid"]
+
+
 def test_scores(toxic, odd, none):
     df, model = toxic
     got = {r["doc_id"]: r for r in toxicity.score(df, model).collect()}
