@@ -413,6 +413,22 @@ def test_spaced_runs_in_words(chatty):
     assert words("s t u u u u p i d") == ["stupid"]
 
 
+@pytest.mark.parametrize("noisy", [
+    "stu" + "u" * 50 + "pid", "s" + "-" * 60 + "tupid", "s--t--u--p--i--d", "1" + "d" * 100 + "1" + "0" * 100 + "t", ".".join("y0u" * 20) + "." + "s.t.u.p.i.d",
+    "y o u a r e " * 5 + "s t u p i d", "s_._t" + "_" * 50 + "upid", "s t u " + "u " * 50 + "p i d",
+])
+def test_long_tokens_are_decoded(chatty, noisy):
+    scorer = toxicity.Scorer(chatty)
+    assert any("stupid" in w or "idiot" in w for w in scorer.restorer.words(f"what {noisy} idea")), scorer.restorer.words(noisy)
+    if not noisy.startswith("y.0.u"):  # one long token without ends of words
+        assert set(scorer.hits(f"what {noisy} idea")) & {"stupid", "idiot"}
+
+
+def test_noisy_tokens_are_looked_at_once(chatty):
+    text = "a1-b2_" * 20_000
+    assert toxicity.Restorer(chatty.chars).tokens(text) == {"a", "b", "a1-b2_" * 19_999 + "a1-b2"}
+
+
 def test_scores(toxic, odd, none):
     df, model = toxic
     got = {r["doc_id"]: r for r in toxicity.score(df, model).collect()}
