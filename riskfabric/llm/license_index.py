@@ -1,11 +1,12 @@
 """Licence scan by a positional index of rare licence words, in DataFrame operations only.
 
 Every text is cut into words; only words of the licence vocabulary are kept, with their
-positions. Their inverse document frequencies come from all documents. Each file looks up
-its ``RAREST`` distinct licence words of the highest frequency score in the templates' postings (word ->
-template, offset); occurrences that agree on the template's first word vote for that place.
-A place with enough votes is verified: the template's words are compared at their positions, and
-every word of its mandatory key phrase must stand there. The share of matching words is the place's score.
+positions. Their inverse document frequencies come from all documents. Each template's ``RAREST``
+words of the highest frequency score in its mandatory key phrase are looked up wherever they occur
+(word -> template, offset); occurrences that agree on the template's first word vote for that place.
+A place with the votes of all of them is verified: the template's words are compared at their positions,
+enough of them and every word of the key phrase must stand there. As a verified place holds the whole
+key phrase, the lookup misses none. The share of matching words is the place's score.
 
 Base phrases are found for themselves, from consecutive positions, and are always reported.
 
@@ -43,8 +44,9 @@ TEMPLATES = [
 # Words too common to be indexed; a template matches anything in their places.
 COMMON = frozenset("a and any are as by for in is may not of or the this to with you 0 2 4".split())
 
-RAREST = 12
-#: A place needs this share of the template's indexed words as votes (two at least).
+#: Words of a template's key phrase that are looked up (all of them, if it has fewer).
+RAREST = 2
+#: A verified place holds this share of the template's indexed words (two words at least).
 VOTES = 0.5
 #: What a base phrase alone scores.
 BASE_SCORE = 0.5
@@ -97,20 +99,21 @@ def template_matches(found: DataFrame) -> DataFrame:
     index = F.broadcast(postings(spark))  # as many rows as the templates have words
     files = found.where(F.size("hits") > 1)
     n_docs = found.count()
-    seen = files.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["w"]))).alias("w"))
+    seen = found.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["w"]))).alias("w"))
     idf = seen.groupBy("w").agg(F.log((n_docs + 1) / (F.count(F.lit(1)) + 1)).alias("idf"))
     words = files.select("row", F.explode("hits").alias("h")).select("row", "h.w", "h.pos")
-    # The vocabulary bounds the frequencies' rows.
-    rare = words.select("row", "w").distinct().join(F.broadcast(idf), "w")
-    rare = rare.withColumn("rank", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("idf"), "w"))).where(F.col("rank") <= RAREST)
-    looked = words.join(rare.select("row", "w"), ["row", "w"]).join(index, "w")
-    places = looked.groupBy("row", "template", (F.col("pos") - F.col("offset")).alias("start")).agg(F.count(F.lit(1)).alias("votes"), F.first("n").alias("n"))
-    places = places.where(F.col("votes") >= F.greatest(F.lit(2), F.ceil(F.col("n") * VOTES))).select("row", "template", "start")
+    # The vocabulary bounds the frequencies' rows, the templates those of the words looked up.
+    rare = postings(spark).where("key").join(F.broadcast(idf), "w", "left").withColumn("idf", F.coalesce("idf", F.log(F.lit(n_docs + 1.0))))
+    rare = rare.withColumn("rank", F.row_number().over(Window.partitionBy("template").orderBy(F.desc("idf"), "w", "offset"))).where(F.col("rank") <= RAREST)
+    looked = words.join(F.broadcast(rare.select("w", "template", "offset", "n_key")), "w")
+    places = looked.groupBy("row", "template", (F.col("pos") - F.col("offset")).alias("start")).agg(F.count(F.lit(1)).alias("votes"), F.first("n_key").alias("n_key"))
+    places = places.where(F.col("votes") >= F.least(F.lit(RAREST), "n_key")).select("row", "template", "start")
     # Verified with all licence words of the file, rare or not.
     at = words.join(index, "w").withColumn("start", F.col("pos") - F.col("offset")).join(places, ["row", "template", "start"])
     checked = at.groupBy("row", "template", "start").agg(
-        F.first("label").alias("label"), (F.count(F.lit(1)) / F.first("n")).alias("score"), F.sum(F.col("key").cast("int")).alias("keys"), F.first("n_key").alias("n_key")
+        F.first("label").alias("label"), F.count(F.lit(1)).alias("words"), F.first("n").alias("n"), F.sum(F.col("key").cast("int")).alias("keys"), F.first("n_key").alias("n_key")
     )
+    checked = checked.where(F.col("words") >= F.greatest(F.lit(2), F.ceil(F.col("n") * VOTES))).withColumn("score", F.col("words") / F.col("n"))
     return checked.where("keys = n_key").select("row", "label", "score")
 
 

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, round trips and odd tables."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -335,6 +336,42 @@ def test_licence_templates_without_base_phrase(spark):
     assert got == {1: ("bsd", ""), 2: ("", ""), 3: ("mit", "")}
 
 
+def test_licence_files_with_many_notices(spark):
+    texts = [t for _, t, _ in license_index.TEMPLATES]
+    files = [(0, [3, 8, 1]), (1, [1, 8]), (2, list(range(len(texts)))), (3, list(range(len(texts)))[::-1])]
+    files += [(10 + k, list(c)) for k, c in enumerate(itertools.combinations(range(len(texts)), 3))]
+    rows = [(i, " ~ zz ~ ".join(texts[k] for k in ks)) for i, ks in files]
+    got = {r["doc_id"]: set(r["labels"].split(",")) for r in license_index.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    lost = [i for i, ks in files if not {license_index.TEMPLATES[k][0] for k in ks} <= got[i]]
+    assert not lost, len(lost)
+
+
+def test_licences_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    vocabulary = [*license_index.VOCABULARY, "zz", "a"]
+    rows = []
+    for i in range(150):
+        words = []
+        for _ in range(rng.integers(0, 6)):
+            part = license_index.TEMPLATES[rng.integers(len(license_index.TEMPLATES))][1].split()
+            for _ in range(rng.integers(0, 6)):  # changed words
+                part[rng.integers(len(part))] = str(rng.choice(vocabulary))
+            words += [*part, *rng.choice(vocabulary, rng.integers(0, 4))]
+        rows.append((i, " ".join(words)))
+    for r in license_index.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        words = rows[r["doc_id"]][1].split()
+        want, best = set(filter(None, r["base_labels"].split(","))), 0.5 * bool(r["base_labels"])
+        for label, text, phrase in license_index.TEMPLATES:
+            t = text.split()
+            keys = license_index._key_offsets(t, phrase.split())
+            known = [k for k, w in enumerate(t) if w not in license_index.COMMON]
+            for start in range(-len(t), len(words)):
+                same = [k for k in known if 0 <= start + k < len(words) and words[start + k] == t[k]]
+                if len(same) >= max(2, math.ceil(len(known) / 2)) and set(keys) & set(known) <= set(same):
+                    want, best = want | {label}, max(best, len(same) / len(known))
+        assert set(filter(None, r["labels"].split(","))) == want and r["score"] == pytest.approx(best)
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((1_500, 16)) + 2 * rng.standard_normal((12, 16))[rng.integers(0, 12, 1_500)]
