@@ -9,8 +9,8 @@ one tag for a span's first character and one for the rest.
 A text is cut into overlapping windows. Every window is decoded by the Viterbi algorithm; a character's
 tags come from the window in which it lies deepest, and spans that meet at a seam with the same kind
 are one span. Spans of the method are added where they overlap no pattern span; a pattern span is never
-changed or dropped. A span of the method holds a digit or '@' by definition, so windows without
-either are not decoded.
+changed or dropped. The numbers' spans hold digits, an e-mail address '@' or "at" as a word; every window with a
+digit, '@' or one of the words "at" and "dot" is decoded.
 
 Defined results: null and empty texts have no spans; repeated rows are tagged each; an empty
 table gives no rows; a sample without any span gives a tagger that adds none.
@@ -19,7 +19,9 @@ table gives no rows; a sample without any span gives a tagger that adds none.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfabric.llm.common import hash_sample, map_arrow, slices, texts_of
+from riskfabric.llm.common import hash_sample, map_arrow, scratch_table, slices, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)
-#: Training sample: documents at most (those with the smallest hash of their identifier, among those with a span).
+#: Training sample: documents at most (those with the smallest hash of their identifier, among those with a pattern span).
 SAMPLE_DOCS, SNIPPETS, EPOCHS, HIDDEN = 4_000, 4_000, 6, 16
 WINDOW, STRIDE = 96, 48
 SEED = 7
@@ -260,10 +262,9 @@ def noisy(kind: int, value: str, rng: np.random.Generator) -> str:
     """The same data as people write it to escape patterns."""
     if kind == 0:
         name, _, host = value.partition("@")
-        at = (" @ ", "@ ", " @", " (at) ", " [at] ")[rng.integers(5)]
-        dot = (".", " . ", " dot ", "(dot)", ". ")[rng.integers(5)]
-        text = name + at + host.replace(".", dot)
-        return text if any(c.isdigit() or c == "@" for c in text) else f"{name}1{at}{host.replace('.', dot)}"
+        at = (" @ ", "@ ", " @", " (at) ", " [at] ", " at ", "(at)", "[at]")[rng.integers(8)]
+        dot = (".", " . ", " dot ", "(dot)", ". ", " (dot) ", " [dot] ", "[dot]")[rng.integers(8)]
+        return name + at + host.replace(".", dot)
     if kind == 1:
         return value.replace(".", (" . ", ". ", "[.]", " .")[rng.integers(4)])
     if kind == 2:
@@ -300,10 +301,11 @@ def training_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             add(text, spans, a)
             left, value, right = text[max(0, a - WINDOW) : a], noisy(kind, text[a:b], rng), text[b : b + WINDOW]
             add(left + value + right, [(kind, len(left), len(left) + len(value))], len(left))
-        for m in list(re.finditer(r"[0-9@]", text))[:40]:
-            if not taken[max(0, m.start() - 1) : m.end() + 1].any():
-                add(text, spans, m.start())
-                break
+        for asks in (_SIGN, _AT_DOT):
+            for m in itertools.islice(asks.finditer(text), 40):
+                if not taken[max(0, m.start() - 1) : m.end() + 1].any():
+                    add(text, spans, m.start())
+                    break
         if len(text) > WINDOW:
             add(text, spans, int(rng.integers(0, len(text))))
         if len(xs) >= 5 * SNIPPETS:
@@ -314,12 +316,28 @@ def training_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(xs)[pick], np.array(ys)[pick]
 
 
+def sample_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, t: of every text with a pattern span a piece around one of its spans, chosen by the identifier's hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            ids, pieces = [], []
+            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if spans := base_spans(text):
+                    start = max(0, spans[zlib.crc32(str(i).encode()) % len(spans)][1] - 300)
+                    ids.append(i)
+                    pieces.append(text[start : start + 900])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(pieces, pa.string())], names=["doc_id", "t"])
+
+    texts = texts_of(docs, id_col, text_col).where(F.col("text").rlike("[0-9@]"))  # every pattern needs one
+    return map_arrow(texts, run, "doc_id long, t string")
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tagger | None:
-    """Train on a bounded sample of documents that hold a digit or '@' (None if there is no pattern span)."""
-    texts = texts_of(docs, id_col, text_col).where(F.col("text").rlike("[0-9@]"))
-    # Only a piece around the first such character is sorted and collected: the sample's size has a bound, whatever the texts' length.
-    piece = F.expr("substring(text, greatest(1, regexp_instr(text, '[0-9@]') - 300), 900)")
-    rows = hash_sample(texts.select("doc_id", piece.alias("t")), "doc_id", SAMPLE_DOCS, "t").select("t").collect()
+    """Train on a bounded sample of the documents with a pattern span (None if there is none)."""
+    # Only pieces are written, sorted and collected: the sample's size has a bound, whatever the texts' length.
+    pieces = scratch_table(sample_pieces(docs, id_col, text_col), "pii_pieces")
+    rows = hash_sample(pieces, "doc_id", SAMPLE_DOCS, "t").select("t").collect()
     x, y = training_windows([r["t"] for r in rows])
     return train(x, y) if (y > 0).any() else None
 
@@ -345,11 +363,12 @@ def method_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int,
     windows, places = [], []
     flats = {}
     for k, text in enumerate(texts):
-        if "@" not in text and not _HAS_DIGIT.search(text):
+        words = [p for m in _AT_DOT.finditer(text) for p in (m.start(), m.end() - 1)]
+        if not words and "@" not in text and not _HAS_DIGIT.search(text):
             continue
         flat = codes(text)
-        asks = np.flatnonzero((flat == _CLASS[ord("0")]) | (flat == _CLASS[ord("@")]))
-        # Every window in which such a character lies.
+        asks = np.concatenate([np.flatnonzero((flat == _CLASS[ord("0")]) | (flat == _CLASS[ord("@")])), np.array(words, np.int64)])
+        # Every window in which such a character or word lies.
         last = max(0, -(-(len(flat) - WINDOW) // STRIDE))
         near = np.unique(np.clip(np.concatenate([asks // STRIDE - j for j in range(WINDOW // STRIDE)]), 0, last))
         flats[k] = flat
@@ -386,11 +405,15 @@ def method_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int,
 
 
 _HAS_DIGIT = re.compile(r"[0-9]")
+_SIGN = re.compile(r"[0-9@]")
+#: "at" and "dot" as words, also in brackets.
+_AT_DOT = re.compile(r"(?<![^\W_])(?:[aA][tT]|[dD][oO][tT])(?![^\W_])")
 _SIGNS = r"[^\n0-9]{0,5}"
-#: What a span of the method must hold, by kind: a sign or word for "at" between other characters; four numbers;
+#: What a span of the method must hold, by kind: a sign or word for "at" between other characters, and after the word
+#: a sign or word for "dot" unless there is a digit or '@' (no address is without a dot); four numbers;
 #: 13 to 19 digits; 7 to 15 digits. No line ends, at most five other characters between two digits.
 _CONTENT = (
-    re.compile(r"(?=.*[0-9@])[^\n]*[^\s][^\n]{0,3}(?:@|\bat\b)[^\n]{0,3}[^\s][^\n]*"),
+    re.compile(r"(?=.*[0-9@]|.*\b(?i:at)\b.*(?:\.|\b(?i:dot)\b))[^\n]*[^\s][^\n]{0,3}(?:@|\b(?i:at)\b)[^\n]{0,3}[^\s][^\n]*"),
     re.compile(rf"(?:[0-9]{{1,3}}{_SIGNS}){{3}}[0-9]{{1,3}}"),
     re.compile(rf"(?:[0-9]{_SIGNS}){{12,18}}[0-9]"),
     re.compile(rf"[^\n0-9]{{0,6}}(?:[0-9]{_SIGNS}){{6,14}}[0-9]"),

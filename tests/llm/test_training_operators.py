@@ -300,6 +300,52 @@ def test_tagger_finds_what_patterns_miss(tagger):
         assert set(base[0]) <= set(both[0])
 
 
+ADDRESSES = [
+    "jane.doe (at) example (dot) com", "mary at example dot org", "john.smith [at] mail [dot] example [dot] net", "anna.lee at example.com", "peter(at)example.org",
+]
+
+
+@pytest.fixture(scope="module")
+def plain_tagger():
+    """Trained on addresses without digits among words that hold "at" and "dot"."""
+    rng = np.random.default_rng(10)
+    names, hosts = ["jane", "john", "mary", "peter", "anna", "lee", "smith", "doe", "brown"], ["example", "mail", "post", "school", "work"]
+    texts = []
+    for k in range(1200):
+        words = [" ".join(rng.choice(["the", "report", "was", "sent", "to", "them", "at", "noon.", "and", "a", "dot", "level", "of", "look", "home"], 30)) for _ in range(3)]
+        digits = "".join(map(str, rng.integers(0, 10, 15)))
+        card = next(digits + str(c) for c in range(10) if pii_crf.luhn(digits + str(c)))
+        mail = f"{'.'.join(rng.choice(names, rng.integers(1, 3)))}@{'.'.join(rng.choice(hosts, rng.integers(1, 3)))}.{rng.choice(['com', 'org', 'net'])}"
+        value = [mail, mail, ".".join(map(str, rng.integers(0, 256, 4))), card, f"+1 ({rng.integers(200, 999)}) 555-{rng.integers(1000, 9999)}"][k % 5]
+        texts.append(f"{words[0]} {value} {words[1]} {k} {words[2]}")
+    return pii_crf.train(*pii_crf.training_windows(texts))
+
+
+@pytest.mark.parametrize("address", ADDRESSES)
+def test_written_out_addresses_without_digits(plain_tagger, address):
+    text = f"the report was sent to {address} and the level of them"
+    spans = pii_crf.all_spans([text, "look at the report sent at noon and a dot of the level"], plain_tagger)[1]
+    a = text.index(address)
+    assert any(k == 0 and s < a + len(address) // 2 < e for k, s, e in spans[0]), spans
+    assert "at" not in pii_crf.masked(text, spans[0]).split() and "EMAIL" in pii_crf.masked(text, spans[0])
+    assert not spans[1]
+
+
+def test_rewritten_addresses_get_no_digit():
+    rng = np.random.default_rng(1)
+    assert not any(c.isdigit() for _ in range(200) for c in pii_crf.noisy(0, "jane.doe@example.com", rng))
+
+
+def test_sample_lies_around_spans(spark, none):
+    lead = "version 1.2 of 3 May 2020 " * 100  # digits first, the span far behind
+    rows = [(i, f"{lead} user{i}@mail.example.com {lead}") for i in range(60)] + [(100 + i, lead) for i in range(60)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pieces = pii_crf.sample_pieces(docs).collect()
+    assert sorted(r["doc_id"] for r in pieces) == list(range(60))
+    assert all(f"user{r['doc_id']}@mail.example.com" in r["t"] and len(r["t"]) <= 900 for r in pieces)
+    assert pii_crf.fit(docs) is not None
+
+
 def test_pii_odd(odd, none, tagger):
     for r in pii_crf.find(odd, tagger).collect():
         text = next(t or "" for i, t in ODD if i == r["doc_id"])
