@@ -23,7 +23,9 @@ and the slots with high counts form a bit set of a fixed size that every worker
 then neighbours), a round at a time, and the links found are joined into components, so that a
 large group of near copies needs few comparisons. The remaining candidates are the pairs of
 a key that lie in different components, of which one lies outside the component that most
-sets of the key are in. All of them are compared, so no link between two components is missed. A
+sets of the key are in. All of them are compared, so no link between two components is missed;
+the links found are those of a spanning tree and some more. ``jaccard_links`` is the full join: it
+compares all pairs of a key and gives every linked pair of classes. A
 one-bit parity sketch of the whole set (bits, not hashes) rejects most candidates; the others
 are verified on their texts.
 
@@ -410,12 +412,8 @@ def _tries(here: DataFrame, k: int) -> DataFrame:
     return pairs.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
 
 
-def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, n_links.
-
-    n_links counts the links found between the document's class and others; links between
-    classes that are in one component already are not all looked for.
-    """
+def _shared_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The texts, the documents' sets, the classes (hi, lo, doc, n, sketch) and the keys of several classes (key, doc, n, own)."""
     texts = texts_of(docs, id_col, text_col)
     counted = scratch_table(document_sets(docs, id_col, text_col), "shingle_sets")
     sets = counted.where("slot IS NULL").drop("slot", "many")
@@ -429,6 +427,31 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = scratch_table(shared, "shared_keys")
     # From a set's 64-bit name to its class: sets that share a name are classes of their own from here on.
     shared = scratch_table(shared.join(classes.select(F.col("hi").alias("node"), "doc", "n"), "node").select("key", "doc", "n", "own"), "shared_keys")
+    return texts, sets, classes, shared
+
+
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """a, b (a < b): every pair of classes with a Jaccard similarity of at least 0.8, also within components.
+
+    A class is named by the smallest doc_id of the documents with its set. The rows may be as many
+    as the square of a group's classes; documents of one class are linked without a row.
+    """
+    texts, _, classes, shared = _shared_keys(docs, id_col, text_col)
+    here = scratch_table(shared.join(classes.select("doc", F.expr(_FOLDED).alias("fold")), "doc"), "folded_keys")
+    other = here.select("key", F.col("doc").alias("other"), F.col("n").alias("other_n"), F.col("own").alias("other_own"), F.col("fold").alias("other_fold"))
+    pairs = other.join(here, "key").where(F.expr(f"other < doc AND (own OR other_own) AND {_NEAR} AND {_FOLD_NEAR}"))
+    pairs = pairs.select(F.col("other").alias("a"), F.col("doc").alias("b")).distinct()
+    return _verified(scratch_table(_sketched(pairs, classes), "all_pairs"), texts)
+
+
+def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, tree_links.
+
+    tree_links counts the links found between the document's class and others, enough to
+    join its component; links between classes that are in one component already are not all
+    looked for. ``jaccard_links`` gives all of them.
+    """
+    texts, sets, classes, shared = _shared_keys(docs, id_col, text_col)
     links, label = None, None
     for k in range(ROUNDS):
         pairs = scratch_table(_sketched(_tries(_labelled(shared, label), k), classes), "tried_pairs")
@@ -445,15 +468,15 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     more = _verified(scratch_table(_sketched(rest, classes), "other_pairs"), texts)
     links = scratch_table(links.union(more).distinct(), "all_links")
     label = components(links).select(F.col("node").alias("doc"), F.col("label").alias("component_id"))
-    degree = links.select(F.col("a").alias("doc")).union(links.select("b")).groupBy("doc").agg(F.count(F.lit(1)).alias("n_links"))
+    degree = links.select(F.col("a").alias("doc")).union(links.select("b")).groupBy("doc").agg(F.count(F.lit(1)).alias("tree_links"))
     named = classes.select("hi", "lo", "doc").join(label, "doc", "left").join(degree, "doc", "left")
-    named = named.select("hi", "lo", F.coalesce("component_id", "doc").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    named = named.select("hi", "lo", F.coalesce("component_id", "doc").alias("component_id"), F.coalesce("tree_links", F.lit(0)).alias("tree_links"))
     filled = F.col("n") > 0
     return sets.join(named, ["hi", "lo"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(filled, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(filled, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).alias("n_links"),
+        F.when(filled, F.coalesce("tree_links", F.lit(0))).otherwise(F.lit(0)).alias("tree_links"),
     )
 
 

@@ -224,6 +224,30 @@ def test_parity_join_is_exact(spark):
     assert got == sorted(brute_components(rows))
 
 
+def test_parity_join_emits_all_links(spark, none):
+    rng = np.random.default_rng(12)
+    rows = []
+    for size, copies in ((8, 6), (30, 12), (60, 40), (200, 12)):  # groups of near copies, more than a tree's links each
+        words = [f"w{x}" for x in rng.integers(0, 10_000, size)]
+        for _ in range(copies):
+            own = list(words)
+            for k in range(int(rng.integers(0, 2 + size // 25))):
+                own[-1 - k] = f"e{rng.integers(10**6)}"
+            rows.append((len(rows), " ".join(own)))
+    rows += [(len(rows), ""), (len(rows) + 1, None), (None, rows[0][1])]
+    sets = {}
+    for i, t in rows:
+        if i is not None and shingles(t):
+            sets.setdefault(frozenset(shingles(t)), i)
+    near = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
+    want = sorted((min(sets[x], sets[y]), max(sets[x], sets[y])) for x, y in itertools.combinations(sets, 2) if near(x, y))
+    assert len(want) > 5 * len(sets)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert by_id(parity_join.jaccard_links(df), "a", "b") == want
+    assert parity_join.jaccard_links(none).count() == 0
+    assert "n_links" not in parity_join.jaccard_groups(none).columns  # what it counts is no join's links
+
+
 def test_parity_join_odd(odd, none):
     rows = [r for r in ODD if r[0] is not None]
     got = by_id(parity_join.jaccard_groups(odd).where("doc_id IS NOT NULL"), "doc_id", "n_shingles", "component_id")
