@@ -6,6 +6,7 @@ import math
 import re
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -573,3 +574,68 @@ def test_held_out_rule(spark):
     kept = {r["doc_id"] for r in toxicity.training_labels(labels).collect()}
     assert kept == {i for i in range(50) if zlib.crc32(str(i).encode()) % 5}
     assert labels.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).count() == 50 - len(kept)
+
+
+def test_pipeline_equals_a_plain_version(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(11)
+    plain = [w for w in WORDS if w not in ("stupid", "idiot")] + ["mountain", "silver", "ship", "table", "winter", "summer"]
+    texts = []
+    for i in range(240):
+        words = list(rng.choice(plain, 60)) + (["stupid", "idiot"] if i % 6 == 0 else [])
+        rng.shuffle(words)
+        texts.append(" ".join(words) + (f" user{i}@mail.example.com" if i % 4 == 1 else ""))
+    rows = list(enumerate(texts))
+    rows += [(300, texts[1].upper()), (301, texts[2]), (302, texts[3] + " more"), (303, texts[5] + " and then")]  # equal and near copies
+    rows += [(304, None), (305, ""), (306, ""), (None, "no id"), (None, None), (7, texts[7]), (7, texts[7])]  # nulls and repeated rows
+    docs = [(i, t, f"s{k}", len(t or ""), bool(k % 2)) for k, (i, t) in enumerate(rows)]
+    schema = "doc_id long, text string, key string, n_chars long, label boolean"  # names that operators use inside
+    spark.createDataFrame(docs, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(i, 1, int(i % 6 == 0)) for i in range(240)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    made = []
+
+    def kept(stage):
+        def call(*args):
+            made.append(stage(*args))
+            made[-1] = made[-1].localCheckpoint()
+            return made[-1]
+
+        return call
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(name, kept(stage)) for name, stage in corpus_pipeline.STAGES])
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    got = [sorted(map(tuple, m.collect()), key=repr) for m in made[:4]]
+    # Toxicity: the sixths with the words go, every column unchanged.
+    want = [d for d in docs if not re.search("stupid|idiot", d[1] or "", re.I)]
+    assert got[0] == sorted(want, key=repr)
+    # Exact copies: of equal texts the largest identifier stays, in one row.
+    by_text = {}
+    for d in want:
+        by_text.setdefault(norm(d[1]), []).append(d)
+    best = {t: max((-1 if d[0] is None else d[0]) for d in ds) for t, ds in by_text.items()}
+    assert sorted((norm(d[1]), -1 if d[0] is None else d[0]) for d in got[1]) == sorted(best.items())
+    assert set(got[1]) <= set(want)
+    # Near copies: of each component the smallest identifier stays; a null one is kept.
+    named = brute_components([d[:2] for d in got[1]])
+    assert got[2] == sorted((d for d, (i, _, c) in zip(got[1], named, strict=True) if i is None or i == c), key=repr)
+    # Personal data: at least the patterns' spans are masked, other texts and columns stay.
+    assert len(got[3]) == len(got[2])
+    after = {d[2]: d for d in got[3]}
+    for d in got[2]:
+        new = after[d[2]]
+        assert (d[0], d[4], d[1] is None) == (new[0], new[4], new[1] is None)
+        assert (new[1] or "") == re.sub(r"user\d+@mail\.example\.com", "[EMAIL]", d[1] or "", flags=re.I)
+        assert new[3] == len(new[1] or "")
+    assert sum("[EMAIL]" in (d[1] or "") for d in got[3]) > 20
+    # Packing: the pieces of every document hold all its tokens and an end, in sequences of at most 4096.
+    length, end = {}, {}
+    for r in sorted(pieces, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == end.get(r["sequence_id"], 0)
+        end[r["sequence_id"]] = r["offset"] + r["length"]
+        length[r["doc_id"]] = length.get(r["doc_id"], 0) + r["length"]
+    assert max(end.values()) <= 4096
+    assert length == {d[0]: len(encoded(WORD, d[1])) + 1 for d in got[3]}
+    # An empty table passes every stage.
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/none/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
