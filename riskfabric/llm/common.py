@@ -79,6 +79,14 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Delete a table that ``scratch_table`` wrote and that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def hash_sample(df: DataFrame, id_col: str, most: int, *ties: str) -> DataFrame:
     """At most ``most`` rows, those with the smallest hash of ``id_col`` (ties by it, then by ``ties``).
 

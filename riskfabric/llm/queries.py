@@ -7,7 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfabric.catalog import Query
-from riskfabric.llm import elias_fano, exact_sort, harmonic_pack, license_index, parity_join, pii_crf, piece_rounds, posting_ann, token_counts, toxicity
+from riskfabric.llm import (
+    elias_fano,
+    exact_sort,
+    harmonic_pack,
+    license_index,
+    parity_join,
+    pii_crf,
+    piece_rounds,
+    pivotal_mix,
+    posting_ann,
+    shallot_kmeans,
+    token_align,
+    token_counts,
+    toxicity,
+)
 
 _QUERIES: dict[str, Query] = {}
 
@@ -100,3 +114,22 @@ def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_whole_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_register("op11_pivotal_mix")
+def op11_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix by weight takes of every document."""
+    found = pivotal_mix.mix(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "part")
+
+
+@_register("op12_shallot_kmeans", shallot_kmeans.SQL)
+def op12_shallot_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all vectors of 64 components after 5 rounds from 40 centroids."""
+    return shallot_kmeans.clusters(spark, _table(spark, sf_dir, "embeddings"))
+
+
+@_register("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers lie over each other in every document."""
+    return token_align.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
