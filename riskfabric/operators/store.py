@@ -34,12 +34,14 @@ def _order_struct(order_cols: list[Column | str]) -> Column:
     return F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_cols])
 
 
-def dedupe_first(df: DataFrame, keys: list[str], order_cols: list[Column | str]) -> DataFrame:
-    """First row per key by ``order_cols`` (ascending; later columns break ties)."""
+def dedupe_first(df: DataFrame, keys: list[str], order_cols: list[Column | str], count_as: str | None = None) -> DataFrame:
+    """First row per key by ``order_cols`` (ascending; later columns break ties); ``count_as`` adds the key's rows."""
     payload = [c for c in df.columns if c not in keys]
     packed = F.struct(_order_struct(order_cols).alias("o"), F.struct(*payload).alias("p"))
-    g = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    return g.select(*keys, *[F.col(f"_first.p.{c}").alias(c) for c in payload]).select(*df.columns)
+    rows = [F.count(F.lit(1)).alias(count_as)] if count_as else []
+    g = df.groupBy(*keys).agg(F.min(packed).alias("_first"), *rows)
+    return g.select(*keys, *[F.col(f"_first.p.{c}").alias(c) for c in payload], *g.columns[len(keys) + 1:]).select(
+        *df.columns, *g.columns[len(keys) + 1:])
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,33 +53,25 @@ def upsert(target: DataFrame, stage: DataFrame, keys: list[str], table: str | No
            order_cols: list[Column | str] | None = None) -> DataFrame:
     """Merged table rows after INSERT OR REPLACE of ``stage`` into ``target`` on ``keys``.
 
-    ``order_cols`` resolves in-batch key collisions (first row wins); without it
-    the stage keys must be unique. ``table`` names the canonical table whose
+    One full outer join on the keys: each side is read and shuffled once. ``order_cols`` resolves
+    in-batch key collisions (first row wins); without it the stage keys must be unique. ``table`` names the canonical table whose
     defaults apply to new rows for columns missing from the stage.
     """
-    tcols = target.columns
     if order_cols is not None:
         stage = dedupe_first(stage, keys, order_cols)
-    stage = stage.select(*[c for c in stage.columns if c in tcols])
-    absent = [c for c in tcols if c not in stage.columns]
-    kept = target.join(stage.select(*keys), keys, "left_anti")
-    if not absent:
-        return kept.unionByName(stage.select(*tcols))
-    defaults = schemas.COLUMN_DEFAULTS.get(table or "", {})
-    old = target.select(*keys, *absent, F.lit(True).alias("_matched"))
-    j = stage.join(old, keys, "left")
-    ttypes = dict(target.dtypes)
-    fill = {}
-    for c in absent:
-        if c in defaults:
-            dflt = F.lit(defaults[c]).cast(ttypes[c])
-        elif c == "ingested_at_utc":
-            dflt = F.current_timestamp().cast(ttypes[c])
-        else:
-            dflt = F.lit(None).cast(ttypes[c])
-        fill[c] = F.when(F.col("_matched"), F.col(c)).otherwise(dflt)
-    completed = j.withColumns(fill).select(*tcols)
-    return kept.unionByName(completed)
+    types, defaults = dict(target.dtypes), schemas.COLUMN_DEFAULTS.get(table or "", {})
+    given = [c for c in target.columns if c in stage.columns]
+    new = stage.select(*[F.col(c).cast(types[c]).alias(f"_new_{c}") for c in given], F.lit(True).alias("_is_new"))
+    old = target.withColumn("_is_old", F.lit(True))
+    both = old.join(new, [F.col(k) == F.col(f"_new_{k}") for k in keys], "full_outer")
+
+    def merged(c: str) -> Column:
+        if c in given:
+            return F.when(F.col("_is_new"), F.col(f"_new_{c}")).otherwise(F.col(c))
+        default = F.current_timestamp() if c == "ingested_at_utc" else F.lit(defaults.get(c))
+        return F.when(F.col("_is_old").isNull(), default.cast(types[c])).otherwise(F.col(c))
+
+    return both.select(*[merged(c).alias(c) for c in target.columns])
 
 
 def evolve_event_count(fact_incident: DataFrame) -> DataFrame:
@@ -225,6 +219,37 @@ def commit_table(spark: SparkSession, merged: DataFrame, path: str, partition_by
     return n
 
 
+class PathTables:
+    """Tables as plain parquet folders under ``root``: a load overwrites the partitions that it touches.
+
+    A reader may see a load half done, and finding the partitions that hold a key scans the table's
+    keys; ``versioned.Warehouse`` has neither fault and needs a catalog.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def exists(self, table: str) -> bool:
+        return path_exists(self.spark, self.path(table))
+
+    def read(self, table: str) -> DataFrame:
+        return read_table(self.spark, self.path(table), table)
+
+    def load(self, table: str, batch: DataFrame, keys: list[str], partition_by: list[str] | tuple = (),
+             source: tuple[str, str] | None = None) -> None:
+        target, parts = self.read(table), None
+        if partition_by:
+            # Merge only inside the partitions this batch touches, so that the scan of the
+            # target is pruned to them and the commit rewrites only them.
+            parts = touched_partitions(target, batch, keys, list(partition_by), source)
+            target = in_partitions(target, parts)
+        merged = replace_source(target, batch, keys, *source, table) if source else upsert(target, batch, keys, table)
+        commit_table(self.spark, merged, self.path(table), list(partition_by) or None, parts)
+
+
 def _partition_folder(col: str, value: str | None) -> str:
     """A partition's folder name as Spark writes it: a fixed name for NULL, special characters by their codes."""
     if value is None:

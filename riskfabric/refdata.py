@@ -78,6 +78,31 @@ SPECIAL_COUNTRIES = [
     ("PSE", "PS", "Palestinian Territories", "MENA"),
 ]
 
+# Countries of each region when the country dimension is seeded.
+SEEDED_REGION_COUNTRIES = [
+    ("EU_EUR", "RUS UKR GBR DEU FRA POL FIN SWE NOR TUR AZE ARM GEO BLR MDA SRB KAZ UZB"),
+    ("MENA", "ISR PSE IRN IRQ SYR SAU YEM LBN JOR EGY LBY TUN DZA MAR ARE OMN QAT KWT BHR"),
+    ("SSA", "ETH SDN SSD SOM NGA MLI BFA NER TCD CAF COD MOZ ZAF KEN TZA UGA RWA ZWE COG CMR GNB GIN"),
+    ("SCA", "AFG PAK IND BGD NPL LKA MMR"),
+    ("EAP", "CHN TWN PRK KOR JPN PHL VNM MYS IDN THA AUS NZL SGP PNG"),
+    ("AME", "USA MEX CAN VEN COL BRA ARG CHL PER BOL ECU CUB NIC HND GTM SLV HTI"),
+]
+
+# Countries of each region that the later back-fill assigns where none is stored.
+BACKFILL_REGION_COUNTRIES = [
+    ("EU_EUR", "ALB AND AUT BEL BGR BIH CHE CYP CZE DNK EST ESP FRO GGY GIB GRC GRL HRV HUN IMN IRL ISL ITA JEY "
+               "KGZ LIE LTU LUX LVA MCO MKD MLT MNE NLD PRT ROU SJM SMR SVK SVN TJK TKM VAT ALA"),
+    ("AME", "ABW AIA ATG BES BHS BLM BLZ BMU BRB CRI CUW CYM DMA DOM FLK GLP GRD GUF GUM GUY JAM KNA LCA MAF MNP "
+            "MSR MTQ PAN PRI PRY SPM SUR SXM TCA TTO UMI URY VCT VGB VIR"),
+    ("SSA", "AGO BDI BEN BWA CIV COM CPV ERI GAB GHA GMB GNQ LSO LBR MDG MRT MUS MWI MYT NAM REU SEN SHN SLE STP "
+            "SWZ SYC TGO ZMB"),
+    ("MENA", "DJI ESH"),
+    ("SCA", "BTN MDV"),
+    ("EAP", "ASM BRN CCK COK CXR FJI FSM HKG IOT KHM KIR LAO MAC MHL MNG NCL NFK NIU NRU PCN PLW PYF SLB TKL TLS "
+            "TON TUV VUT WLF WSM"),
+    ("GLO", "ATA ATF BVT HMD SGS"),
+]
+
 DATE_SPINE_START = "2010-01-01"
 DATE_SPINE_END = "2030-12-31"
 

@@ -127,5 +127,23 @@ def conform(df: DataFrame, table: str, fill_defaults: bool = True) -> DataFrame:
     return df.select(*cols)
 
 
+#: A reader's total order of its rows: (file, block start, place in the split), compared field by field.
+ARRIVAL = "_arrival"
+
+
+def present(df: DataFrame, table: str) -> DataFrame:
+    """The table's columns that ``df`` has, typed and in the table's order, and its arrival order if it has one.
+
+    Unlike ``conform`` nothing is filled, so that an upsert keeps the stored values of the columns
+    that a source doesn't deliver.
+    """
+    have = {f.name: f.dataType for f in df.schema.fields}
+    cols = [
+        (F.col(f.name) if have[f.name] == f.dataType else F.col(f.name).try_cast(f.dataType)).alias(f.name)
+        for f in TABLES[table].fields if f.name in have
+    ]
+    return df.select(*cols, *([ARRIVAL] if ARRIVAL in have else []))
+
+
 def empty(spark, table: str) -> DataFrame:
     return spark.createDataFrame([], TABLES[table])

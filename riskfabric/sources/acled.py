@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskfabric import refdata, schemas
 from riskfabric.functions import ids, text
 from riskfabric.operators import lookup
-from riskfabric.sources.common import list_files, overrides_df, read_csv_strings, union_all
+from riskfabric.sources.common import arrival_of, list_files, overrides_df, read_csv_strings, union_all
 
 SOURCE = "ACLED"
 
@@ -50,7 +50,7 @@ def read(spark: SparkSession, raw_dir: str) -> DataFrame | None:
     frames = []
     for cols, paths in groups.items():
         df = read_csv_strings(spark, paths)
-        frames.append(df.toDF(*[c if c == "_source_file" else c.strip().upper() for c in df.columns]))
+        frames.append(df.toDF(*[c if c.startswith("_") else c.strip().upper() for c in df.columns]))
     return union_all(frames) if frames else None
 
 
@@ -61,8 +61,11 @@ def require_columns_list(cols: tuple[str, ...], what: str) -> None:
 
 
 def normalise(raw: DataFrame, countries: DataFrame, overrides: DataFrame | None = None,
-              fuzzy: bool = False) -> DataFrame:
-    """Canonical incident rows; rows with an unparseable week or a missing/negative count are dropped."""
+              fuzzy: bool = False, seen: Observation | None = None) -> DataFrame:
+    """Canonical incident rows; rows with an unparseable week or a missing/negative count are dropped.
+
+    ``seen`` counts them on the same pass.
+    """
     ov = overrides if overrides is not None else overrides_df(raw.sparkSession)
     week = F.try_to_date(F.col("WEEK").cast("string"), "yyyy-MM-dd")
     country = text.text_or_empty("COUNTRY")
@@ -91,9 +94,13 @@ def normalise(raw: DataFrame, countries: DataFrame, overrides: DataFrame | None
         fat.alias("fatalities_low"),
         fat.alias("fatalities_high"),
         F.lit(refdata.ACLED_NOTE).alias("notes"),
+        *arrival_of(raw),
     )
+    if seen is not None:
+        staged = staged.observe(seen, F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col("event_date").isNull()).alias("bad_dates"),
+                                F.count_if(F.col("event_count").isNull() | (F.col("event_count") < 0)).alias("bad_counts"))
     staged = staged.where(F.col("event_date").isNotNull() & F.col("event_count").isNotNull()
                           & (F.col("event_count") >= 0))
     staged = staged.withColumn("incident_id", ids.make_id(F.lit(SOURCE), F.col("source_event_id")))
     staged = lookup.name_to_iso3(staged, "_country", countries, ov, "country_iso3", fuzzy)
-    return schemas.conform(staged, "fact_incident")
+    return schemas.present(staged, "fact_incident")

@@ -8,9 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfabric import refdata
+from riskfabric.schemas import ARRIVAL
 from riskfabric.sources.dims import lookup_table
 
 
+def with_arrival(scan: DataFrame) -> DataFrame:
+    """Add the arrival order to rows just read from files: file path, start of the split, place in it.
+
+    The place only has to grow within a split, which one task reads in order; path and split
+    start order the rest, however Spark packs the splits into tasks.
+    """
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    return scan.withColumn(ARRIVAL, place)
+
+
+def arrival_of(df: DataFrame) -> list[str]:
+    """The arrival column, if the rows have one (for a ``select``)."""
+    return [ARRIVAL] if ARRIVAL in df.columns else []
+
+
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
     """Sorted file paths matching a Hadoop glob (metadata only; no data read on the driver)."""
     jvm = spark.sparkContext._jvm
@@ -33,7 +53,7 @@ def read_csv_strings(spark: SparkSession, path: str, header: bool = True, multi_
     r = r.option("escape", '"')
     for k, v in opts.items():
         r = r.option(k, v)
-    return r.csv(path).withColumn("_source_file", F.col("_metadata.file_name"))
+    return with_arrival(r.csv(path).withColumn("_source_file", F.col("_metadata.file_name")))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

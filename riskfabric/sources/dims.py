@@ -38,6 +38,12 @@ def special_countries(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(refdata.SPECIAL_COUNTRIES, schemas.DIM_COUNTRY)
 
 
+def region_map(spark: SparkSession, pairs: list[tuple[str, str]] = refdata.SEEDED_REGION_COUNTRIES) -> DataFrame:
+    """(iso3, region_code) of the lists of countries by region; ``refdata.BACKFILL_REGION_COUNTRIES`` is the back-fill's."""
+    lists = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(r).alias("region_code"), F.lit(c).alias("codes")) for r, c in pairs])))
+    return lists.select(F.explode(F.split("codes", " ")).alias("iso3"), "region_code")
+
+
 def date_dim(bounds: DataFrame, start_col: str = "start", end_col: str = "end") -> DataFrame:
     """One row per day between the bounds of a one-row DataFrame, inclusive, with calendar parts.
 

@@ -13,33 +13,39 @@ from riskfabric.operators.store import dedupe_first
 from riskfabric.sources.common import overrides_df
 from riskfabric.sources.dims import lookup_table
 
-ARTICLE = T.StructType([T.StructField(c, T.StringType()) for c in
-                        ("url", "title", "seendate", "domain", "sourcecountry", "themes", "tone")])
-FILE = T.StructType([T.StructField("articles", T.ArrayType(ARTICLE))])
+FIELDS = ("url", "title", "seendate", "domain", "sourcecountry", "themes", "tone")
+#: Articles as maps, so that a key that an article has can be told from one it lacks.
+FILE = T.StructType([T.StructField("articles", T.ArrayType(T.MapType(T.StringType(), T.StringType())))])
 
 
 def read(spark: SparkSession, raw_dir: str) -> DataFrame:
     """``artlist_*.json`` files; one row per article with (file, position) for keep-first dedupe.
 
     A file that is not an object with ``articles`` yields no rows (explode drops NULL/empty).
+    ``_has_themes`` tells whether the article has that key, even with a NULL.
     """
     df = spark.read.schema(FILE).option("multiLine", True).json(f"{raw_dir.rstrip('/')}/artlist_*.json")
-    df = df.select(F.col("_metadata.file_name").alias("_source_file"), F.posexplode("articles").alias("_pos", "a"))
-    return df.select("_source_file", "_pos", "a.*")
+    df = df.select(F.col("_metadata.file_path").alias("_source_file"), F.posexplode("articles").alias("_pos", "a"))
+    df = df.where(F.col("a").isNotNull())
+    return df.select("_source_file", "_pos", *[F.col("a")[c].alias(c) for c in FIELDS], F.map_contains_key("a", F.lit("themes")).alias("_has_themes"))
 
 
 def normalise(articles: DataFrame, countries: DataFrame, overrides: DataFrame | None = None,
               has_themes: bool | None = None) -> DataFrame:
     """Canonical news rows, first occurrence per item id kept (by file, position).
 
-    ``topic_tags`` takes the ``themes`` column when the input carries themes at
-    all (a column-level choice, as in the source); otherwise the ``tone`` text.
+    ``topic_tags`` takes the ``themes`` column when any article of the input has that key
+    (a choice for the whole input, as in the source); otherwise the ``tone`` text. The choice is a
+    scalar subquery of the same job. Articles without ``_has_themes`` count by their values.
     """
     spark = articles.sparkSession
     ov = overrides if overrides is not None else overrides_df(spark)
     if has_themes is None:
-        has_themes = articles.where(F.col("themes").isNotNull()).limit(1).count() > 0
-    tags_src = F.col("themes") if has_themes else F.col("tone")
+        has = F.col("_has_themes") if "_has_themes" in articles.columns else F.col("themes").isNotNull()
+        has_themes = articles.agg(F.coalesce(F.bool_or(has), F.lit(False)).alias("h")).scalar()
+    else:
+        has_themes = F.lit(has_themes)
+    tags_src = F.when(has_themes, F.col("themes")).otherwise(F.col("tone"))
     out = articles.select(
         "_source_file", "_pos",
         ids.make_id(F.coalesce("url", F.lit("nan")), F.coalesce("seendate", F.lit("nan"))).alias("item_id"),
@@ -53,4 +59,4 @@ def normalise(articles: DataFrame, countries: DataFrame, overrides: DataFrame |
     out = dedupe_first(out, ["item_id"], ["_source_file", "_pos"])
     fips = lookup_table(spark, refdata.FIPS_EXTRA, "key", "iso3")
     out = lookup.news_country_to_iso3(out, "_src_country", countries, fips, ov, "country_focus_iso3")
-    return schemas.conform(out, "fact_news_pulse")
+    return schemas.present(out, "fact_news_pulse")

@@ -10,29 +10,31 @@ from pyspark.sql import types as T
 
 from riskfabric import refdata, schemas
 from riskfabric.functions import ids, text
+from riskfabric.schemas import ARRIVAL
 from riskfabric.operators import lookup
+from riskfabric.sources.common import arrival_of, with_arrival
 
 SOURCE = "OFAC_SDN"
-# One column beyond the 12 positional ones detects over-long lines.
-RAW = T.StructType([T.StructField(c, T.StringType()) for c in refdata.SDN_COLUMNS + ["_overflow"]])
+RAW = T.StructType([T.StructField(c, T.StringType()) for c in refdata.SDN_COLUMNS])
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Positional 12-column CSV. Over-long lines are skipped; short lines are NULL-padded.
 
-    A non-empty 13th token marks a line as over-long. Known gap: a line whose
-    only extra token is empty (a trailing comma) is kept, because Spark's CSV
-    parser reads an empty trailing token as NULL.
+    Spark reads an empty token like a missing one, so whether a line has a 13th token is asked
+    of the line itself: its commas outside quotes are counted.
     """
-    df = (spark.read.schema(RAW).option("header", False).option("encoding", "ISO-8859-1")
-          .option("mode", "PERMISSIVE").csv(path))
-    df = df.where(F.col("_overflow").isNull())
-    return df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in refdata.SDN_COLUMNS])
+    lines = with_arrival(spark.read.option("encoding", "ISO-8859-1").text(path)).where(F.trim("value") != "")
+    plain = F.regexp_replace("value", '"[^"]*"', "")
+    lines = lines.where(F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) < len(refdata.SDN_COLUMNS))
+    parsed = F.from_csv("value", F.lit(RAW.simpleString()[len("struct<"):-1].replace(":", " ")), {"escape": '"'})
+    df = lines.select(parsed.alias("r"), ARRIVAL)
+    return df.select(*[F.nullif(F.col(f"r.{c}"), F.lit("")).alias(c) for c in refdata.SDN_COLUMNS], ARRIVAL)
 
 
 def explode_programs(raw: DataFrame) -> DataFrame:
     """One row per (entity, program) with placeholders removed."""
-    clean = raw.select(*[text.null_token(c, refdata.SDN_NULL_TOKEN).alias(c) for c in refdata.SDN_COLUMNS])
+    clean = raw.select(*[text.null_token(c, refdata.SDN_NULL_TOKEN).alias(c) for c in refdata.SDN_COLUMNS], *arrival_of(raw))
     progs = F.split(F.coalesce(F.col("program"), F.lit("")), ";")
     return clean.select("*", F.explode(progs).alias("_prog")).withColumn("_prog", F.trim("_prog"))
 
@@ -55,5 +57,6 @@ def normalise(raw: DataFrame, run_date: _dt.date | str) -> DataFrame:
         F.lit("LOW").alias("confidence_flag"),
         F.lit(refdata.SDN_SOURCE_URL).alias("source_url"),
         F.col("remarks").alias("notes"),
+        *arrival_of(raw),
     )
-    return schemas.conform(out, "fact_diplomatic_action")
+    return schemas.present(out, "fact_diplomatic_action")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskfabric import refdata, schemas
 from riskfabric.functions import ids, text
 from riskfabric.operators import lookup
-from riskfabric.sources.common import col_or_null, overrides_df, read_csv_strings
+from riskfabric.sources import archive
+from riskfabric.sources.common import arrival_of, col_or_null, list_files, overrides_df, read_csv_strings, union_all
 
 SOURCE = "UCDP_GED"
 
@@ -20,36 +20,29 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return read_csv_strings(spark, path, multi_line=True)
 
 
-def read_zip(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """First ``.csv`` member of each zip archive, streamed out in Arrow batches.
+def read_zip(spark: SparkSession, path: str, columns: list[str] | None = None, first_only: bool = True) -> DataFrame:
+    """CSV members of the zip archives at ``path`` (a glob), one task a member (``sources.archive``).
 
-    Spark has no zip codec; each archive is one ``binaryFile`` row (the task
-    holds the compressed bytes of that one archive) whose CSV member is
-    decompressed inside the task by ``mapInPandas`` and emitted in 50,000-row
-    chunks, so the decompressed file is never held whole and nothing passes
-    through the driver. One archive is one task: prefer unpacked or gzip CSV for
-    large inputs.
+    An archive's first ``.csv`` member is read, or all of them.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return archive.read(spark, list_files(spark, path), columns, first_only)
 
-    def unzip(batches):
-        import io
-        import zipfile
 
-        import pandas as pd
+def landed(spark: SparkSession, raw_dir: str) -> list[str]:
+    """Archives and CSV files of the landing folder."""
+    return [f for ext in ("zip", "csv", "csv.gz") for f in list_files(spark, f"{raw_dir.rstrip('/')}/*.{ext}")]
 
-        for pdf in batches:
-            for content in pdf["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    names = [n for n in zf.namelist() if n.endswith(".csv")]
-                    if not names:
-                        raise ValueError("no CSV member inside archive")
-                    with zf.open(names[0]) as fh:
-                        for chunk in pd.read_csv(fh, dtype=str, chunksize=50_000, keep_default_na=False,
-                                                 na_values=[""]):
-                            yield chunk.reindex(columns=columns)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(unzip, schema)
+def read_landed(spark: SparkSession, raw_dir: str) -> DataFrame | None:
+    """All archives and CSV files of the landing folder, united by column name."""
+    files = landed(spark, raw_dir)
+    zips, plain = [f for f in files if f.endswith(".zip")], [f for f in files if not f.endswith(".zip")]
+    frames = ([archive.read(spark, zips)] if zips else []) + [read(spark, f).drop("_source_file") for f in plain]
+    return union_all(frames) if frames else None
+
+
+#: Columns that a file may lack; a load then keeps what is stored.
+OPTIONAL = [("adm_1", "admin1"), ("adm_2", "admin2"), ("where_description", "location_name"), ("source_article", "source_urls")]
 
 
 def _violence_label(code):
@@ -60,7 +53,7 @@ def _violence_label(code):
 
 
 def normalise(raw: DataFrame, countries: DataFrame, overrides: DataFrame | None = None,
-              fuzzy: bool = False) -> DataFrame:
+              fuzzy: bool = False, seen: Observation | None = None) -> DataFrame:
     ov = overrides if overrides is not None else overrides_df(raw.sparkSession)
     vt = F.col("type_of_violence").try_cast("double")
     dyad = F.coalesce(col_or_null(raw, "dyad_name"), F.lit(""))
@@ -77,9 +70,7 @@ def normalise(raw: DataFrame, countries: DataFrame, overrides: DataFrame | None
         F.try_to_timestamp(F.trim("date_start")).cast("date").alias("event_date"),
         F.try_to_timestamp(F.trim("date_end")).cast("date").alias("event_date_end"),
         F.col("country").alias("_country"),
-        col_or_null(raw, "adm_1").alias("admin1"),
-        col_or_null(raw, "adm_2").alias("admin2"),
-        col_or_null(raw, "where_description").alias("location_name"),
+        *[F.col(c).alias(name) for c, name in OPTIONAL if c in raw.columns],
         F.col("latitude").try_cast("double").alias("latitude"),
         F.col("longitude").try_cast("double").alias("longitude"),
         F.col("where_prec").try_cast("double").try_cast("int").alias("geo_precision"),
@@ -90,7 +81,10 @@ def normalise(raw: DataFrame, countries: DataFrame, overrides: DataFrame | None
         deaths(best_col).alias("fatalities_best"),
         deaths("low" if "low" in raw.columns else None).alias("fatalities_low"),
         deaths("high" if "high" in raw.columns else None).alias("fatalities_high"),
-        col_or_null(raw, "source_article").alias("source_urls"),
-    ).where(F.col("event_date").isNotNull())
+        *arrival_of(raw),
+    )
+    if seen is not None:
+        out = out.observe(seen, F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col("event_date").isNull()).alias("bad_dates"))
+    out = out.where(F.col("event_date").isNotNull())
     out = lookup.name_to_iso3(out, "_country", countries, ov, "country_iso3", fuzzy)
-    return schemas.conform(out, "fact_incident")
+    return schemas.present(out, "fact_incident")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskfabric import refdata, schemas
 from riskfabric.operators import lookup
+from riskfabric.schemas import ARRIVAL
+from riskfabric.sources.common import arrival_of, with_arrival
 from riskfabric.sources.dims import lookup_table
 
 ITEM = T.StructType([
@@ -26,19 +28,24 @@ def read(spark: SparkSession, raw_dir: str) -> DataFrame:
     text and parsed with ``from_json`` as an array, so NULL array elements are
     dropped instead of turning the page into a corrupt record.
     """
-    pages = spark.read.text(f"{raw_dir.rstrip('/')}/*/page_*.json", wholetext=True)
+    pages = with_arrival(spark.read.text(f"{raw_dir.rstrip('/')}/*/page_*.json", wholetext=True))
     ind = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/page_[^/]*\.json$", 1)
     codes = [c for c, _ in refdata.INDICATORS]
-    items = pages.select(ind.alias("indicator_code"),
-                         F.explode(F.from_json("value", T.ArrayType(ITEM))).alias("item"))
+    items = pages.select(ind.alias("indicator_code"), ARRIVAL,
+                         F.posexplode(F.from_json("value", T.ArrayType(ITEM))).alias("_place", "item"))
     items = items.where(F.col("indicator_code").isin(codes) & F.col("item").isNotNull())
-    return items.select("item.*", "indicator_code")
+    # A page is one row of the scan; an item's place in it comes last in the order.
+    place = F.struct(F.col(f"{ARRIVAL}.file").alias("file"), F.col(f"{ARRIVAL}.block").alias("block"), F.col("_place").cast("long").alias("place"))
+    return items.select("item.*", "indicator_code", place.alias(ARRIVAL))
 
 
-def normalise(items: DataFrame, countries: DataFrame) -> DataFrame:
+def normalise(items: DataFrame, countries: DataFrame, seen: Observation | None = None) -> DataFrame:
     """Rows with a value and an all-digit year; iso3 from the item, else alpha-2 lookup, else ''."""
     spark = items.sparkSession
     names = F.create_map(*[x for c, n in refdata.INDICATORS for x in (F.lit(c), F.lit(n))])
+    if seen is not None:
+        items = items.observe(seen, F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col("value").isNull()).alias("without_value"),
+                              F.count_if(~F.coalesce(F.col("date").rlike("^[0-9]+$"), F.lit(False))).alias("bad_dates"))
     f = items.where(F.col("value").isNotNull() & F.col("date").rlike("^[0-9]+$"))
     f = f.withColumn("_iso", F.upper(F.coalesce(F.col("countryiso3code"), F.lit(""))))
     f = f.withColumn("_a2", F.col("country.id"))
@@ -57,8 +64,9 @@ def normalise(items: DataFrame, countries: DataFrame) -> DataFrame:
         F.coalesce(F.col("unit"), F.lit("")).alias("unit"),
         F.lit("WORLD_BANK").alias("source_system"),
         F.concat(F.lit(refdata.INDICATOR_URL_PREFIX), F.col("indicator_code")).alias("source_url"),
+        *arrival_of(items),
     )
-    return schemas.conform(out, "fact_risk_indicator")
+    return schemas.present(out, "fact_risk_indicator")
 
 
 def indicator_summary(rows: DataFrame) -> DataFrame:
