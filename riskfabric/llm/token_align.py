@@ -28,12 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfabric.llm import piece_rounds
 from riskfabric.llm.common import map_arrow, scratch_table, ship_package, slices, texts_of
-from riskfabric.llm.word_cache import WordCache, word_cache
+from riskfabric.llm.word_cache import WordCache, read_bytes, word_cache
 
-#: Bytes of text a block.
-BLOCK = 1 << 21
+#: Bytes of text a block: the tokens' tables take some fifty times that.
+BLOCK = 1 << 19
+MARK = "▁"
 #: A block's number is its partition's number times this, plus a counter.
 PER_PARTITION = 1 << 32
 
@@ -72,9 +72,8 @@ def byte_level(cache: WordCache) -> Vocabulary:
     return Vocabulary([bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t in names], ",|")
 
 
-def pieces(model: piece_rounds.Model) -> Vocabulary:
-    sp = model.library
-    names = [bytes([int(t[3:5], 16)]) if sp.is_byte(i) else t.replace(piece_rounds.MARK, " ").encode() for i, t in ((i, sp.id_to_piece(i)) for i in range(sp.get_piece_size()))]
+def pieces(sp) -> Vocabulary:
+    names = [bytes([int(t[3:5], 16)]) if sp.is_byte(i) else t.replace(MARK, " ").encode() for i, t in ((i, sp.id_to_piece(i)) for i in range(sp.get_piece_size()))]
     return Vocabulary(names, ",;")
 
 
@@ -82,7 +81,9 @@ class Aligner:
     """Both tokenizers and their tables."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = word_cache(path_a, False, (), "<u4"), piece_rounds.model(path_b)
+        from sentencepiece import SentencePieceProcessor
+
+        self.a, self.b = word_cache(path_a, False, (), "<u4"), SentencePieceProcessor(model_proto=read_bytes(path_b))
         self.a.tokenizer.encode_special_tokens = True  # special strings in a text are plain text
         self.bytes_a, self.bytes_b = byte_level(self.a), pieces(self.b)
 
@@ -90,7 +91,7 @@ class Aligner:
         """Ids of both sides for every text; none where the joined bytes differ from space + text."""
         spaced = [" " + t if t else "" for t in texts]
         a = [np.frombuffer(x, "<u4").astype(np.int64) for x in self.a.encode(spaced)]
-        b = [x[:-1].astype(np.int64) for x in self.b.encode(texts)]
+        b = [np.array(x, np.int64) for x in self.b.encode(texts, num_threads=1)]
         raw = [t.encode() for t in spaced]
         for ids, table in ((a, self.bytes_a), (b, self.bytes_b)):
             sizes = [int(table.size[x].sum()) for x in ids]
@@ -151,14 +152,12 @@ class Aligned:
 
     def groups(self) -> list[str]:
         """Each document's groups: A ids, a bar, B ids; groups apart by semicolons."""
-        cut = self.end_a[self.link_a]  # a group's end, ascending
-        group_a, group_b = np.searchsorted(cut, self.end_a), np.searchsorted(cut, self.end_b)
-        n_a, n_b = np.bincount(group_a, minlength=len(cut)), np.bincount(group_b, minlength=len(cut))
-        before_a, before_b = np.cumsum(n_a), np.cumsum(n_b) - n_b
-        place_a = np.arange(len(self.a)) + before_b[group_a]
-        place_b = np.arange(len(self.b)) + before_a[group_b]
         last_a, last_b = np.zeros(len(self.a), bool), np.zeros(len(self.b), bool)
         last_a[self.link_a], last_b[self.link_b] = True, True
+        # A link ends its group on both sides, so a token's group is the number of links before it.
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        place_a = np.arange(len(self.a)) + np.r_[0, self.link_b + 1][group_a]
+        place_b = np.arange(len(self.b)) + np.r_[self.link_a + 1, 0][group_b]
         words = np.empty(len(self.a) + len(self.b), object)
         for place, ids, last, table in ((place_a, self.a, last_a, self.aligner.bytes_a), (place_b, self.b, last_b, self.aligner.bytes_b)):
             words[place[~last]] = table.text[0][ids[~last]]

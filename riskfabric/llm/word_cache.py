@@ -119,6 +119,16 @@ class WordCache:
         return out
 
 
+def read_bytes(path: str) -> bytes:
+    """A whole file of a tokenizer, at a path or URI that every worker can read."""
+    if "://" in path:
+        fs, at = pafs.FileSystem.from_uri(path)
+        with fs.open_input_file(at) as f:
+            return f.read()
+    with open(path, "rb") as f:
+        return f.read()
+
+
 _CACHES: dict[tuple, WordCache] = {}
 
 
@@ -126,14 +136,7 @@ def word_cache(path: str, lower: bool = False, specials: tuple[str, ...] = (), d
     """This worker process's cache for the tokenizer file at ``path`` (a path or URI every worker can read)."""
     key = (path, lower, specials, dtype)
     if key not in _CACHES:
-        if "://" in path:
-            fs, at = pafs.FileSystem.from_uri(path)
-            with fs.open_input_file(at) as f:
-                spec = f.read()
-        else:
-            with open(path, "rb") as f:
-                spec = f.read()
-        _CACHES[key] = WordCache(spec, lower, specials, dtype)
+        _CACHES[key] = WordCache(read_bytes(path), lower, specials, dtype)
     return _CACHES[key]
 
 
