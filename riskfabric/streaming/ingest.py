@@ -21,77 +21,94 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskfabric.operators import store
-from riskfabric.session import scratch_path
+from riskfabric.operators.versioned import Warehouse
+from riskfabric.schemas import ARRIVAL
+from riskfabric.session import materialize, scratch_path
 
 
-def upsert_batch_writer(target_path: str, keys: list[str], order_cols: list[str] | None = None,
+def upsert_batch_writer(target: str | tuple[Warehouse, str], keys: list[str], order_cols: list[Column | str] | None = None,
                         partition_by: list[str] | None = None,
                         transform: Callable[[DataFrame], DataFrame] | None = None):
-    """A ``foreachBatch`` function that upserts each micro-batch into ``target_path``."""
+    """A ``foreachBatch`` function that upserts each micro-batch into ``target``: a folder, or a catalog
+    warehouse and a table's name.
+
+    Of a key's rows in a micro-batch the first by ``order_cols`` wins, then the first to
+    arrive (file path, split, place in it); the table keeps all columns of the batch.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stage = transform(batch) if transform else batch
-        order = order_cols
-        if order is None:  # the first row of a key in the micro-batch wins
-            stage = stage.withColumn("_pos", F.monotonically_increasing_id())
-            order = ["_pos"]
-        stage = store.dedupe_first(stage, keys, order)
+        place = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"), F.monotonically_increasing_id().alias("place"))
+        stage = batch.withColumn(ARRIVAL, place).drop("_file", "_block")
+        stage = transform(stage) if transform else stage
+        stage = store.dedupe_first(stage, keys, [*(order_cols or []), ARRIVAL]).drop(ARRIVAL)
+        stage = materialize(stage, f"micro-batch-{batch_id}")
+        if isinstance(target, tuple):
+            warehouse, table = target
+            warehouse.load(table, stage, keys, partition_by or ())
+            return
         parts = None
         try:
-            current = spark.read.parquet(target_path)
+            current = spark.read.parquet(target)
         except Exception as e:  # noqa: BLE001 — first batch: no table yet
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
             current = None
         if current is None:
-            merged = stage.select(*[c for c in stage.columns if c not in order])
+            merged = stage
         else:
             if partition_by:
                 # merge only inside the partitions this micro-batch writes to or takes rows from
                 parts = store.touched_partitions(current, stage, keys, partition_by)
                 current = store.in_partitions(current, parts)
             merged = store.upsert(current, stage, keys)
-        store.commit_table(spark, merged, target_path, partition_by, parts)
+        store.commit_table(spark, merged, target, partition_by, parts)
 
     return write
 
 
+def file_stream(spark: SparkSession, source_path: str, schema: T.StructType, fmt: str = "parquet",
+                options: dict[str, str] | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A stream of the rows of newly landed files, with ``_file`` and ``_block`` (the split's start)."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(source_path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+
+
 def ingest_files(
     spark: SparkSession,
     source_path: str,
     schema: T.StructType,
-    target_path: str,
+    target_path: str | tuple[Warehouse, str],
     keys: list[str],
     *,
     fmt: str = "parquet",
     checkpoint: str | None = None,
     options: dict[str, str] | None = None,
-    order_cols: list[str] | None = None,
+    order_cols: list[Column | str] | None = None,
     partition_by: list[str] | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Process every not-yet-seen file under ``source_path`` into ``target_path``; return the table."""
-    ckpt = checkpoint or scratch_path(spark, f"streams/{target_path.strip('/').replace('/', '_')}")
-    reader = spark.readStream.format(fmt).schema(schema)
-    for k, v in (options or {}).items():
-        reader = reader.option(k, v)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.load(source_path)
+    """Process every not-yet-seen file under ``source_path`` into the target; return the table."""
+    name = target_path if isinstance(target_path, str) else f"{target_path[0].database}.{target_path[1]}"
+    ckpt = checkpoint or scratch_path(spark, f"streams/{name.strip('/').replace('/', '_')}")
+    stream = file_stream(spark, source_path, schema, fmt, options, max_files_per_trigger)
     q = (stream.writeStream
          .foreachBatch(upsert_batch_writer(target_path, keys, order_cols, partition_by, transform))
          .option("checkpointLocation", ckpt)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    return spark.read.parquet(target_path)
+    return spark.read.parquet(target_path) if isinstance(target_path, str) else target_path[0].read(target_path[1])
 
 
 EVENTS = T.StructType([
