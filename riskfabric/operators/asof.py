@@ -1,13 +1,18 @@
 """As-of LEFT join: for every left row, the right row with equal key(s) and the
 greatest right timestamp that is ≤ the left timestamp (J1, J2).
 
-Spark has no public as-of join, so two plans are provided:
+Spark has no public as-of join, so three plans are provided:
 
 * ``interval`` — the right side is reduced to validity intervals
   ``[ts, next_ts)`` per key and joined as an equi-join on the keys with a range
   residual. Used when the reduced right side is small by the optimizer's
   estimate (``is_small``) before it is broadcast.
-* ``bucketed`` — for a right side of any size. The as-of is solved for the
+* ``ranged`` — for a right side of any size and keys of any weight, a segmented prefix scan:
+  the distinct left (key, time) pairs and the right rows are range-partitioned together by
+  (key, time), so that a key with all rows lies in many tasks; a running ``last`` answers
+  within a segment, and what a segment inherits from the ones before it is a single value, as only its first
+  key can have begun earlier. Those values, one a segment at most, are broadcast.
+* ``bucketed`` — the same by fixed time buckets, without the write in between. The as-of is solved for the
   DISTINCT left (key, time) pairs only (rows sharing them share the answer),
   then joined back many-to-one on (key, time). Time is cut into fixed-width
   buckets; inside a (key, bucket) the latest right row at or before each probe
@@ -27,6 +32,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskfabric.session import materialize
+
 _LTS, _RTS, _NEXT, _B, _SIDE, _M = "_asof_lts", "_asof_rts", "_asof_next", "_asof_bucket", "_asof_side", "_asof_match"
 
 
@@ -75,16 +82,18 @@ def asof_left(
     """Left rows plus ``value_cols`` from the as-of matching right row (NULL when none).
 
     ``strategy``: ``"auto"`` (interval when the reduced right side is estimated at
-    ``broadcast_bytes`` or less, else bucketed), ``"interval"`` or ``"bucketed"``.
+    ``broadcast_bytes`` or less, else ranged), ``"interval"``, ``"ranged"`` or ``"bucketed"``.
     ``bucket_width`` is in days for DATE time columns and microseconds for
     timestamps (default: 366 days / 1 day).
     """
     on = [on] if isinstance(on, str) else list(on)
     reduced = _reduce_right(right, on, right_ts, value_cols)
     if strategy == "auto":
-        strategy = "interval" if is_small(reduced, broadcast_bytes) else "bucketed"
+        strategy = "interval" if is_small(reduced, broadcast_bytes) else "ranged"
     if strategy == "interval":
         return _asof_interval(left, reduced, on, _as_col(left_ts), value_cols)
+    if strategy == "ranged":
+        return _asof_ranged(left, reduced, on, _as_col(left_ts), value_cols)
     if strategy == "bucketed":
         return _asof_bucketed(left, reduced, on, _as_col(left_ts), value_cols, bucket_width)
     raise ValueError(f"unknown as-of strategy {strategy!r}")
@@ -103,6 +112,34 @@ def _asof_interval(left: DataFrame, reduced: DataFrame, on: list[str], lts: Colu
     return joined.select(*[lft[c] for c in left.columns], *[iv[c] for c in value_cols])
 
 
+def _segments(left: DataFrame, reduced: DataFrame, on: list[str], value_cols: list[str]) -> DataFrame:
+    """Left (key, time) pairs and right rows in one order: on, _t, side, _rv and _part, the segment's number.
+
+    Written once: the bounds of a range partitioning are sampled, so a second run may cut otherwise.
+    """
+    rv = F.struct(*[F.col(c) for c in value_cols])
+    probes = left.select(*on, F.col(_LTS).alias("_t")).dropna(subset=on).distinct().withColumn(_SIDE, F.lit(1))
+    rows = reduced.select(*on, F.col(_RTS).alias("_t"), F.lit(0).alias(_SIDE), rv.alias("_rv"))
+    both = probes.unionByName(rows, allowMissingColumns=True)
+    return materialize(both.repartitionByRange(*on, "_t", _SIDE).withColumn("_part", F.spark_partition_id()), "asof_segments")
+
+
+def _asof_ranged(left: DataFrame, reduced: DataFrame, on: list[str], lts: Column, value_cols: list[str]) -> DataFrame:
+    lft = left.withColumn(_LTS, lts)
+    seg = _segments(lft, reduced, on, value_cols)
+    running = Window.partitionBy("_part", *on).orderBy("_t", _SIDE).rowsBetween(Window.unboundedPreceding, 0)
+    inside = seg.withColumn("_in", F.last("_rv", ignorenulls=True).over(running)).where(F.col(_SIDE) == 1)
+    # The last right row of each key and segment: as many rows as keys and segments together.
+    ends = seg.groupBy("_part", *on).agg(F.max(F.when(F.col(_SIDE) == 0, F.struct("_t", "_rv"))).alias("_end"))
+    earlier = Window.partitionBy(*on).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.withColumn("_carry", F.last("_end", ignorenulls=True).over(earlier)).where("_carry IS NOT NULL")
+    carry = carry.select("_part", *on, F.col("_carry._rv").alias("_carry"))
+    ans = inside.join(F.broadcast(carry), ["_part", *on], "left")
+    ans = ans.select(*on, F.col("_t").alias(_LTS), F.coalesce("_in", "_carry").alias(_M))
+    res = lft.join(ans, [*on, _LTS], "left")
+    return res.select(*[F.col(c) for c in left.columns], *[F.col(f"{_M}.{c}").alias(c) for c in value_cols])
+
+
 def _asof_bucketed(left: DataFrame, reduced: DataFrame, on: list[str], lts: Column, value_cols: list[str],
                    bucket_width: int | None) -> DataFrame:
     lft = left.withColumn(_LTS, lts)

@@ -67,6 +67,13 @@ class Warehouse:
             return None
         return self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)} ('version')").first()["value"]
 
+    def property(self, table: str, key: str) -> str | None:
+        """A property that the current version was given; None without table or property."""
+        if not self.exists(table):
+            return None
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").where(F.col("key") == key).first()
+        return found["value"] if found else None
+
     def read(self, table: str) -> DataFrame:
         """The current rows; an empty DataFrame of a canonical table before its first load."""
         if not self.exists(table):
@@ -106,13 +113,35 @@ class Warehouse:
         if removed is not None:
             target = target.join(removed.select(*keys), keys, "left_anti")
         merged = store.upsert(target, batch, keys, table)
-        version = f"{table}__v{int(before.split('__v')[1][:8]) + 1 if before else 1:08d}_{uuid.uuid4().hex[:8]}"
+        version = self._next(table, before)
         self._write(version, merged, parts, before, touched)
         if indexed:
             self._index(version, before, batch, keys, parts)
         self._switch(table, version, before, self.read(table).columns if before else target.columns)
         return version
 
+    def replace(self, table: str, rows: DataFrame, partition_by: list[str], touched: list, properties: dict[str, str] | None = None) -> str:
+        """Give the partitions ``touched`` (rows of partition values) exactly ``rows``; the others stay. Returns the new version."""
+        before = self.version(table)
+        version = self._next(table, before)
+        self._write(version, rows, list(partition_by), before, touched)
+        self._switch(table, version, before, self.read(table).columns if before else rows.columns, properties)
+        return version
+
+    def changed(self, before: str, after: str, parts: list[str]) -> Column:
+        """Filter for the partitions that two versions don't share, by the catalog's locations alone."""
+        if not parts:
+            return F.lit(before != after)
+        old, new = ({k: e.location().toString() for k, e in self.partitions(v, parts).items()} for v in (before, after))
+        kinds = {f.name: f.dataType for f in self.read_version(after).schema.fields}
+        which = [k for k in {**old, **new} if old.get(k) != new.get(k)]
+        each = [reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(None if v == NULL_PARTITION else v).cast(kinds[p])) for p, v in zip(parts, k, strict=True)]) for k in which]
+        return reduce(lambda a, b: a | b, each) if each else F.lit(False)
+
+    @staticmethod
+    def _next(table: str, before: str | None) -> str:
+        return f"{table}__v{int(before.split('__v')[1][:8]) + 1 if before else 1:08d}_{uuid.uuid4().hex[:8]}"
+
     def _touched(self, before: str, batch: DataFrame, keys: list[str], parts: list[str], source, moves: DataFrame | None) -> list:
         """Partition values that the load writes to or takes rows from."""
         found = batch.select(*parts)
@@ -180,12 +209,13 @@ class Warehouse:
             seq = self.spark._jvm.org.apache.spark.api.python.PythonUtils.toSeq(kept)
             self._catalog().createPartitions(self._identifier(version), seq, True)
 
-    def _switch(self, table: str, version: str, before: str | None, columns: list[str]) -> None:
+    def _switch(self, table: str, version: str, before: str | None, columns: list[str], properties: dict[str, str] | None = None) -> None:
         """The one step that readers see."""
         if self.version(table) != before:
             raise ConcurrentLoad(f"{table} changed during the load of {version}")
+        held = ", ".join(f"'{k}' = '{v}'" for k, v in {**(properties or {}), "version": version}.items())
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ('version' = '{version}') "
+            f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ({held}) "
             f"AS SELECT {', '.join(map(_quoted, columns))} FROM {self.name(version)}"
         )
 
