@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfabric import refdata
-from riskfabric.catalog import COVERAGE_CUTOFF, D0, D1, register, r6
+from riskfabric.catalog import COVERAGE_CUTOFF, D0, D1, MOVES_SQL, register, r6
 from riskfabric.functions import dates, ids
 from riskfabric.operators import lookup, store
 from riskfabric.oracle import with_fixtures
@@ -76,21 +76,20 @@ def _wh(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
-@register("qa_checks", with_fixtures("""
-SELECT 'fact_incident duplicate PKs' AS check_name,
-       cast((SELECT count(*) FROM (SELECT incident_id FROM fact_incident GROUP BY incident_id HAVING count(*) > 1)) AS bigint) AS violations
-UNION ALL SELECT 'fact_incident invalid lat/lon', cast(count(*) AS bigint) FROM fact_incident
-  WHERE latitude IS NOT NULL AND (latitude < -90 OR latitude > 90) OR longitude IS NOT NULL AND (longitude < -180 OR longitude > 180)
-UNION ALL SELECT 'fact_incident negative fatalities', cast(count(*) AS bigint) FROM fact_incident
-  WHERE fatalities_best < 0 OR fatalities_low < 0 OR fatalities_high < 0
-UNION ALL SELECT 'fact_incident invalid event_count', cast(count(*) AS bigint) FROM fact_incident
-  WHERE event_count IS NULL OR event_count < 0
-UNION ALL SELECT 'fact_diplomatic_action duplicate PKs',
-  cast((SELECT count(*) FROM (SELECT action_id FROM fact_diplomatic_action GROUP BY action_id HAVING count(*) > 1)) AS bigint)
-UNION ALL SELECT 'fact_risk_indicator unmapped countries', cast(count(DISTINCT country_iso3) AS bigint)
-  FROM fact_risk_indicator WHERE country_iso3 NOT IN (SELECT iso3 FROM dim_country)
-UNION ALL SELECT 'fact_news_pulse missing country', cast(count(*) AS bigint) FROM fact_news_pulse
-  WHERE country_focus_iso3 IS NULL""",
+_TWICE = "(SELECT count_if(n > 1)::bigint FROM (SELECT count(*) AS n FROM {t} GROUP BY {k}))"
+
+
+@register("qa_checks", with_fixtures(f"""
+SELECT unnest(['fact_incident duplicate PKs', 'fact_diplomatic_action duplicate PKs', 'fact_risk_indicator unmapped countries', 'fact_news_pulse missing country']) AS check_name,
+       unnest([{_TWICE.format(t='fact_incident', k='incident_id')}, {_TWICE.format(t='fact_diplomatic_action', k='action_id')},
+               (SELECT count(DISTINCT i.country_iso3)::bigint FROM fact_risk_indicator i ANTI JOIN dim_country d ON d.iso3 = i.country_iso3),
+               (SELECT (count(*) - count(country_focus_iso3))::bigint FROM fact_news_pulse)]) AS violations
+UNION ALL
+SELECT unnest(['fact_incident invalid lat/lon', 'fact_incident negative fatalities', 'fact_incident invalid event_count']),
+       unnest([count_if(abs(coalesce(latitude, 0)) > 90 OR abs(coalesce(longitude, 0)) > 180)::bigint,
+               count_if(least(fatalities_best, fatalities_low, fatalities_high) < 0)::bigint,
+               count_if(coalesce(event_count, -1) < 0)::bigint])
+FROM fact_incident""",
     ["fact_incident", "fact_diplomatic_action", "fact_risk_indicator", "fact_news_pulse", "dim_country"]))
 def q_qa_checks(spark, sf_dir):
     wh = _wh(spark, sf_dir)
@@ -311,15 +310,16 @@ SELECT item_id, tone, file_no FROM (
   SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY file_no, pos) AS rn FROM (
     SELECT item_id, tone, 0 AS file_no, 0 AS pos FROM fact_news_pulse
     UNION ALL
-    SELECT concat_ws('#', cast(l_orderkey AS varchar(20)), cast(l_partkey AS varchar(20)), cast(l_suppkey AS varchar(20))),
+    SELECT concat_ws('#', l_orderkey::varchar, (l_linenumber + 7 * (l_linenumber % 2))::varchar, l_partkey::varchar, l_suppkey::varchar),
            l_tax * 100, 1, l_linenumber
-    FROM lineitem WHERE l_returnflag = 'N') u) s WHERE rn = 1""", ["fact_news_pulse"]))
+    FROM lineitem) u) s WHERE rn = 1""", ["fact_news_pulse"]))
 def q_dedupe_keep_first(spark, sf_dir):
-    """Two overlapping deliveries; the first occurrence (file, position) of each item id is kept."""
+    """Two overlapping deliveries, the later one with new ids for odd lines; the first occurrence (file, position) of each item id is kept."""
     news = fixtures.fact_news_pulse(spark, sf_dir).select("item_id", "tone", F.lit(0).alias("file_no"),
                                                           F.lit(0).alias("pos"))
-    li = fixtures.read_table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "N")
-    later = li.select(F.concat_ws("#", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey")])
+    li = fixtures.read_table(spark, sf_dir, "lineitem")
+    line = F.col("l_linenumber") + 7 * (F.col("l_linenumber") % 2)
+    later = li.select(F.concat_ws("#", *[c.cast("string") for c in (F.col("l_orderkey"), line, F.col("l_partkey"), F.col("l_suppkey"))])
                       .alias("item_id"), (F.col("l_tax") * 100).alias("tone"), F.lit(1).alias("file_no"),
                       F.col("l_linenumber").alias("pos"))
     d = store.dedupe_first(news.unionByName(later), ["item_id"], ["file_no", "pos"])
@@ -379,29 +379,25 @@ def q_date_windows(spark, sf_dir):
     return w.select("nation", "w.window_start", "w.window_end")
 
 
-@register("region_label", with_fixtures("""
-SELECT coalesce(region_code, 'Unknown') AS region, coalesce(region_code, 'Unknown') AS label, count(*) AS incidents
-FROM fact_incident GROUP BY 1""", ["fact_incident"]))
+#: A display region for each of the fixture's: two have a label of their own, the others fall back to their code.
+_CODED = "CASE region_code WHEN 'ASIA' THEN 'EAP' WHEN 'EUROPE' THEN 'EU_EUR' ELSE coalesce(region_code, 'Unknown') END"
+
+
+@register("region_label", with_fixtures(f"""
+SELECT region, CASE region WHEN 'EAP' THEN 'East Asia & Pacific' WHEN 'EU_EUR' THEN 'Europe & Eurasia' ELSE region END AS label, count(*) AS incidents
+FROM (SELECT {_CODED} AS region FROM fact_incident) GROUP BY ALL""", ["fact_incident"]))
 def q_region_label(spark, sf_dir):
-    """Region label with fallback to the code (the fixture's region names have no label)."""
+    """Region label with fallback to the code."""
     fi = fixtures.fact_incident(spark, sf_dir)
-    g = fi.groupBy(F.coalesce("region_code", F.lit("Unknown")).alias("region")).agg(F.count(F.lit(1)).alias("incidents"))
+    g = fi.groupBy(F.expr(_CODED).alias("region")).agg(F.count(F.lit(1)).alias("incidents"))
     return g.select("region", dashboard.region_label(F.col("region")).alias("label"), "incidents")
 
 
 @register("grs_movers_direction", with_fixtures("""
-SELECT l.country_iso3, coalesce(dc.name, l.country_iso3) AS country, round(l.current_grs, 1) AS grs,
-       round(l.delta, 1) AS delta,
-       CASE WHEN round(l.delta, 1) > 0 THEN 'up' WHEN round(l.delta, 1) < 0 THEN 'down'
-            WHEN round(l.delta, 1) = 0 THEN 'flat' END AS direction
-FROM (
-  SELECT *, row_number() OVER (PARTITION BY country_iso3 ORDER BY current_month DESC) AS rn FROM (
-    SELECT a.country_iso3, round(b.grs_0_100, 6) - round(a.grs_0_100, 6) AS delta, round(b.grs_0_100, 6) AS current_grs,
-           b.month_start AS current_month
-    FROM grs_monthly a JOIN grs_monthly b ON a.country_iso3 = b.country_iso3 AND b.month_start = a.month_start + INTERVAL 1 MONTH
-    WHERE a.grs_0_100 IS NOT NULL AND b.grs_0_100 IS NOT NULL) p) l
-LEFT JOIN dim_country dc ON dc.iso3 = l.country_iso3
-WHERE rn = 1 ORDER BY abs(l.delta) DESC, l.country_iso3 LIMIT 12""", ["dim_country"], grs=True))
+SELECT m.country_iso3, coalesce(name, m.country_iso3) AS country, round(current_grs, 1) AS grs, round(m.delta, 1) AS delta,
+       ['down', 'flat', 'up'][2 + sign(round(m.delta, 1))::int] AS direction
+FROM moves m LEFT JOIN dim_country d ON d.iso3 = m.country_iso3
+ORDER BY abs(m.delta) DESC, 1 LIMIT 12""", ["dim_country"], grs=True, extra_ctes=MOVES_SQL))
 def q_grs_movers_direction(spark, sf_dir):
     """Top movers with the direction of the displayed (rounded) change."""
     from riskfabric.catalog import _GRS_COLS
@@ -576,8 +572,13 @@ def q_ofac_normalise(spark, sf_dir):
                       "instrument_name", "legal_basis", "status", "confidence_flag", "notes")
 
 
+#: An article's country as a name, an alpha-2 code (one of them clashes with a FIPS code) or a FIPS code.
+_NEWS_COUNTRY = ("CASE WHEN s_nationkey < 8 THEN n_name WHEN s_nationkey < 16 THEN concat(substring(n_name, 1, 1), chr(CAST(65 + n_nationkey AS int))) "
+                 "WHEN s_nationkey % 2 = 0 THEN 'CH' ELSE ' iz ' END")
+
+
 def _news_raw_df(spark, sf_dir) -> DataFrame:
-    li = fixtures.read_table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "N")
+    li = fixtures.read_table(spark, sf_dir, "lineitem")
     s = fixtures.read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = fixtures.read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = li.join(s, li.l_suppkey == s.s_suppkey).join(F.broadcast(n), F.col("s_nationkey") == n.n_nationkey)
@@ -587,7 +588,7 @@ def _news_raw_df(spark, sf_dir) -> DataFrame:
         F.lit("t").alias("title"),
         F.date_format("l_shipdate", "yyyyMMdd'T'HHmmss'Z'").alias("seendate"),
         F.lit("news.example").alias("domain"),
-        F.expr("CASE WHEN s_nationkey < 10 THEN n_name ELSE substring(n_name, 1, 2) END").alias("sourcecountry"),
+        F.expr(_NEWS_COUNTRY).alias("sourcecountry"),
         F.lit(None).cast("string").alias("themes"),
         F.format_string("%.2f", F.col("l_tax") * 100 - 4).alias("tone"),
         F.lit("artlist").alias("_source_file"),
@@ -611,10 +612,9 @@ FROM (
     extra_ctes=NAME_LOOKUP_CTE + f",\nfips AS (SELECT * FROM {FIPS_SQL}),\nraw AS ("
     "SELECT concat('https://news.example/', cast(l_orderkey AS varchar), '/', cast(l_partkey AS varchar)) AS url, "
     "strftime(l_shipdate, '%Y%m%dT%H%M%SZ') AS seendate, "
-    "CASE WHEN s_nationkey < 10 THEN n_name ELSE substring(n_name, 1, 2) END AS sourcecountry, "
+    + _NEWS_COUNTRY + " AS sourcecountry, "
     "printf('%.2f', l_tax * 100 - 4) AS tone, l_linenumber AS pos "
-    "FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey "
-    "WHERE l_returnflag = 'N')"))
+    "FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)"))
 def q_gdelt_normalise(spark, sf_dir):
     """P5 + J12 over one raw article per returned lineitem: id, time parse, FIPS → alpha-2 → name cascade, keep-first dedupe."""
     wh = _wh(spark, sf_dir)
@@ -623,6 +623,14 @@ def q_gdelt_normalise(spark, sf_dir):
                       "country_focus_iso3", "url", "topic_tags", "tone")
 
 
+def _seed_raw_df(spark, sf_dir) -> DataFrame:
+    da = fixtures.fact_diplomatic_action(spark, sf_dir)
+    o = fixtures.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return da.join(o, da.action_id == o.o_orderkey.cast("string")).select(
+        F.expr("CASE WHEN o_orderkey % 13 = 0 THEN 'unknown' ELSE cast(cast(o_orderdate AS date) AS string) END")
+        .alias("action_date"), "actor_iso3", "target_iso3", "action_type", "instrument_name", "status")
+
+
 @register("seed_normalise", with_fixtures(f"""
 SELECT {_make_id_sql("coalesce(actor_iso3, 'nan')", "coalesce(target_iso3, 'nan')",
                      "coalesce(strftime(try_cast(trim(action_date) AS timestamp), '%Y-%m-%d %H:%M:%S'), coalesce(action_date, 'nan'))",
@@ -635,11 +643,7 @@ FROM (SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'unknown' ELSE cast(cast(o_order
     ["fact_diplomatic_action"]))
 def q_seed_normalise(spark, sf_dir):
     """P7 over one curated-catalog row per order: ids from pandas-style rendered text, date parse, HIGH confidence."""
-    da = fixtures.fact_diplomatic_action(spark, sf_dir)
-    o = fixtures.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    raw = da.join(o, da.action_id == o.o_orderkey.cast("string")).select(
-        F.expr("CASE WHEN o_orderkey % 13 = 0 THEN 'unknown' ELSE cast(cast(o_orderdate AS date) AS string) END")
-        .alias("action_date"), "actor_iso3", "target_iso3", "action_type", "instrument_name", "status")
+    raw = _seed_raw_df(spark, sf_dir)
     out = seed.normalise(raw)
     return out.select("action_id", "action_date", "actor_iso3", "target_iso3", "action_type", "instrument_name",
                       "status", "confidence_flag")
@@ -648,7 +652,7 @@ def q_seed_normalise(spark, sf_dir):
 _WB_RAW_COLS = {
     "countryiso3code": "CASE WHEN o_orderkey % 4 = 0 THEN '' "
                        "ELSE lower(concat('N', lpad(cast(c_nationkey AS {s}), 2, '0'))) END",
-    "country_id": "CASE WHEN c_nationkey % 8 = 0 THEN 'XK' ELSE substring(n_name, 1, 2) END",
+    "country_id": "CASE WHEN c_nationkey % 8 = 0 THEN 'XK' ELSE concat(substring(n_name, 1, 1), chr(CAST(65 + n_nationkey AS int))) END",
     "date": "CASE WHEN o_orderkey % 5 = 0 THEN '19x7' ELSE cast(year(o_orderdate) AS {s}) END",
     "value": "CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_totalprice END",
     "unit": "CASE WHEN o_orderstatus = 'F' THEN NULL ELSE 'u' END",
@@ -657,6 +661,19 @@ _WB_RAW_COLS = {
 }
 
 
+def _world_bank_raw_df(spark, sf_dir) -> DataFrame:
+    o = fixtures.read_table(spark, sf_dir, "orders")
+    c = fixtures.read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = fixtures.read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
+    cols = {k: F.expr(e.format(s="string")) for k, e in _WB_RAW_COLS.items()}
+    return j.select(
+        cols["countryiso3code"].alias("countryiso3code"), F.struct(cols["country_id"].alias("id")).alias("country"),
+        cols["date"].alias("date"), cols["value"].cast("double").alias("value"), cols["unit"].alias("unit"),
+        cols["indicator_code"].alias("indicator_code"),
+    )
+
+
 @register("world_bank_normalise", with_fixtures("""
 SELECT CASE WHEN upper(coalesce(countryiso3code, '')) <> '' THEN upper(countryiso3code)
             ELSE coalesce(CASE country_id WHEN 'KV' THEN 'XKX' WHEN 'XK' THEN 'XKX' END,
@@ -672,17 +689,7 @@ WHERE value IS NOT NULL AND regexp_full_match(date, '[0-9]+')""", ["dim_country"
 def q_world_bank_normalise(spark, sf_dir):
     """P4 + F3 over one raw indicator observation per order: iso3 fallback chain (item code, special
     codes, alpha-2 lookup, ''), value and all-digit-year filter, period start, indicator names."""
-    wh = _wh(spark, sf_dir)
-    o = fixtures.read_table(spark, sf_dir, "orders")
-    c = fixtures.read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = fixtures.read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
-    cols = {k: F.expr(e.format(s="string")) for k, e in _WB_RAW_COLS.items()}
-    raw = j.select(
-        cols["countryiso3code"].alias("countryiso3code"), F.struct(cols["country_id"].alias("id")).alias("country"),
-        cols["date"].alias("date"), cols["value"].cast("double").alias("value"), cols["unit"].alias("unit"),
-        cols["indicator_code"].alias("indicator_code"),
-    )
+    wh, raw = _wh(spark, sf_dir), _world_bank_raw_df(spark, sf_dir)
     out = world_bank.normalise(raw, wh.dim_country)
     return out.select("country_iso3", "period_start", "indicator_code", "indicator_name", "value", "unit")
 

@@ -33,6 +33,11 @@ def nation_code(col: Column) -> Column:
     return F.concat(F.lit("N"), F.lpad(col.cast("string"), 2, "0"))
 
 
+def iso2_code() -> Column:
+    """Two-letter code of a nation row: its name's first letter and a letter of its own."""
+    return F.concat(F.substring("n_name", 1, 1), F.char(F.lit(65) + F.col("n_nationkey")))
+
+
 def _null_unless(cond: Column, value: Column) -> Column:
     return F.when(cond, value)
 
@@ -48,7 +53,7 @@ def dim_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
     return j.select(
         nation_code(F.col("n_nationkey")).alias("iso3"),
-        F.lit(None).cast("string").alias("iso2"),
+        iso2_code().alias("iso2"),
         _null_unless(F.col("n_nationkey") != 19, F.col("n_name")).alias("name"),
         _null_unless(F.col("n_nationkey") != 22, F.col("r_name")).alias("region_code"),
     )
@@ -109,17 +114,25 @@ def fact_diplomatic_action(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_risk_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Population 1995–1999 and a sparse military series per nation (FIXTURES.md §C4)."""
+    """Population 1995–1999 and a sparse military series per nation (FIXTURES.md §C4).
+
+    Both move with the nation's orders of the year, so that the series are derived from data that grows.
+    """
     n = read_table(spark, sf_dir, "nation").select("n_nationkey")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    o = read_table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("o_year"))
+    ordered = o.join(c, o.o_custkey == c.c_custkey).groupBy("c_nationkey", "o_year").agg(F.count(F.lit(1)).alias("orders"))
     years = F.explode(F.sequence(F.lit(1995), F.lit(1999))).alias("y")
     codes = F.explode(F.array(F.lit("SP.POP.TOTL"), F.lit("MS.MIL.XPND.GD.ZS"))).alias("code")
     grid = n.select("n_nationkey", years).select("n_nationkey", "y", codes)
+    grid = grid.join(ordered, (F.col("c_nationkey") == F.col("n_nationkey")) & (F.col("o_year") == F.col("y")), "left")
+    own = F.coalesce("orders", F.lit(0))
     nk, y, code = F.col("n_nationkey"), F.col("y"), F.col("code")
     keep = ((code == "SP.POP.TOTL") & (nk != 21)) | (
         (code == "MS.MIL.XPND.GD.ZS") & y.isin(1996, 1998) & ~nk.isin(20, 21)
     )
-    value = F.when(code == "SP.POP.TOTL", (500000 + 10000 * nk + 1000 * (y - 1995)).cast("double")).otherwise(
-        (1 + nk % 7).cast("double") + 0.5 * (y - 1996)
+    value = F.when(code == "SP.POP.TOTL", (500000 + 10000 * nk + 1000 * (y - 1995) + own).cast("double")).otherwise(
+        (1 + nk % 7 + own % 3).cast("double") + 0.5 * (y - 1996)
     )
     out = grid.where(keep).select(
         nation_code(nk).alias("country_iso3"),
@@ -131,15 +144,13 @@ def fact_risk_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_news_pulse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").where(
-        (F.col("l_linenumber") == 1) & (F.col("l_returnflag") == "N")
-    )
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey").where(F.col("s_nationkey") < 12)
+    li = read_table(spark, sf_dir, "lineitem")
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = li.join(s, li.l_suppkey == s.s_suppkey)
     out = j.select(
-        F.concat_ws("#", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey")]).alias("item_id"),
+        F.concat_ws("#", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("item_id"),
         F.col("l_shipdate").alias("published_at_utc"),
-        _null_unless(F.col("s_nationkey") != 3, nation_code(F.col("s_nationkey"))).alias("country_focus_iso3"),
+        _null_unless((F.col("s_nationkey") < 12) & (F.col("s_nationkey") != 3), nation_code(F.col("s_nationkey"))).alias("country_focus_iso3"),
         _null_unless(F.col("l_linestatus") != "F", F.col("l_tax") * 100 - 4).alias("tone"),
     )
     # published_at_utc keeps the source's zone-less timestamp type (TIMESTAMP_NTZ),
