@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfabric import schemas
+from riskfabric.operators.lookup import _bounded
 from riskfabric.session import scratch_path
 
 
@@ -143,10 +144,10 @@ def backfill_region_dim(dim_country: DataFrame, mapping: DataFrame, order_col: s
 
 def backfill_region_fact(fact: DataFrame, dim_country: DataFrame, key: str = "country_iso3") -> DataFrame:
     """Fill NULL ``region_code`` on a fact from the country dimension."""
-    # A country dimension has a few hundred rows, one a country; hashing the fact on the country
-    # would put a large country's rows into one task.
-    d = F.broadcast(dim_country.select(F.col("iso3").alias("_bf_iso3"), F.col("region_code").alias("_bf_region")))
-    j = fact.join(d, fact[key] == d["_bf_iso3"], "left")
+    # A country dimension has a few hundred rows, one a country, and is broadcast after a check of its
+    # size: hashing the fact on the country would put a large country's rows into one task.
+    d = _bounded(dim_country.select(F.col("iso3").alias("_bf_iso3"), F.col("region_code").alias("_bf_region")))
+    j = fact.join(d, F.col(key) == F.col("_bf_iso3"), "left")
     return j.withColumn("region_code", F.coalesce(F.col("region_code"), F.col("_bf_region"))).select(*fact.columns)
 
 

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskfabric.functions import dates
-from riskfabric.operators.versioned import Warehouse
-from riskfabric.session import materialize
+from riskfabric.operators.versioned import Warehouse, _in_partitions
+from riskfabric.session import drop_materialized, materialize
 
 #: Partition column of the state tables: the month of a group's week, month or year.
 MONTH = "state_month"
@@ -115,11 +115,10 @@ def _apply(warehouse: Warehouse, view: KeptView, table: str, of: str, now: str,
         nonzero = nonzero | c
     delta = materialize(_summed(view, delta.where(nonzero)), f"delta-{view.name}")
     touched = delta.select(MONTH).distinct().collect()  # months
-    from riskfabric.operators.versioned import _in_partitions
-
     held = warehouse.read(table).where(_in_partitions(touched, [MONTH])).drop(MONTH)
     both = held.unionByName(delta.drop(MONTH)).groupBy(*view.groups).agg(*[F.sum(n).alias(n) for n in view.sums])
     warehouse.replace(table, _summed(view, both.where("rows <> 0")), [MONTH], touched, {"of": now})
+    drop_materialized(delta)
 
 
 def rows(view: KeptView, state: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from riskfabric import schemas
 from riskfabric.operators import store
 from riskfabric.operators.versioned import Warehouse
 from riskfabric.plans import sql
-from riskfabric.session import materialize
+from riskfabric.session import drop_materialized, materialize
 from riskfabric.sources import acled, acled_manual, gdelt, ofac, seed, ucdp, world_bank
 
 log = logging.getLogger(__name__)
@@ -116,6 +116,7 @@ def run_source(spark: SparkSession, spec: SourceSpec, warehouse: str | Warehouse
             return RunResult(spec.name, "partial", 0, counts)
         replaced = ("source_system", spec.replace_source_system) if spec.replace_source_system else None
         tables.load(spec.table, batch.drop("_rows"), schemas.PRIMARY_KEYS[spec.table], spec.partition_by, replaced)
+        drop_materialized(batch)
         _write_state(spark, tables, spec.name, n, last, "success", run_ts)
         log.info("%s: %d rows, %s", spec.name, n, counts)
         return RunResult(spec.name, "success", n, counts)

@@ -114,3 +114,13 @@ def materialize(df, name: str):
     path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_materialized(df) -> None:
+    """Delete the table behind a DataFrame of ``materialize`` that nothing reads any more."""
+    spark = df.sparkSession
+    ours = scratch_path(spark, "tables/")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.toUri().getPath().startswith(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ours).toUri().getPath()):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

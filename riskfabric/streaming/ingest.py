@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from riskfabric.operators import store
 from riskfabric.operators.versioned import Warehouse
 from riskfabric.schemas import ARRIVAL
-from riskfabric.session import materialize, scratch_path
+from riskfabric.session import drop_materialized, materialize, scratch_path
 
 
 def upsert_batch_writer(target: str | tuple[Warehouse, str], keys: list[str], order_cols: list[Column | str] | None = None,
@@ -51,6 +51,7 @@ def upsert_batch_writer(target: str | tuple[Warehouse, str], keys: list[str], or
         if isinstance(target, tuple):
             warehouse, table = target
             warehouse.load(table, stage, keys, partition_by or ())
+            drop_materialized(stage)
             return
         parts = None
         try:
@@ -68,6 +69,7 @@ def upsert_batch_writer(target: str | tuple[Warehouse, str], keys: list[str], or
                 current = store.in_partitions(current, parts)
             merged = store.upsert(current, stage, keys)
         store.commit_table(spark, merged, target, partition_by, parts)
+        drop_materialized(stage)
 
     return write
 

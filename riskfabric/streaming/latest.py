@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskfabric.operators.versioned import Warehouse
-from riskfabric.session import materialize, scratch_path
+from riskfabric.session import drop_materialized, materialize, scratch_path
 from riskfabric.streaming.ingest import file_stream
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -126,6 +126,7 @@ def ingest_latest(
         old = F.when(F.col(_FROM) != "", F.col(_FROM)).cast(kind)
         moves = found.where(_MOVED).select(old.alias(partition))
         warehouse.load(table, found.drop(_MOVED, _FROM, "_file"), keys, [partition], moves=moves)
+        drop_materialized(found)
 
     before = spark.conf.get(_PROVIDER)
     spark.conf.set(_PROVIDER, _ROCKS)
