@@ -2,19 +2,21 @@
 
 A shard is one binary file of consecutive documents in ascending identifier order:
 
-    magic "EFTOK001", then little-endian unsigned 64-bit: documents, tokens, bytes per id,
-    low bits, bytes of the low part, bytes of the high part; then the document identifiers
-    (signed 64-bit), the low part, the high part and the ids.
-
-The boundaries are the running token counts after each document. Their low bits are packed
-one after the other, their high bits are a unary bit vector, about 2 + log2(tokens/documents)
-bits a document in all. ``EliasFano.select`` finds the i-th boundary from the i-th set bit,
-through samples of every 256th set bit; no table of 64-bit offsets is stored or built.
-
-The driver holds one row a shard (number, documents, tokens), which gives each shard's first
-position. Defined results: null and empty texts hold the end id alone; documents with a null
-identifier come first; repeated rows are written each, in an order of their own; an empty
-table writes no shard.
+    magic "EFTOK002", then little-endian unsigned 64-bit: documents, tokens, bytes per id, documents
+    without an identifier (they come first), the smallest identifier (as two's complement), and for
+    each of two sequences the low bits, bytes of the low part and bytes of the high part; then both sequences
+    (samples, low part, high part each) and the ids.
+
+The sequences are the running token counts after each document and the identifiers less the smallest one. The
+low bits are packed one after the other, the high bits are a unary bit vector, about 2 + log2(largest/documents)
+bits a document in all; a sample of 4 bytes holds the place of every 256th set bit. ``EliasFano.select`` finds the i-th
+value from the sample before it; ``block`` does so for consecutive values, of which a reader of whole
+shards holds ``READ_DOCS`` at a time. No table of 64-bit offsets or identifiers is stored or built.
+
+One row a shard (number, documents, tokens) gives each shard's first position. Defined results: null and empty
+texts hold the end id alone; documents with a null identifier come first; repeated rows are written
+each, in an order of their own; very long texts are a shard of their own; an empty table writes no shard. An id beyond ``width``
+bytes can't be written: the vocabulary is checked once.
 """
 
 from __future__ import annotations
@@ -35,15 +37,15 @@ from riskfabric.llm.common import map_arrow, slices, texts_of
 from riskfabric.llm.word_cache import BYTE_SPECIALS, word_cache
 from riskfabric.session import scratch_path
 
-MAGIC = b"EFTOK001"
-_HEAD = struct.Struct("<8s6Q")
+MAGIC = b"EFTOK002"
+_HEAD = struct.Struct("<8s4Qq6Q")
 SAMPLE = 256
 #: Documents that a reader of whole shards reads at once.
 READ_DOCS = 512
+#: Tasks at most that read shards back.
+READ_TASKS = 20_000
 #: A shard is closed when it holds this many bytes of ids.
 SHARD_BYTES = 32 << 20
-#: Stands for a null identifier in a shard.
-NULL_ID = -(1 << 63)
 _BIT = np.array([[i for i in range(8) if b >> i & 1] + [0] * (8 - bin(b).count("1")) for b in range(256)], np.uint8)
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
@@ -61,16 +63,18 @@ def encode_bounds(ends: np.ndarray) -> tuple[int, bytes, bytes]:
     return low, np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes(), np.packbits(high, bitorder="little").tobytes()
 
 
+def encode_samples(highs: bytes) -> bytes:
+    """The place of every ``SAMPLE``-th set bit of a high part, 4 bytes each."""
+    return np.flatnonzero(np.unpackbits(np.frombuffer(highs, np.uint8), bitorder="little"))[::SAMPLE].astype("<u4").tobytes()
+
+
 class EliasFano:
-    """Select over the two parts of ``encode_bounds``."""
+    """Select over the parts of ``encode_bounds`` and ``encode_samples``, as they lie in the file."""
 
-    def __init__(self, n: int, low: int, lows: bytes, highs: bytes):
+    def __init__(self, n: int, low: int, lows: bytes, highs: bytes, samples: bytes | None = None):
         self.n, self.low = n, low
         self.lows, self.highs = np.frombuffer(lows, np.uint8), np.frombuffer(highs, np.uint8)
-        before = np.cumsum(_ONES[self.highs], dtype=np.int64)
-        # Byte of the high part that holds every SAMPLE-th set bit, and the set bits before it.
-        self.at = np.searchsorted(before, np.arange(0, n, SAMPLE), side="right").astype(np.int64)
-        self.rank = np.where(self.at > 0, before[self.at - 1], 0) if n else self.at
+        self.samples = np.frombuffer(encode_samples(highs) if samples is None else samples, "<u4")
 
     def _low(self, i: int) -> int:
         first, last = i * self.low, (i + 1) * self.low
@@ -81,9 +85,12 @@ class EliasFano:
         """The i-th value."""
         if not 0 <= i < self.n:
             raise IndexError(i)
-        at, rank = int(self.at[i // SAMPLE]), int(self.rank[i // SAMPLE])
+        # The set bits before the sample's byte are those before the sample less those in its byte before it.
+        place = int(self.samples[i // SAMPLE])
+        at = place // 8
+        rank = i // SAMPLE * SAMPLE - int(_ONES[self.highs[at] & ((1 << place % 8) - 1)])
         while True:
-            ones = np.cumsum(_ONES[self.highs[at : at + 64]], dtype=np.int64)
+            ones = np.cumsum(_ONES[self.highs[at : at + 64]], dtype=np.int32)
             if rank + int(ones[-1]) > i:
                 break
             at, rank = at + 64, rank + int(ones[-1])
@@ -92,43 +99,69 @@ class EliasFano:
         bit = (at + byte) * 8 + int(_BIT[self.highs[at + byte], i - rank])
         return (bit - i) << self.low | self._low(i)
 
-    def values(self) -> np.ndarray:
-        """All values, for a reader of the whole shard."""
-        at = np.flatnonzero(np.unpackbits(self.highs, bitorder="little"))[: self.n]
-        low = np.unpackbits(self.lows, bitorder="little")[: self.n * self.low].reshape(self.n, self.low)
-        return (at - np.arange(self.n)) << self.low | low.astype(np.int64) @ (1 << np.arange(self.low))
+    def block(self, a: int, b: int) -> np.ndarray:
+        """Values a to b - 1: from the sample before a, only the bytes that hold them are unpacked."""
+        if a >= b:
+            return np.zeros(0, np.uint64)
+        first = a // SAMPLE * SAMPLE
+        start, after = int(self.samples[a // SAMPLE]), -(-b // SAMPLE)
+        stop = int(self.samples[after]) if after < len(self.samples) else len(self.highs) * 8
+        bits = np.unpackbits(self.highs[start // 8 : stop // 8 + 1], bitorder="little")
+        bits[: start % 8] = 0  # bits of values before the sample
+        at = np.flatnonzero(bits)[a - first : b - first] + start // 8 * 8
+        high = (at - np.arange(a, b)).astype(np.uint64) << np.uint64(self.low)
+        if not self.low:
+            return high
+        lead = a * self.low
+        low = np.unpackbits(self.lows[lead // 8 : (b * self.low + 7) // 8], bitorder="little")[lead % 8 :][: (b - a) * self.low]
+        return high | low.reshape(b - a, self.low).astype(np.uint64) @ (np.uint64(1) << np.arange(self.low, dtype=np.uint64))
 
     def span(self, i: int) -> tuple[int, int]:
         """Start and end of document i."""
         return (self.select(i - 1) if i else 0), self.select(i)
 
 
-def shard_bytes(ids: list[int], docs: list[bytes], width: int) -> bytes:
-    """One shard's file."""
-    ends = np.cumsum([len(d) // width for d in docs], dtype=np.uint64) if docs else np.zeros(0, np.uint64)
-    low, lows, highs = encode_bounds(ends)
-    head = _HEAD.pack(MAGIC, len(docs), int(ends[-1]) if docs else 0, width, low, len(lows), len(highs))
-    return b"".join([head, np.asarray(ids, "<i8").tobytes(), lows, highs, *docs])
+def shard_bytes(ids: list[int | None], docs: list[bytes], width: int) -> bytes:
+    """One shard's file; identifiers ascend, null ones first."""
+    ends = np.cumsum([len(d) // width for d in docs], dtype=np.uint64)
+    known = np.array([i for i in ids if i is not None], np.int64)
+    least = int(known[0]) if len(known) else 0
+    parts, sizes = [], []
+    for values in (ends, known.astype(np.uint64) - np.array(least, np.int64).astype(np.uint64)):
+        low, lows, highs = encode_bounds(values)
+        parts += [encode_samples(highs), lows, highs]
+        sizes += [low, len(lows), len(highs)]
+    head = _HEAD.pack(MAGIC, len(docs), int(ends[-1]) if docs else 0, width, len(docs) - len(known), least, *sizes)
+    return b"".join([head, *parts, *docs])
 
 
 class Shard:
-    """Random access to a shard in an open seekable file: only what is asked for is read."""
+    """Random access to a shard in an open seekable file: of the ids only what is asked for is read."""
 
     def __init__(self, file):
         self.file = file
-        magic, self.n, self.tokens, self.width, low, n_low, n_high = _HEAD.unpack(file.read(_HEAD.size))
+        magic, self.n, self.tokens, self.width, self.nulls, self.least, *sizes = _HEAD.unpack(file.read(_HEAD.size))
         if magic != MAGIC:
             raise ValueError("not a token-id shard")
-        self.ids = np.frombuffer(file.read(8 * self.n), "<i8")
-        self.bounds = EliasFano(self.n, low, file.read(n_low), file.read(n_high))
-        self.first = _HEAD.size + 8 * self.n + n_low + n_high
-
-    def documents(self, a: int, b: int, ends: np.ndarray) -> list[np.ndarray]:
-        """Documents a to b - 1 in one read; ``ends`` are all boundaries."""
-        start = int(ends[a - 1]) if a else 0
+        self.first, held = _HEAD.size, []
+        for n, (low, lows, highs) in ((self.n, sizes[:3]), (self.n - self.nulls, sizes[3:])):
+            samples = 4 * -(-n // SAMPLE)
+            held.append(EliasFano(n, low, samples=file.read(samples), lows=file.read(lows), highs=file.read(highs)))
+            self.first += samples + lows + highs
+        self.bounds, self.idents = held
+
+    def ident(self, i: int) -> int | None:
+        """Identifier of document i."""
+        return None if i < self.nulls else self.least + self.idents.select(i - self.nulls)
+
+    def documents(self, a: int, b: int) -> tuple[list[int | None], int, list[np.ndarray]]:
+        """Identifiers of documents a to b - 1, the first one's start, and their ids, in one read."""
+        start, ends = (self.bounds.select(a - 1) if a else 0), self.bounds.block(a, b).astype(np.int64)
         self.file.seek(self.first + start * self.width)
-        ids = np.frombuffer(self.file.read((int(ends[b - 1]) - start) * self.width), f"<u{self.width}")
-        return np.split(ids, ends[a : b - 1] - start)
+        ids = np.frombuffer(self.file.read((int(ends[-1]) - start) * self.width), f"<u{self.width}")
+        known = self.idents.block(max(a - self.nulls, 0), max(b - self.nulls, 0)).tolist()
+        names = [None] * (b - a - len(known)) + [self.least + i for i in known]
+        return names, start, np.split(ids, ends[:-1] - start)
 
     def document(self, i: int) -> np.ndarray:
         start, end = self.bounds.span(i)
@@ -153,6 +186,8 @@ def write_shards(docs: DataFrame, path: str, out: str, end_id: int = 0, width: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = word_cache(path, False, BYTE_SPECIALS, f"<u{width}")
+        if max(cache.tokenizer.get_vocab_size() - 1, end_id) >> 8 * width:
+            raise ValueError(f"the vocabulary has ids that {width} bytes can't hold")
         end = np.asarray([end_id], f"<u{width}").tobytes()
         fs, folder = _fs(out)
         fs.create_dir(folder, recursive=True)
@@ -170,7 +205,7 @@ def write_shards(docs: DataFrame, path: str, out: str, end_id: int = 0, width: i
         for batch in slices(batches):
             keys = batch.column("doc_id").to_pylist()
             for key, data in zip(keys, cache.encode(batch.column("text").to_pylist()), strict=True):
-                ids.append(NULL_ID if key is None else key)
+                ids.append(key)
                 held.append(data + end)
                 size += len(data) + width
                 if size >= shard_size:
@@ -195,22 +230,21 @@ def read_shards(manifest: DataFrame, out: str) -> DataFrame:
             for name, first in zip(batch.column("file").to_pylist(), batch.column("first").to_pylist(), strict=True):
                 with fs.open_input_file(f"{folder}/{name}") as f:
                     shard = Shard(f)
-                    ends = shard.bounds.values()
-                    starts = first + np.r_[0, ends[:-1]]
                     for at in range(0, shard.n, READ_DOCS):
-                        to = min(at + READ_DOCS, shard.n)
-                        parts = shard.documents(at, to, ends)
+                        keys, start, parts = shard.documents(at, min(at + READ_DOCS, shard.n))
+                        sizes = np.array([len(p) for p in parts], np.int64)
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array([None if k == NULL_ID else k for k in shard.ids[at:to].tolist()], pa.int64()),
-                                pa.array(starts[at:to], pa.int64()),
-                                pa.array([len(p) for p in parts], pa.int64()),
+                                pa.array(keys, pa.int64()),
+                                pa.array(first + start + np.cumsum(sizes) - sizes),
+                                pa.array(sizes),
                                 pa.array([zlib.crc32(p.astype("<u4")) for p in parts], pa.int64()),
                             ],
                             names=["doc_id", "start", "n_tokens", "ids_crc32"],
                         )
 
-    spread = firsts.repartition("file")
+    # A task a shard: its row is a few bytes, so partitions by size would put all shards into one task.
+    spread = firsts.repartitionByRange(max(1, min(manifest.count(), READ_TASKS)), "shard")
     return map_arrow(spread, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

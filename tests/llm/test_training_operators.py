@@ -65,7 +65,7 @@ def test_content_groups(odd, none):
     groups = {}
     for i, t in ODD:
         groups.setdefault(norm(t), []).append(i)
-    got = exact_sort.content_groups(odd, salts=4).collect()
+    got = exact_sort.content_groups(odd, tasks=40).collect()
     assert len(got) == len(ODD)
     for r in got:
         own = next(v for k, v in groups.items() if hashlib.sha256(k.encode()).hexdigest() == r["text_sha256"] and r["doc_id"] in v)
@@ -75,13 +75,35 @@ def test_content_groups(odd, none):
 
 
 def test_keep_one_keeps_columns(odd, none):
-    kept = exact_sort.keep_one(odd, salts=4)
+    kept = exact_sort.keep_one(odd, tasks=40)
     assert kept.columns == odd.columns
     assert kept.count() == len({norm(t) for _, t in ODD})
     assert {r["doc_id"] for r in kept.collect()} >= {2, 3, 5, 8, 9}
     assert exact_sort.keep_one(none).count() == 0
 
 
+@pytest.mark.parametrize("digest", [True, False])
+@pytest.mark.parametrize("tasks", [2, 60])
+def test_comparisons_decide_what_is_equal(spark, monkeypatch, digest, tasks):
+    """Heavy texts are cut, and all texts may even share one digest: neighbours are compared in full."""
+    if not digest:
+        monkeypatch.setattr(exact_sort, "_digest", lambda norm: F.lit("same"))
+    same = "a passage that all of these texts begin with, and that is longer than a prefix "
+    texts = [(i, same + "copies of one text") for i in range(300)] + [(7, same + "Copies of one text")] * 20
+    texts += [(1000 + i, same + f"text {i % 60}") for i in range(200)] + [(None, same + "text 3"), (5000, None), (5001, "")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    groups = {}
+    for i, t in texts:
+        groups.setdefault(norm(t), []).append(i)
+    want = sorted(((i, max((x for x in groups[norm(t)] if x is not None), default=None), len(groups[norm(t)])) for i, t in texts), key=str)
+    got = exact_sort.content_groups(df, tasks=tasks).collect()
+    assert sorted(((r["doc_id"], r["keep_id"], r["group_size"]) for r in got), key=str) == want
+    assert sum(r["kept"] for r in got) == len(groups) and all(r["doc_id"] == r["keep_id"] for r in got if r["kept"])
+    kept = exact_sort.keep_one(df, tasks=tasks).collect()
+    assert sorted(norm(r["text"]) for r in kept) == sorted(groups)
+    assert {r["doc_id"] for r in kept} == {max(x for x in g if x is not None) for g in groups.values()}
+
+
 def encoded(path, text):
     from tokenizers import Tokenizer
 
@@ -115,12 +137,46 @@ def test_whole_tokens_are_single():
 
 def test_elias_fano_select():
     rng = np.random.default_rng(1)
-    for gaps in (rng.integers(1, 9, 2_000), rng.integers(1, 100_000, 700), np.r_[np.ones(600, int), 10**9, np.ones(600, int)], np.ones(1, int)):
+    for gaps in (rng.integers(1, 9, 2_000), rng.integers(0, 100_000, 700), np.r_[np.ones(600, int), 10**9, np.ones(600, int)], np.ones(1, int), rng.integers(0, 2, 3_000), np.zeros(300, int)):
         ends = np.cumsum(gaps)
         low, lows, highs = elias_fano.encode_bounds(ends)
         ef = elias_fano.EliasFano(len(ends), low, lows, highs)
         assert [ef.select(i) for i in range(len(ends))] == ends.tolist()
+        for a, b in [sorted(rng.integers(0, len(ends) + 1, 2)) for _ in range(40)] + [(0, len(ends))]:
+            assert ef.block(a, b).tolist() == ends[a:b].tolist()
         assert len(lows) + len(highs) <= len(ends) * (4 + math.log2(ends[-1] / len(ends) + 1)) / 8 + 4
+        assert ef.samples.nbytes <= len(ends) / 64 + 4
+
+
+@pytest.mark.parametrize("ids", [[None, None, -(2**63), -5, 0, 7, 7, 2**63 - 1], [3], [None], list(range(1000, 90_000, 97)), [None] * 3 + [5] * 400])
+def test_shard_in_memory(ids):
+    import io
+
+    docs = [np.arange(k % 5 + 1, dtype="<u2").tobytes() for k in range(len(ids))]
+    data = elias_fano.shard_bytes(ids, docs, 2)
+    shard = elias_fano.Shard(io.BytesIO(data))
+    assert [shard.ident(i) for i in range(shard.n)] == ids
+    for a in range(0, len(ids), 300):
+        names, start, parts = shard.documents(a, min(a + 300, len(ids)))
+        assert names == ids[a : a + 300] and start == sum(len(d) for d in docs[:a]) // 2
+        assert [p.tobytes() for p in parts] == docs[a : a + 300]
+    assert shard.document(len(ids) - 1).tobytes() == docs[-1]
+    if len(ids) > 500:  # boundaries, identifiers and samples take few bytes a document
+        assert len(data) - sum(map(len, docs)) < 3 * len(ids)
+
+
+def test_shards_are_read_back_by_many_tasks(spark, tmp_path):
+    docs = spark.range(200).selectExpr("id AS doc_id", "repeat('many words ', 30) AS text")
+    out = str(tmp_path / "shards")
+    manifest = elias_fano.write_shards(docs, BYTE, out, shard_size=1_000)
+    read = elias_fano.read_shards(manifest, out)
+    assert manifest.count() > 20 and read.count() == 200
+    assert read.rdd.getNumPartitions() == manifest.count()
+
+
+def test_width_is_checked(odd, tmp_path):
+    with pytest.raises(Exception, match="1 bytes can't hold"):
+        elias_fano.write_shards(odd, BYTE, str(tmp_path / "narrow"), width=1)
 
 
 def test_shards_round_trip(spark, odd, none, tmp_path):
