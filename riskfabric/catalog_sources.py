@@ -11,6 +11,7 @@ deduplication run in ``riskfabric.sources`` / ``riskfabric.operators``.
 from __future__ import annotations
 
 import datetime as _dt
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -790,7 +791,7 @@ def q_kpi_global_sql(spark, sf_dir):
     """The KPI statement run through spark.sql with positional ? parameters over registered views."""
     from riskfabric.plans import sql
 
-    prefix = f"rf_{abs(hash(sf_dir)) % 10**8}_"
+    prefix = f"rf_{zlib.crc32(sf_dir.encode())}_"
     sql.register_views(spark, {"fact_incident": fixtures.fact_incident(spark, sf_dir)}, prefix)
     return sql.query(spark, sql.KPI_GLOBAL.format(p=prefix), [D0, D1])
 
@@ -809,7 +810,7 @@ def q_weekly_timeline_region_sql(spark, sf_dir):
     """The regional weekly timeline as SQL over the registered aggregate view, three positional parameters."""
     from riskfabric.plans import sql
 
-    prefix = f"rf_{abs(hash(sf_dir)) % 10**8}_"
+    prefix = f"rf_{zlib.crc32(sf_dir.encode())}_"
     sql.register_views(spark, {"fact_incident": fixtures.fact_incident(spark, sf_dir)}, prefix)
     return sql.query(spark, sql.WEEKLY_TIMELINE_REGION.format(p=prefix), [D0, D1, "ASIA"])
 
