@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -17,7 +20,7 @@ from riskfabric.session import materialize
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Texts handed to Python at once; a longer single text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -55,11 +58,14 @@ def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that a slice holds about ``most`` bytes of ``column`` (one row at least)."""
+def slices(batches: Iterator[pa.RecordBatch], *columns: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that a slice holds about ``most`` bytes of ``columns`` (``text`` if none are named; one row at least)."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
-        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+        sizes = np.zeros(batch.num_rows, np.int64)
+        for column in columns or ("text",):
+            own = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
+            sizes += own.to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(sizes)
         at = 0
         while at < batch.num_rows:
             before = ends[at - 1] if at else 0
@@ -68,10 +74,50 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             at = to
 
 
+_HELD: list = []
+_OWNER: list[str] = [""]
+
+
+def _give_back() -> None:
+    """Return freed memory to the system; the C library and Arrow would keep it for this process."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def task_begins(owner: str) -> None:
+    """Drop what another operator's tasks have kept in this worker process."""
+    if _OWNER[0] != owner:
+        _OWNER[0] = owner
+        _HELD.clear()
+        gc.collect()
+        _give_back()
+
+
+def held_alone(name: str, of: object, make):
+    """This worker process's one large table: ``make()``, kept while the same ``name`` and object ``of`` are asked for."""
+    if not _HELD or _HELD[0] != name or _HELD[1] is not of:
+        _HELD.clear()
+        made = make()
+        _HELD[:] = [name, of, made]
+    return _HELD[2]
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package on the workers' path."""
+    """``mapInArrow`` with this package on the workers' path.
+
+    Spark gives a Python process to one operator's tasks after another's: what the last one kept is
+    dropped first, and a task's freed memory is given back at its end.
+    """
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    owner = f"{fn.__module__}.{fn.__qualname__}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task_begins(owner)
+        yield from fn(batches)
+        _give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:

@@ -82,8 +82,10 @@ _POWERS: dict[int, np.ndarray] = {}
 
 def _powers(base: int, n: int) -> np.ndarray:
     """The first ``n`` powers of ``base`` modulo 2^64."""
-    if len(_POWERS.get(base, ())) < n:
-        _POWERS[base] = np.cumprod(np.r_[_U(1), np.full(max(n, BLOCK + 1) - 1, base, np.uint64)], dtype=np.uint64)
+    if n > BLOCK + 1:  # a single word as long as that
+        return np.cumprod(np.r_[_U(1), np.full(n - 1, base, np.uint64)], dtype=np.uint64)
+    if base not in _POWERS:
+        _POWERS[base] = np.cumprod(np.r_[_U(1), np.full(BLOCK, base, np.uint64)], dtype=np.uint64)
     return _POWERS[base][:n]
 
 
@@ -369,7 +371,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text_a", 1 << 20):
+        for batch in slices(batches, "text_a", "text_b", most=1 << 20):
             sets = []
             for column in ("text_a", "text_b"):
                 h, owner = shingle_sets(*_texts(batch, column))

@@ -25,7 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from riskfabric.llm.common import map_arrow, slices, texts_of
+from riskfabric.llm.common import held_alone, map_arrow, slices, texts_of
+from riskfabric.llm.word_cache import read_bytes
 
 MARK = "▁"
 #: Segments of more symbols are merged through a heap, one by one.
@@ -216,15 +217,9 @@ class Model:
         return [self.library.decode(x) for x in ids]
 
 
-_MODELS: dict[str, Model] = {}
-
-
 def model(path: str) -> Model:
     """This worker process's model."""
-    if path not in _MODELS:
-        with open(path, "rb") as f:
-            _MODELS[path] = Model(f.read())
-    return _MODELS[path]
+    return held_alone(f"pieces of {path}", None, lambda: Model(read_bytes(path)))
 
 
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfabric.llm.common import map_arrow, scratch_table, ship_package, slices, texts_of
+from riskfabric.llm.common import held_alone, map_arrow, scratch_table, ship_package, slices, texts_of
 from riskfabric.llm.word_cache import WordCache, read_bytes, word_cache
 
 #: Bytes of text a block: the tokens' tables take some fifty times that.
@@ -166,14 +166,9 @@ class Aligned:
         return ["".join(words[s:e])[:-1] for s, e in zip([0, *ends], ends, strict=False)]
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
-
-
 def aligner(path_a: str, path_b: str) -> Aligner:
     """This worker process's aligner."""
-    if (path_a, path_b) not in _ALIGNERS:
-        _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
-    return _ALIGNERS[path_a, path_b]
+    return held_alone(f"aligner of {path_a} and {path_b}", None, lambda: Aligner(path_a, path_b))
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:

@@ -16,6 +16,8 @@ from itertools import chain, islice
 import numpy as np
 import pyarrow.fs as pafs
 
+from riskfabric.llm.common import held_alone
+
 _LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
 #: ASCII without the four separators U+001C-1F, Latin letters without U+0130 (lower case of two
 #: characters), no numbers outside ASCII, common punctuation and currency signs.
@@ -129,15 +131,9 @@ def read_bytes(path: str) -> bytes:
         return f.read()
 
 
-_CACHES: dict[tuple, WordCache] = {}
-
-
 def word_cache(path: str, lower: bool = False, specials: tuple[str, ...] = (), dtype: str = "<u4") -> WordCache:
     """This worker process's cache for the tokenizer file at ``path`` (a path or URI every worker can read)."""
-    key = (path, lower, specials, dtype)
-    if key not in _CACHES:
-        _CACHES[key] = WordCache(read_bytes(path), lower, specials, dtype)
-    return _CACHES[key]
+    return held_alone(f"words of {(path, lower, specials, dtype)}", None, lambda: WordCache(read_bytes(path), lower, specials, dtype))
 
 
 BYTE_SPECIALS = ("<|endoftext|>",)
