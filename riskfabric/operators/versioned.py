@@ -95,10 +95,11 @@ class Warehouse:
 
         ``source`` (column, value) first deletes that source's rows. ``removed`` has keys
         whose rows go. ``moves`` has the partitions that hold batch keys or removed ones, where the caller
-        knows them (then no index is kept or read). Columns that the batch lacks keep their stored values.
+        knows them (then no index is kept or read). An empty text as partition value is NULL, as Spark stores it. Columns that the batch lacks keep their stored values.
         """
         before = self.version(table)
         parts = list(partition_by)
+        batch = _without_blank(batch, parts)
         touched = None
         if before is None:
             target = self.spark.createDataFrame([], schemas.TABLES[table] if table in schemas.TABLES else batch.schema)
@@ -146,7 +147,7 @@ class Warehouse:
         """Partition values that the load writes to or takes rows from."""
         found = batch.select(*parts)
         if moves is not None:
-            found = found.unionByName(moves.select(*parts))
+            found = found.unionByName(_without_blank(moves.select(*parts), parts))
         elif not set(parts) <= set(keys):
             found = found.unionByName(self.index_of(before, batch, keys).select(*parts))
         if source is not None:
@@ -250,6 +251,11 @@ class Warehouse:
         return dropped
 
 
+def _without_blank(rows: DataFrame, parts: list[str]) -> DataFrame:
+    texts = [p for p in parts if dict(rows.dtypes)[p] == "string"]
+    return rows.withColumns({p: F.nullif(F.col(p), F.lit("")) for p in texts}) if texts else rows
+
+
 def _text(value) -> str:
     """A partition value as the catalog writes it."""
     return str(value).lower() if isinstance(value, bool) else str(value)

@@ -53,6 +53,18 @@ def test_random_loads_equal_a_plain_table(spark, wh):
     assert folders == {v[0] for v in plain.values()}  # emptied partitions are gone
 
 
+def test_partition_values_of_any_kind(spark, wh):
+    values = ["a/b", "x=y", "", None, "ü ñ", "50%", "a'b", "__x", "A"]
+    kinds = "id long, s string, n int, d date, v int"
+    first = [(i, s, n, d, 0) for i, (s, n, d) in enumerate((s, n, d) for s in values for n in (None, 3) for d in (None, day(2)))]
+    wh.load("odd", spark.createDataFrame(first, kinds), ["id"], ["s", "n", "d"])
+    wh.load("odd", spark.createDataFrame([(i, s, n, d, 1) for i, s, n, d, _ in first[::2]], kinds), ["id"], ["s", "n", "d"])
+    wh.load("odd", spark.createDataFrame([(i, "moved", 7, None, 2) for i, *_ in first[::3]], kinds), ["id"], ["s", "n", "d"])
+    want = {i: ((s or None, n, d, 1 if i % 2 == 0 else 0) if i % 3 else ("moved", 7, None, 2)) for i, s, n, d, _ in first}
+    got = wh.read("odd").select("id", "s", "n", "d", "v").collect()
+    assert len(got) == len(first) and {r[0]: tuple(r)[1:] for r in got} == want
+
+
 def test_failure_before_the_switch_leaves_the_old_rows(spark, wh, monkeypatch):
     wh.load("ev", spark.createDataFrame([(1, day(1), 1, "a"), (2, day(2), 2, "a")], DDL), ["id"], ["day"])
     before, reader = held(wh), wh.read("ev")
