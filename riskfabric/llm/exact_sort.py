@@ -33,20 +33,24 @@ def _digest(norm: Column) -> Column:
     return F.sha2(norm, 256)
 
 
-def _dealt(rows: DataFrame, tasks: int | None) -> DataFrame:
-    """``rows`` (_id, _text, ...) range-partitioned, with _norm, _sha, _pieces (of its text) and _piece (the row's own)."""
+def _placed(rows: DataFrame, tasks: int | None) -> DataFrame:
+    """``rows`` (_id, _text, ...) with _prefix, _sha, _pieces (of its text, if it is heavy) and _piece (the row's own)."""
     tasks = tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.withColumn("_norm", ascii_lower(F.col("_text"))).withColumn("_sha", _digest(F.col("_norm")))
     weights = scratch_table(rows.groupBy("_sha").agg(F.sum(F.octet_length("_norm").cast("long") + ROW_BYTES).alias("w"), F.count(F.lit(1)).alias("n")), "content_weights")
     total = weights.agg(F.sum("w")).first()[0] or 0
     # Fewer than ``tasks`` texts can weigh more than a share of 1 / tasks each.
-    heavy = weights.where((F.col("w") * tasks > total) & (F.col("n") > 1)).select(F.col("_sha").alias("_heavy"), F.ceil(F.col("w") * tasks / total).cast("int").alias("_pieces"))
+    heavy = weights.where((F.col("w") * tasks > total) & (F.col("n") > 1)).select(F.col("_sha").alias("_heavy"), F.greatest(F.lit(2), F.ceil(F.col("w") * tasks / total)).cast("int").alias("_pieces"))
     joined = rows.join(F.broadcast(heavy), F.col("_sha") == F.col("_heavy"), "left").drop("_heavy")
     # Repeated rows differ by the split that they come from.
     piece = F.when(F.col("_pieces") > 1, F.pmod(F.xxhash64("_id", F.spark_partition_id()), F.col("_pieces"))).otherwise(0).cast("int")
     placed = joined.withColumn("_piece", piece).withColumn("_prefix", ascii_lower(F.substring("_text", 1, PREFIX_CHARS)))
-    # The normalised text is made again behind the exchange, which so moves one text a row.
-    return placed.drop("_norm").repartitionByRange(*_PLACE).withColumn("_norm", ascii_lower(F.col("_text")))
+    return placed.drop("_norm")
+
+
+def _dealt(placed: DataFrame) -> DataFrame:
+    """Range-partitioned; the normalised text is made again behind the exchange, which so moves one text a row."""
+    return placed.repartitionByRange(*_PLACE).withColumn("_norm", ascii_lower(F.col("_text")))
 
 
 def _run():
@@ -64,7 +68,7 @@ def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rank = F.row_number().over(run.orderBy(F.desc_nulls_last("_id")))
     # Texts of one place that differ have numbers of their own, by the order of the texts themselves.
     number = F.dense_rank().over(Window.partitionBy(*_PLACE).orderBy("_norm"))
-    local = _dealt(rows, tasks).select(
+    local = _dealt(_placed(rows, tasks)).select(
         "_id", "_sha", "_piece", heavy.alias("_heavy"), number.alias("_run"), rank.alias("_rank"),
         F.max("_id").over(run).alias("_max"), F.count(F.lit(1)).over(run).alias("_size"),
         F.when(heavy & (rank == 1), F.col("_norm")).alias("_first"), F.when(heavy, F.col("_prefix")).alias("_begin"),
@@ -92,11 +96,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ta
     The whole row travels as one struct, so no input column can clash with a working column.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.struct("*").alias("_row"))
-    first = _dealt(rows, tasks).withColumn("_rank", F.row_number().over(_run().orderBy(F.desc_nulls_last("_id")))).where("_rank = 1")
-    first = scratch_table(first.select("_id", "_row", "_sha", "_piece", (F.col("_pieces") > 1).alias("_heavy"), F.when(F.col("_pieces") > 1, F.col("_norm")).alias("_first")), "content_firsts")
-    across = Window.partitionBy("_sha", "_first").orderBy(F.desc_nulls_last("_id"), "_piece")
-    cut = first.where("_heavy").withColumn("_rank", F.row_number().over(across)).where("_rank = 1")
-    return first.where("_heavy IS NULL OR NOT _heavy").select("_row.*").unionByName(cut.select("_row.*"))
+    placed, rank = _placed(rows, tasks), F.row_number().over(_run().orderBy(F.desc_nulls_last("_id")))
+    light = _dealt(placed.where("_pieces IS NULL")).withColumn("_rank", rank).where("_rank = 1")
+    # Of a heavy text one row a piece is left, which are compared in full once more.
+    across = Window.partitionBy("_sha", "_norm").orderBy(F.desc_nulls_last("_id"), "_piece")
+    heavy = _dealt(placed.where("_pieces IS NOT NULL")).withColumn("_rank", rank).where("_rank = 1")
+    heavy = heavy.withColumn("_rank", F.row_number().over(across)).where("_rank = 1")
+    return light.select("_row.*").unionByName(heavy.select("_row.*"))
 
 
 SQL = """
