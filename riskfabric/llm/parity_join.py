@@ -76,7 +76,7 @@ _Q = _U(0xC2B2AE3D27D4EB4F | 1)
 
 
 #: Bytes whose running sums are held at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -247,7 +247,7 @@ def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.uint8)
-        for batch in slices(batches, most=1 << 20):
+        for batch in slices(batches, most=1 << 19):
             h, owner = shingle_sets(*_texts(batch))
             sizes = np.bincount(owner, minlength=batch.num_rows)
             cut = np.r_[0, np.cumsum(sizes)]
@@ -295,7 +295,7 @@ def document_keys(docs: DataFrame, hot: np.ndarray, id_col: str = "doc_id", text
     held = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=1 << 20):
+        for batch in slices(batches, most=1 << 19):
             h, owner = shingle_sets(*_texts(batch))
             sizes = np.bincount(owner, minlength=batch.num_rows)
             node = _print(h, np.r_[0, np.cumsum(sizes)], _PRINTS[0])
@@ -371,7 +371,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text_a", "text_b", most=1 << 20):
+        for batch in slices(batches, "text_a", "text_b", most=1 << 19):
             sets = []
             for column in ("text_a", "text_b"):
                 h, owner = shingle_sets(*_texts(batch, column))
