@@ -82,3 +82,20 @@ def test_version_columns_decide_in_any_order(spark, tmp_path):
     land(folder, "b.parquet", [event(1, 4, 9.0), event(2, 2, 9.0)])  # older than what is held, and newer
     got = latest.ingest_latest(spark, folder, ingest.EVENTS, wh, "ev", ["event_id"], "event_day", **options)
     assert table(got) == {1: ("2024-01-05", 1.0), 2: ("2024-01-02", 9.0)}
+
+
+def test_state_holds_a_bucket_of_keys_an_entry(spark, tmp_path):
+    """One entry of the state store, and one call of the processor, serve many keys."""
+    wh = Warehouse(spark, f"s{random.randrange(10**9)}", str(tmp_path / "wh"))
+    folder, ckpt = str(tmp_path / "land"), str(tmp_path / "ckpt")
+    options = {"transform": ingest.with_event_day, "checkpoint": ckpt}
+    for name, first, value in (("a", 0, 1.0), ("b", 0, 1.0), ("c", 100, 2.0)):  # all, all again, some corrected
+        land(folder, f"{name}.parquet", [event(i, 1 + (i % 3) + int(value) - 1, value) for i in range(first, 300)])
+        got = latest.ingest_latest(spark, folder, ingest.EVENTS, wh, "ev", ["event_id"], "event_day", **options)
+    assert table(got) == {i: (f"2024-01-0{1 + i % 3 + (i >= 100)}", 2.0 if i >= 100 else 1.0) for i in range(300)}
+    state = spark.read.format("statestore").option("stateVarName", "last_of_bucket").load(ckpt)
+    assert 0 < state.count() < 300
+    one = Warehouse(spark, f"s{random.randrange(10**9)}", str(tmp_path / "one"))
+    again = latest.ingest_latest(spark, folder, ingest.EVENTS, one, "ev", ["event_id"], "event_day", transform=ingest.with_event_day, checkpoint=str(tmp_path / "ckpt1"), buckets=2)
+    assert table(again) == table(got)
+    assert spark.read.format("statestore").option("stateVarName", "last_of_bucket").load(str(tmp_path / "ckpt1")).count() == 2
