@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfabric import catalog_sources as raw
@@ -52,10 +52,14 @@ def _renamed(spark: SparkSession, written: str, folder: str, name: str) -> str:
     return folder
 
 
+def _page_of(df: DataFrame) -> Column:
+    """A row's page, of ``PAGE`` rows or so."""
+    return F.pmod(F.xxhash64(*df.columns), F.greatest(F.lit(1), F.ceil(df.agg(F.count(F.lit(1)).alias("n")).scalar() / PAGE)))
+
+
 def _pages(df: DataFrame, item, close: tuple[str, str]) -> DataFrame:
     """Text rows, one a page: ``PAGE`` items or so as a JSON array."""
-    n = F.pmod(F.xxhash64(*df.columns), F.greatest(F.lit(1), F.ceil(df.agg(F.count(F.lit(1)).alias("n")).scalar() / PAGE)))
-    page = df.select(n.alias("n"), F.to_json(item, {"ignoreNullFields": "false"}).alias("item"))
+    page = df.select(_page_of(df).alias("n"), F.to_json(item, {"ignoreNullFields": "false"}).alias("item"))
     body = F.array_join(F.collect_list("item"), ",")
     return page.groupBy("n").agg(F.concat(F.lit(close[0]), body, F.lit(close[1])).alias("value")).select("value")
 
@@ -119,8 +123,10 @@ def q_gdelt_files(spark, sf_dir):
     """Article lists; of the articles with one id each has the same fields, so the first to arrive is any of them."""
     folder = _folder(spark, "gdelt")
     rows = raw._news_raw_df(spark, sf_dir).select("url", "title", "seendate", "domain", "sourcecountry", "tone")
-    _pages(rows, F.struct("*"), ('{"articles": [', "]}")).write.option("maxRecordsPerFile", 1).text(f"{folder}/_written")
-    _renamed(spark, f"{folder}/_written", f"{folder}/gdelt", "artlist_{:05d}.json")
+    lists = rows.groupBy(_page_of(rows).alias("n")).agg(F.collect_list(F.struct(*rows.columns)).alias("articles")).select("articles")
+    # The files get their names as they are written, and tasks commit them: the driver names none of them.
+    named = {"mapreduce.output.basename": "artlist_", "mapreduce.fileoutputcommitter.algorithm.version": "2"}
+    lists.write.options(maxRecordsPerFile=1, ignoreNullFields="false", **named).json(f"{folder}/gdelt")
     found = gdelt.normalise(gdelt.read(spark, f"{folder}/gdelt"), _wh(spark, sf_dir).dim_country)
     return found.select("item_id", F.col("published_at_utc").cast("timestamp_ntz").alias("published_at_utc"), "country_focus_iso3", "url", "topic_tags", "tone")
 

@@ -24,7 +24,8 @@ def read(spark: SparkSession, raw_dir: str) -> DataFrame:
     A file that is not an object with ``articles`` yields no rows (explode drops NULL/empty).
     ``_has_themes`` tells whether the article has that key, even with a NULL.
     """
-    df = spark.read.schema(FILE).option("multiLine", True).json(f"{raw_dir.rstrip('/')}/artlist_*.json")
+    # The folder, not a glob of its files: a glob makes each file a path of its own, listed by a task.
+    df = spark.read.schema(FILE).options(multiLine=True, pathGlobFilter="artlist_*.json").json(raw_dir)
     df = df.select(F.col("_metadata.file_path").alias("_source_file"), F.posexplode("articles").alias("_pos", "a"))
     df = df.where(F.col("a").isNotNull())
     return df.select("_source_file", "_pos", *[F.col("a")[c].alias(c) for c in FIELDS], F.map_contains_key("a", F.lit("themes")).alias("_has_themes"))

@@ -235,3 +235,14 @@ def test_acled_files_with_different_headers(spark, tmp_path, countries):
     out = {r.admin1: r for r in acled.normalise(acled.read(spark, d), countries).collect()}
     assert set(out) == {"Istanbul", "Izmir", "Ankara"}
     assert out["Ankara"].event_count == 2 and out["Ankara"].event_type == "Protests"
+
+
+def test_gdelt_folder_is_one_path(spark, tmp_path):
+    """The folder's lists are listed at once, not a path a file; other files and folders stay out."""
+    d = tmp_path / "gdelt"
+    (d / "older").mkdir(parents=True)
+    for name in ("artlist_00000.json", "artlist_00001.json", "other.json", "older/artlist_00009.json"):
+        (d / name).write_text(json.dumps({"articles": [{"url": f"u/{name}", "title": None}]}))
+    found = gdelt.read(spark, str(d))
+    assert sorted(r["url"] for r in found.collect()) == ["u/artlist_00000.json", "u/artlist_00001.json"]
+    assert "InMemoryFileIndex(1 paths)" in found._jdf.queryExecution().toString()
