@@ -25,6 +25,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskfabric import schemas
 from riskfabric.operators.lookup import _bounded
@@ -60,7 +61,7 @@ def upsert(target: DataFrame, stage: DataFrame, keys: list[str], table: str | No
     """
     if order_cols is not None:
         stage = dedupe_first(stage, keys, order_cols)
-    types, defaults = dict(target.dtypes), schemas.COLUMN_DEFAULTS.get(table or "", {})
+    types = dict(target.dtypes)
     given = [c for c in target.columns if c in stage.columns]
     new = stage.select(*[F.col(c).cast(types[c]).alias(f"_new_{c}") for c in given], F.lit(True).alias("_is_new"))
     old = target.withColumn("_is_old", F.lit(True))
@@ -69,12 +70,21 @@ def upsert(target: DataFrame, stage: DataFrame, keys: list[str], table: str | No
     def merged(c: str) -> Column:
         if c in given:
             return F.when(F.col("_is_new"), F.col(f"_new_{c}")).otherwise(F.col(c))
-        default = F.current_timestamp() if c == "ingested_at_utc" else F.lit(defaults.get(c))
-        return F.when(F.col("_is_old").isNull(), default.cast(types[c])).otherwise(F.col(c))
+        return F.when(F.col("_is_old").isNull(), _default(table, c).cast(types[c])).otherwise(F.col(c))
 
     return both.select(*[merged(c).alias(c) for c in target.columns])
 
 
+def _default(table: str | None, column: str) -> Column:
+    """What a new row gets in a column that its stage lacks."""
+    return F.current_timestamp() if column == "ingested_at_utc" else F.lit(schemas.COLUMN_DEFAULTS.get(table or "", {}).get(column))
+
+
+def inserted(schema: T.StructType, stage: DataFrame, table: str | None = None) -> DataFrame:
+    """``upsert`` into a target of this schema that has no rows: no join."""
+    return stage.select(*[(F.col(f.name) if f.name in stage.columns else _default(table, f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def evolve_event_count(fact_incident: DataFrame) -> DataFrame:
     """Column evolution (K8): add ``event_count`` when absent and backfill NULL → 1."""
     if "event_count" not in fact_incident.columns:
@@ -240,7 +250,8 @@ class PathTables:
         return read_table(self.spark, self.path(table), table)
 
     def load(self, table: str, batch: DataFrame, keys: list[str], partition_by: list[str] | tuple = (),
-             source: tuple[str, str] | None = None) -> None:
+             source: tuple[str, str] | None = None, stored: bool = False) -> None:
+        """``stored`` is for ``versioned.Warehouse``, which reads the keys of a stored batch several times."""
         target, parts = self.read(table), None
         if partition_by:
             # Merge only inside the partitions this batch touches, so that the scan of the

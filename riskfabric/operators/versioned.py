@@ -10,7 +10,8 @@ reader sees the old rows; a query that has begun keeps reading the old version's
 *Key index.* A partitioned table whose partition columns aren't part of its key also has, per version,
 an index table key → partition, itself partitioned by a hash bucket of the key. A load reads the buckets
 that its keys fall into, and so knows the partitions that hold them without a scan of the table; it
-rewrites these buckets alone. An entry whose row has gone (a replaced source) only makes a
+rewrites these buckets alone. Where the catalog shows that a load meets no stored rows, it writes its batch
+without a join. An entry whose row has gone (a replaced source) only makes a
 later load read a partition in vain.
 
 The driver handles partition values and bucket numbers (catalog metadata), never rows. Writers of one
@@ -28,6 +29,7 @@ from pyspark.sql import types as T
 
 from riskfabric import schemas
 from riskfabric.operators import store
+from riskfabric.session import drop_materialized, materialize
 
 #: Buckets of a key index. A load of few keys reads a share of the index that grows with their number.
 BUCKETS = 64
@@ -90,35 +92,53 @@ class Warehouse:
 
     # -- loading ---------------------------------------------------------
 
-    def load(self, table: str, batch: DataFrame, keys: list[str], partition_by: list[str] | tuple = (), source: tuple[str, str] | None = None, moves: DataFrame | None = None, removed: DataFrame | None = None) -> str:
+    def load(self, table: str, batch: DataFrame, keys: list[str], partition_by: list[str] | tuple = (), source: tuple[str, str] | None = None, moves: DataFrame | None = None, removed: DataFrame | None = None,
+             stored: bool = False) -> str:
         """Upsert ``batch`` (unique keys) and return the new version.
 
         ``source`` (column, value) first deletes that source's rows. ``removed`` has keys
         whose rows go. ``moves`` has the partitions that hold batch keys or removed ones, where the caller
         knows them (then no index is kept or read). An empty text as partition value is NULL, as Spark stores it. Columns that the batch lacks keep their stored values.
+        ``stored`` says that the batch is read from files; of another one the keys are written once where they are needed more than once.
         """
         before = self.version(table)
         parts = list(partition_by)
         batch = _without_blank(batch, parts)
-        touched = None
+        indexed = bool(parts) and moves is None and not set(parts) <= set(keys)
         if before is None:
-            target = self.spark.createDataFrame([], schemas.TABLES[table] if table in schemas.TABLES else batch.schema)
+            schema = schemas.TABLES[table] if table in schemas.TABLES else batch.schema
+            held = {}
         else:
+            schema = self.read_version(before).schema
+            held = self.partitions(before, parts) if parts else {}
+        touched, placed, target, fresh = [], None, None, False
+        if held:
+            placed = batch.select(*dict.fromkeys([*keys, *parts]))
+            if indexed and not stored:
+                placed = materialize(placed, f"keys-{table}")
+            touched = self._touched(before, placed, keys, parts, source, moves, held)
+            # Rows that the batch may meet: those of touched partitions that exist and aren't the replaced source's.
+            met = [r for r in touched if not _surely_new(schema, r, parts, held)]
+            fresh = not met
+            met = [r for r in met if not (source is not None and source[0] in parts and r[source[0]] == source[1])]
+            target = self.read_version(before).where(_in_partitions(met, parts)) if met else None
+        elif before is not None and not parts:
             target = self.read_version(before)
-            if parts:
-                touched = self._touched(before, batch, keys, parts, source, moves)
-                target = target.where(_in_partitions(touched, parts))
-        indexed = bool(parts) and moves is None and not set(parts) <= set(keys)
-        if source is not None:
+        if target is not None and source is not None:
             target = target.where(~F.col(source[0]).eqNullSafe(F.lit(source[1])))
-        if removed is not None:
+        if target is not None and removed is not None:
             target = target.join(removed.select(*keys), keys, "left_anti")
-        merged = store.upsert(target, batch, keys, table)
+        if not parts and target is not None and self.read_version(before).isEmpty():
+            target = None
+        merged = store.upsert(target, batch, keys, table) if target is not None else store.inserted(schema, batch, table)
         version = self._next(table, before)
         self._write(version, merged, parts, before, touched)
         if indexed:
-            self._index(version, before, batch, keys, parts)
-        self._switch(table, version, before, self.read(table).columns if before else target.columns)
+            # The first rows of a table are read as they were written, not computed again.
+            self._index(version, before, placed if placed is not None else self.read_version(version), keys, parts, fresh)
+        if placed is not None and indexed and not stored:
+            drop_materialized(placed)
+        self._switch(table, version, before, self.read(table).columns if before else schema.names)
         return version
 
     def replace(self, table: str, rows: DataFrame, partition_by: list[str], touched: list, properties: dict[str, str] | None = None) -> str:
@@ -143,37 +163,42 @@ class Warehouse:
     def _next(table: str, before: str | None) -> str:
         return f"{table}__v{int(before.split('__v')[1][:8]) + 1 if before else 1:08d}_{uuid.uuid4().hex[:8]}"
 
-    def _touched(self, before: str, batch: DataFrame, keys: list[str], parts: list[str], source, moves: DataFrame | None) -> list:
+    def _touched(self, before: str, batch: DataFrame, keys: list[str], parts: list[str], source, moves: DataFrame | None, held: dict | None = None) -> list:
         """Partition values that the load writes to or takes rows from."""
+        held = self.partitions(before, parts) if held is None else held
         found = batch.select(*parts)
         if moves is not None:
             found = found.unionByName(_without_blank(moves.select(*parts), parts))
-        elif not set(parts) <= set(keys):
-            found = found.unionByName(self.index_of(before, batch, keys).select(*parts))
         if source is not None:
-            held = self.read_version(before).where(F.col(source[0]) == source[1])
-            found = found.unionByName(held.select(*parts))
-        return found.distinct().collect()  # partition values: as many as the catalog holds
+            old = self.read_version(before).where(F.col(source[0]) == source[1])
+            found = found.unionByName(old.select(*parts))
+        found = found.distinct().collect()  # partition values: as many as the catalog holds
+        if moves is None and not set(parts) <= set(keys) and set(held) - {_texts(r, parts) for r in found}:
+            # Only entries of other partitions can add to these.
+            index = self.index_of(before, batch, keys, ~F.coalesce(_in_partitions(found, parts), F.lit(False)) if found else None)
+            found += index.select(*parts).distinct().collect()
+        return found
 
     def _bucket(self, keys: list[str]) -> Column:
         return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
 
-    def index_of(self, version: str, batch: DataFrame, keys: list[str]) -> DataFrame:
-        """Index rows of the batch's keys. Only the buckets that these fall into are read."""
+    def index_of(self, version: str, batch: DataFrame, keys: list[str], where: Column | None = None) -> DataFrame:
+        """Index rows of the batch's keys, those that ``where`` takes. Only the buckets that the keys fall into are read."""
         asked = batch.select(*keys).withColumn("_bucket", self._bucket(keys))
         hit = [r[0] for r in asked.select("_bucket").distinct().collect()]  # at most ``buckets``
         index = self.read_version(f"{version}_keys").where(F.col("_bucket").isin(hit) if hit else F.lit(False))
-        return index.join(asked, ["_bucket", *keys], "left_semi")
+        return (index if where is None else index.where(where)).join(asked, ["_bucket", *keys], "left_semi")
 
-    def _index(self, version: str, before: str | None, batch: DataFrame, keys: list[str], parts: list[str]) -> None:
+    def _index(self, version: str, before: str | None, batch: DataFrame, keys: list[str], parts: list[str], fresh: bool = False) -> None:
+        """``fresh`` says that no partition holds one of the batch's keys."""
         columns = [*keys, *[p for p in parts if p not in keys]]
         rows = batch.select(*columns).withColumn("_bucket", self._bucket(keys))
         hit = None
-        if before is not None:
+        if before is not None and self.partitions(f"{before}_keys", ["_bucket"]):
             hit = rows.select("_bucket").distinct().collect()
             old = self.read_version(f"{before}_keys").where(_in_partitions(hit, ["_bucket"]))
-            rows = rows.unionByName(old.join(rows.select(*keys, "_bucket"), [*keys, "_bucket"], "left_anti"))
-        self._write(f"{version}_keys", rows, ["_bucket"], f"{before}_keys" if before else None, hit)
+            rows = rows.unionByName(old if fresh else old.join(rows.select(*keys, "_bucket"), [*keys, "_bucket"], "left_anti"))
+        self._write(f"{version}_keys", rows, ["_bucket"], f"{before}_keys" if hit is not None else None, hit)
 
     def _write(self, version: str, rows: DataFrame, parts: list[str], before: str | None, touched: list | None) -> None:
         """Register ``version``, write ``rows`` into it and add the partitions of ``before`` that aren't touched."""
@@ -182,7 +207,7 @@ class Warehouse:
         table = self.spark.table(self.name(version))
         rows.select(*table.columns).write.insertInto(self.name(version))
         if parts and before is not None:
-            self._add_partitions(before, version, {tuple(NULL_PARTITION if r[p] is None else _text(r[p]) for p in parts) for r in touched}, parts)
+            self._add_partitions(before, version, {_texts(r, parts) for r in touched}, parts)
         self.spark.catalog.refreshTable(self.name(version))
 
     def _catalog(self):
@@ -256,6 +281,17 @@ def _without_blank(rows: DataFrame, parts: list[str]) -> DataFrame:
     return rows.withColumns({p: F.nullif(F.col(p), F.lit("")) for p in texts}) if texts else rows
 
 
+def _texts(row, parts: list[str]) -> tuple:
+    """A row's partition values as the catalog's texts."""
+    return tuple(NULL_PARTITION if row[p] is None else _text(row[p]) for p in parts)
+
+
+def _surely_new(schema: T.StructType, row, parts: list[str], held: dict) -> bool:
+    """Whether the catalog holds no partition of these values; values of some types have several texts."""
+    plain = (T.StringType, T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)
+    return all(isinstance(schema[p].dataType, plain) for p in parts) and _texts(row, parts) not in held
+
+
 def _text(value) -> str:
     """A partition value as the catalog writes it."""
     return str(value).lower() if isinstance(value, bool) else str(value)

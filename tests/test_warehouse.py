@@ -53,6 +53,32 @@ def test_random_loads_equal_a_plain_table(spark, wh):
     assert folders == {v[0] for v in plain.values()}  # emptied partitions are gone
 
 
+def test_a_load_computes_its_batch_once_or_twice(spark, wh):
+    """Into an empty table once, into others once for the keys and once for the rows; the rows stay those of an upsert."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(_):
+        seen.add(1)
+        return True
+
+    def load(ids, source, note, replaced=None):
+        before = seen.value
+        batch = spark.createDataFrame([(i, source, note) for i in ids], "id long, source string, note string").where(counted("id"))
+        wh.load("src", batch, ["id"], ["source"], replaced)
+        return (seen.value - before) / len(ids)
+
+    wh.load("src", spark.createDataFrame([], "id long, source string, note string"), ["id"], ["source"])
+    assert load([1, 2, 3, 4], "a", "x") == 1
+    assert load([5, 6], "b", "x") <= 2
+    assert load([2, 7, 8, 6], "a", "y", ("source", "a")) <= 2  # 6 moves from b, 1, 3 and 4 go
+    got = {tuple(r) for r in wh.read("src").select("id", "source", "note").collect()}
+    assert got == {(5, "b", "x"), (2, "a", "y"), (7, "a", "y"), (8, "a", "y"), (6, "a", "y")}
+    assert load([8, None], "c", "z") <= 2  # 8 moves to a new partition; a NULL key is a row of its own
+    got = {tuple(r) for r in wh.read("src").select("id", "source", "note").collect()}
+    assert got == {(5, "b", "x"), (2, "a", "y"), (7, "a", "y"), (8, "c", "z"), (6, "a", "y"), (None, "c", "z")}
+
+
 def test_partition_values_of_any_kind(spark, wh):
     values = ["a/b", "x=y", "", None, "ü ñ", "50%", "a'b", "__x", "A"]
     kinds = "id long, s string, n int, d date, v int"
