@@ -115,7 +115,7 @@ def run_source(spark: SparkSession, spec: SourceSpec, warehouse: str | Warehouse
             _write_state(spark, tables, spec.name, 0, None, "partial", run_ts)
             return RunResult(spec.name, "partial", 0, counts)
         replaced = ("source_system", spec.replace_source_system) if spec.replace_source_system else None
-        tables.load(spec.table, batch.drop("_rows"), schemas.PRIMARY_KEYS[spec.table], spec.partition_by, replaced)
+        tables.load(spec.table, batch.drop("_rows"), schemas.PRIMARY_KEYS[spec.table], spec.partition_by, replaced, stored=True)
         drop_materialized(batch)
         _write_state(spark, tables, spec.name, n, last, "success", run_ts)
         log.info("%s: %d rows, %s", spec.name, n, counts)

@@ -50,7 +50,7 @@ def upsert_batch_writer(target: str | tuple[Warehouse, str], keys: list[str], or
         stage = materialize(stage, f"micro-batch-{batch_id}")
         if isinstance(target, tuple):
             warehouse, table = target
-            warehouse.load(table, stage, keys, partition_by or ())
+            warehouse.load(table, stage, keys, partition_by or (), stored=True)
             drop_materialized(stage)
             return
         parts = None
