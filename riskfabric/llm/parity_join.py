@@ -13,7 +13,8 @@ at most D of them, then in any order of the pairs (place, value) common to all s
 first common pair is among the first D + 1 of either. The order is: places with shingles by
 number, then empty ones. So a class sends the first D + 1 pairs as keys, with D the most for
 any partner's size; a class that may have a partner in the next band sends keys of that
-band as well. Every linked pair shares a key.
+band as well. Every linked pair shares a key. The first one that it shares, in that order, is
+within the first D + 1 of both, D for these two sizes.
 
 Any order that is the same for all documents will do, so keys that very many sets share (a
 common passage or line) go last: the sets' pass also counts all keys in a fixed number of slots,
@@ -23,7 +24,10 @@ and the slots with high counts form a bit set of a fixed size that every worker
 then neighbours), a round at a time, and the links found are joined into components, so that a
 large group of near copies needs few comparisons. The remaining candidates are the pairs of
 a key that lie in different components, of which one lies outside the component that most
-sets of the key are in. All of them are compared, so no link between two components is missed;
+sets of the key are in. A pair comes from the first key that it shares, not from all: a key
+travels with its number in the set's order and the set's keys before it, and a pair is left out at
+a key whose number is beyond its D, or where both sets have one of those before in common. All
+pairs that come are compared, so no link between two components is missed;
 the links found are those of a spanning tree and some more. ``jaccard_links`` is the full join: it
 compares all pairs of a key and gives every linked pair of classes. A
 one-bit parity sketch of the whole set (bits, not hashes) rejects most candidates; the others
@@ -55,6 +59,8 @@ SLOTS, HOT = 1 << 24, 4
 ROUNDS = 3
 #: Words of the sketch's fold that travels with the keys: it rejects most pairs of sets of up to a thousand shingles.
 FOLD = 8
+#: Keys of a set that travel with its next key: two sets that have one of them in common have met there.
+BEFORE = 8
 _U = np.uint64
 
 
@@ -159,8 +165,8 @@ def _most_different(n: np.ndarray, partner: np.ndarray) -> np.ndarray:
     return (n + partner) // 9
 
 
-def sketch_keys(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray, up: bool, hot: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, documents) of each document's band or, with ``up``, of the next band for those near it.
+def sketch_keys(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray, up: bool, hot: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, documents, numbers in the document's order from 0) of each document's band or, with ``up``, of the next band for those near it.
 
     ``hot`` holds a bit for each slot whose keys go last; without it, the keys of all places with shingles.
     """
@@ -178,32 +184,33 @@ def sketch_keys(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray, up: bool, h
     order = np.lexsort((place, owner))
     place, owner, h = place[order], owner[order], h[order]
     if not len(h):
-        return np.zeros(0, np.uint64), owner
+        return np.zeros(0, np.uint64), owner, owner
     first = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])])
     value = np.bitwise_xor.reduceat(_mix(h + _U(0x632BE59BD9B4E019)), first)
     place, owner = place[first], owner[first]
     level = _mix(np.arange(64, dtype=np.uint64) * _Q)
     name = lambda v, p, o: _mix(_mix(v + p.astype(np.uint64) * _U(0xD6E8FEB86659FD93)) + level[band[o]])
     keys = name(value, place, owner)
-    if hot is None:
-        return keys, owner
     filled = np.bincount(owner, minlength=len(sizes))
+    rank = np.arange(len(owner)) - np.repeat(np.cumsum(filled) - filled, filled)
+    if hot is None:
+        return keys, owner, rank
     slot = keys & _U(SLOTS - 1)
     late = hot[slot >> _U(5)] >> (slot & _U(31)).astype(np.uint32) & np.uint32(1)
     order = np.argsort(owner * 2 + late, kind="stable")
     place, owner, keys = place[order], owner[order], keys[order]
-    rank = np.arange(len(owner)) - np.repeat(np.cumsum(filled) - filled, filled)
     send = _most_different(sizes, partner) + 1
     keep = rank < send[owner]
     lacks = np.flatnonzero(use & (filled < send))
     taken = {d: place[owner == d] for d in lacks.tolist()}
-    owner, keys = owner[keep], keys[keep]
+    owner, keys, rank = owner[keep], keys[keep], rank[keep]
     # A set that fills too few places also sends its first empty ones.
     for d, own in taken.items():
         free = np.setdiff1d(np.arange(places[d]), own)[: send[d] - filled[d]]
         more = np.full(len(free), d)
         owner, keys = np.r_[owner, more], np.r_[keys, name(np.zeros(len(free), np.uint64), free, more)]
-    return keys, owner
+        rank = np.r_[rank, filled[d] + np.arange(len(free))]
+    return keys, owner, rank
 
 
 def bit_sketch(h: np.ndarray) -> np.ndarray:
@@ -254,7 +261,7 @@ def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             prints = [_print(h, cut, salt) for salt in _PRINTS]
             sketches = [bit_sketch(h[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
             for up in (False, True):
-                keys, _ = sketch_keys(h, owner, sizes, up)
+                keys = sketch_keys(h, owner, sizes, up)[0]
                 at, n = np.unique(keys & _U(SLOTS - 1), return_counts=True)
                 at = at.astype(np.int64)
                 counts[at] = np.minimum(counts[at] + n, 255)
@@ -288,7 +295,7 @@ def _bit_set(words: DataFrame, size: int) -> np.ndarray:
 
 
 def document_keys(docs: DataFrame, hot: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """key, node (the set's 64-bit name), own (the key is of the set's own band).
+    """key, node (the set's 64-bit name), own (the key is of the set's own band), rank (its number in the set's order).
 
     Copies of a set in different slices repeat its rows.
     """
@@ -305,10 +312,11 @@ def document_keys(docs: DataFrame, hot: np.ndarray, id_col: str = "doc_id", text
             once[at] = True
             pick = once[owner]
             for up in (False, True):
-                keys, who = sketch_keys(h[pick], owner[pick], np.where(once, sizes, 0), up, held.value)
-                yield pa.RecordBatch.from_arrays([_signed(keys), _signed(node[who]), pa.array(np.full(len(keys), not up))], names=["key", "node", "own"])
+                keys, who, rank = sketch_keys(h[pick], owner[pick], np.where(once, sizes, 0), up, held.value)
+                parts = [_signed(keys), _signed(node[who]), pa.array(np.full(len(keys), not up)), pa.array(rank, pa.int32())]
+                yield pa.RecordBatch.from_arrays(parts, names=["key", "node", "own", "rank"])
 
-    return map_arrow(texts_of(docs, id_col, text_col), run, "key long, node long, own boolean")
+    return map_arrow(texts_of(docs, id_col, text_col), run, "key long, node long, own boolean, rank int")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -388,6 +396,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 _NEAR = "5 * least(n, other_n) >= 4 * greatest(n, other_n)"
+#: SQL: the key may be the first one that two sets share if they are linked (so it is for at least one key of a linked pair).
+_FIRST = "9 * greatest(rank, other_rank) <= n + other_n AND NOT arrays_overlap(before, other_before)"
 
 
 def _labelled(shared: DataFrame, label: DataFrame | None) -> DataFrame:
@@ -415,7 +425,7 @@ def _tries(here: DataFrame, k: int) -> DataFrame:
 
 
 def _shared_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """The texts, the documents' sets, the classes (hi, lo, doc, n, sketch) and the keys of several classes (key, doc, n, own)."""
+    """The texts, the documents' sets, the classes (hi, lo, doc, n, sketch) and the keys of several classes (key, doc, n, own, rank)."""
     texts = texts_of(docs, id_col, text_col)
     counted = scratch_table(document_sets(docs, id_col, text_col), "shingle_sets")
     sets = counted.where("slot IS NULL").drop("slot", "many")
@@ -428,10 +438,24 @@ def _shared_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
     shared = keys.withColumn("many", F.expr("count(*) OVER (PARTITION BY key)")).where("many > 1").drop("many")
     shared = scratch_table(shared, "shared_keys")
     # From a set's 64-bit name to its class: sets that share a name are classes of their own from here on.
-    shared = scratch_table(shared.join(classes.select(F.col("hi").alias("node"), "doc", "n"), "node").select("key", "doc", "n", "own"), "shared_keys")
+    shared = scratch_table(shared.join(classes.select(F.col("hi").alias("node"), "doc", "n"), "node").select("key", "doc", "n", "own", "rank"), "shared_keys")
     return texts, sets, classes, shared
 
 
+def _meetings(here: DataFrame, classes: DataFrame, of: str, once: str) -> DataFrame:
+    """a, b: pairs of sets with a key in common, by SQL conditions on a row (``of``) and on the pair (``once``).
+
+    A pair whose sizes and folds allow a link comes from the first key that it shares, and again only
+    from keys that come more than BEFORE keys after one that it shares.
+    """
+    before = f"collect_list(key) OVER (PARTITION BY doc, own ORDER BY rank, key ROWS BETWEEN {BEFORE} PRECEDING AND 1 PRECEDING)"
+    here = here.join(classes.select("doc", F.expr(_FOLDED).alias("fold")), "doc").withColumn("before", F.expr(before))
+    here = scratch_table(here, "folded_keys")
+    other = here.where(of).select("key", F.col("doc").alias("other"), *(F.col(c).alias(f"other_{c}") for c in here.columns if c not in ("key", "doc", "most")))
+    pairs = other.join(here, "key").where(F.expr(f"({once}) AND (own OR other_own) AND {_NEAR} AND {_FIRST} AND {_FOLD_NEAR}"))
+    return pairs.select(F.least("other", "doc").alias("a"), F.greatest("other", "doc").alias("b"))
+
+
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """a, b (a < b): every pair of classes with a Jaccard similarity of at least 0.8, also within components.
 
@@ -439,10 +463,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     as the square of a group's classes; documents of one class are linked without a row.
     """
     texts, _, classes, shared = _shared_keys(docs, id_col, text_col)
-    here = scratch_table(shared.join(classes.select("doc", F.expr(_FOLDED).alias("fold")), "doc"), "folded_keys")
-    other = here.select("key", F.col("doc").alias("other"), F.col("n").alias("other_n"), F.col("own").alias("other_own"), F.col("fold").alias("other_fold"))
-    pairs = other.join(here, "key").where(F.expr(f"other < doc AND (own OR other_own) AND {_NEAR} AND {_FOLD_NEAR}"))
-    pairs = pairs.select(F.col("other").alias("a"), F.col("doc").alias("b")).distinct()
+    pairs = _meetings(shared, classes, "true", "other < doc").distinct()
     return _verified(scratch_table(_sketched(pairs, classes), "all_pairs"), texts)
 
 
@@ -462,11 +483,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         label = components(links)
     # Then all pairs of a key that lie in different components.
     here = scratch_table(_labelled(shared, label), "labelled_keys")
-    here = scratch_table(here.join(classes.select("doc", F.expr(_FOLDED).alias("fold")), "doc"), "labelled_keys")
-    out = here.where("label <> most").select("key", F.col("doc").alias("other"), F.col("n").alias("other_n"), F.col("own").alias("other_own"), F.col("label").alias("other_label"), F.col("fold").alias("other_fold"))
-    once = "label = most OR other < doc"
-    rest = out.join(here, "key").where(F.expr(f"label <> other_label AND (own OR other_own) AND {_NEAR} AND ({once}) AND {_FOLD_NEAR}"))
-    rest = rest.select(F.least("other", "doc").alias("a"), F.greatest("other", "doc").alias("b")).distinct()
+    rest = _meetings(here, classes, "label <> most", "label <> other_label AND (label = most OR other < doc)").distinct()
     more = _verified(scratch_table(_sketched(rest, classes), "other_pairs"), texts)
     links = scratch_table(links.union(more).distinct(), "all_links")
     label = components(links).select(F.col("node").alias("doc"), F.col("label").alias("component_id"))

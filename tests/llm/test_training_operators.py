@@ -305,6 +305,27 @@ def test_parity_join_emits_all_links(spark, none):
     assert "n_links" not in parity_join.jaccard_groups(none).columns  # what it counts is no join's links
 
 
+def test_parity_join_pair_comes_once(spark):
+    """Texts of a group that are no links share many keys; their pairs come from the first of them, linked ones all the same."""
+    rng = np.random.default_rng(21)
+    rows = []
+    for size, copies, edits in ((150, 30, 4), (400, 12, 2), (1500, 16, 24)):
+        words = [f"w{x}" for x in rng.integers(0, 10_000, size)]
+        for _ in range(copies):
+            own = list(words)
+            for k in rng.integers(0, size, edits):
+                own[int(k)] = f"e{rng.integers(10**6)}"
+            rows.append((len(rows), " ".join(own)))
+    sets = [shingles(t) for _, t in rows]
+    near = {(i, j) for j in range(len(sets)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    _, _, classes, shared = parity_join._shared_keys(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text")
+    at_a_key = shared.alias("x").join(shared.alias("y"), "key").where("x.doc < y.doc AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)").count()
+    came = [(r["a"], r["b"]) for r in parity_join._meetings(shared, classes, "true", "other < doc").collect()]
+    assert near and near <= set(came) and len(set(came)) > 1.2 * len(near)
+    assert at_a_key > 10 * len(set(came)) and len(came) < 3 * len(set(came))
+    assert by_id(parity_join.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_shingles", "component_id") == sorted(brute_components(rows))
+
+
 def test_parity_join_odd(odd, none):
     rows = [r for r in ODD if r[0] is not None]
     got = by_id(parity_join.jaccard_groups(odd).where("doc_id IS NOT NULL"), "doc_id", "n_shingles", "component_id")
