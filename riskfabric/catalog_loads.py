@@ -19,7 +19,7 @@ from riskfabric.operators import names
 from riskfabric.operators.versioned import Warehouse
 from riskfabric.oracle import with_fixtures
 from riskfabric.plans import grs, kept
-from riskfabric.session import scratch_path
+from riskfabric.session import scratch_path, shuffles_dropped
 from riskfabric.sources import acled, acled_manual, fixtures, gdelt, ofac, seed, ucdp, world_bank
 from riskfabric.sources.common import list_files, overrides_df
 from riskfabric.streaming import ingest, latest
@@ -38,7 +38,8 @@ def _warehouse(spark: SparkSession, name: str) -> Warehouse:
 
 
 def _csv(df: DataFrame, path: str, header: bool = True, **options) -> str:
-    df.write.options(header=header, escape='"', **options).csv(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.options(header=header, escape='"', **options).csv(path)
     return path
 
 
@@ -212,9 +213,9 @@ UNION ALL SELECT '_pipeline_state', 3""")
 def q_landing_load(spark, sf_dir):
     """Bootstrap, then the wired sources in one call over a landing folder; sources that have not landed are skipped."""
     folder, wh = _folder(spark, "landing"), _warehouse(spark, "landing")
-    _renamed(spark, _csv(raw._ucdp_raw_df(spark, sf_dir), f"{folder}/_ged"), f"{folder}/raw/ucdp_ged", "ged{}.csv")
-    _csv(raw._manual_raw_df(spark, sf_dir), f"{folder}/seeds/acled_manual_2026.csv")
-    _csv(_order_actions(spark, sf_dir, F.col("o_orderstatus"), F.lit("n")), f"{folder}/seeds/diplomatic_events.csv")
+    _renamed(spark, _csv(raw._ucdp_raw_df(spark, sf_dir), f"{folder}/_ged", compression="gzip"), f"{folder}/raw/ucdp_ged", "ged{}.csv.gz")
+    _csv(raw._manual_raw_df(spark, sf_dir), f"{folder}/seeds/acled_manual_2026.csv", compression="gzip")
+    _csv(_order_actions(spark, sf_dir, F.col("o_orderstatus"), F.lit("n")), f"{folder}/seeds/diplomatic_events.csv", compression="gzip")
     runner.bootstrap(spark, wh)
     runner.run(spark, runner.default_specs(runner.Landing(f"{folder}/raw", f"{folder}/seeds"), _wh(spark, sf_dir).dim_country, RUN_DATE), wh)
     counted = [wh.read(t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows") for t in ("fact_incident", "fact_diplomatic_action", "_pipeline_state")]

@@ -14,13 +14,18 @@ _UUID_PATTERN = r"^(.{8})(.{4})(.{4})(.{4})(.{12})$"
 _UUID_REPLACE = "$1-$2-$3-$4-$5"
 
 
+def key_text(*parts: Column | str) -> Column:
+    """The text of an id: parts joined by '|', NULL parts skipped. ``make_id`` of it is ``make_id`` of the parts."""
+    cols = [F.col(p) if isinstance(p, str) else p for p in parts]
+    return F.concat_ws("|", *[c.cast("string") for c in cols])
+
+
 def make_id(*parts: Column | str) -> Column:
     """Stable id from parts joined by '|' (NULL parts skipped), SHA-256, UUID layout.
 
     ``concat_ws`` skips NULL arguments, which is the "non-None parts" rule.
     """
-    cols = [F.col(p) if isinstance(p, str) else p for p in parts]
-    digest = F.sha2(F.concat_ws("|", *[c.cast("string") for c in cols]), 256)
+    digest = F.sha2(key_text(*parts), 256)
     return F.regexp_replace(F.substring(digest, 1, 32), _UUID_PATTERN, _UUID_REPLACE)
 
 

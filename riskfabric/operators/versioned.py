@@ -10,8 +10,8 @@ reader sees the old rows; a query that has begun keeps reading the old version's
 *Key index.* A partitioned table whose partition columns aren't part of its key also has, per version,
 an index table key → partition, itself partitioned by a hash bucket of the key. A load reads the buckets
 that its keys fall into, and so knows the partitions that hold them without a scan of the table; it
-rewrites these buckets alone. Where the catalog shows that a load meets no stored rows, it writes its batch
-without a join. An entry whose row has gone (a replaced source) only makes a
+rewrites the buckets of those that are new or have moved. Where the catalog shows that a load meets no stored rows, it writes its batch
+without a join, and its entries as a run beside the stored ones (``RUNS`` at most a bucket). An entry whose row has gone (a replaced source) only makes a
 later load read a partition in vain.
 
 The driver handles partition values and bucket numbers (catalog metadata), never rows. Writers of one
@@ -21,6 +21,7 @@ table must take turns; a load that finds another version than it began with rais
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,10 +30,16 @@ from pyspark.sql import types as T
 
 from riskfabric import schemas
 from riskfabric.operators import store
-from riskfabric.session import drop_materialized, materialize
+from riskfabric.session import drop_materialized, materialize, shuffles_dropped
 
 #: Buckets of a key index. A load of few keys reads a share of the index that grows with their number.
 BUCKETS = 64
+#: Runs of a bucket (one a load) that are read together before a load writes them as one.
+RUNS = 8
+#: Partition columns of a key index.
+_PLACE = ["_run", "_bucket"]
+#: Ids are hexadecimal digits, which this codec packs and Spark's usual one doesn't.
+COMPRESSION = "zstd"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -101,8 +108,11 @@ class Warehouse:
         knows them (then no index is kept or read). An empty text as partition value is NULL, as Spark stores it. Columns that the batch lacks keep their stored values.
         ``stored`` says that the batch is read from files; of another one the keys are written once where they are needed more than once.
         """
+        with shuffles_dropped(self.spark):
+            return self._load(table, batch, keys, list(partition_by), source, moves, removed, stored)
+
+    def _load(self, table: str, batch: DataFrame, keys: list[str], parts: list[str], source, moves, removed, stored: bool) -> str:
         before = self.version(table)
-        parts = list(partition_by)
         batch = _without_blank(batch, parts)
         indexed = bool(parts) and moves is None and not set(parts) <= set(keys)
         if before is None:
@@ -115,7 +125,7 @@ class Warehouse:
         if held:
             placed = batch.select(*dict.fromkeys([*keys, *parts]))
             if indexed and not stored:
-                placed = materialize(placed, f"keys-{table}")
+                placed = materialize(placed, f"keys-{table}", COMPRESSION)
             touched = self._touched(before, placed, keys, parts, source, moves, held)
             # Rows that the batch may meet: those of touched partitions that exist and aren't the replaced source's.
             met = [r for r in touched if not _surely_new(schema, r, parts, held)]
@@ -135,7 +145,7 @@ class Warehouse:
         self._write(version, merged, parts, before, touched)
         if indexed:
             # The first rows of a table are read as they were written, not computed again.
-            self._index(version, before, placed if placed is not None else self.read_version(version), keys, parts, fresh)
+            self._index(version, before, placed if placed is not None else self.read_version(version), keys, parts, fresh, touched)
         if placed is not None and indexed and not stored:
             drop_materialized(placed)
         self._switch(table, version, before, self.read(table).columns if before else schema.names)
@@ -145,7 +155,8 @@ class Warehouse:
         """Give the partitions ``touched`` (rows of partition values) exactly ``rows``; the others stay. Returns the new version."""
         before = self.version(table)
         version = self._next(table, before)
-        self._write(version, rows, list(partition_by), before, touched)
+        with shuffles_dropped(self.spark):
+            self._write(version, rows, list(partition_by), before, touched)
         self._switch(table, version, before, self.read(table).columns if before else rows.columns, properties)
         return version
 
@@ -189,21 +200,33 @@ class Warehouse:
         index = self.read_version(f"{version}_keys").where(F.col("_bucket").isin(hit) if hit else F.lit(False))
         return (index if where is None else index.where(where)).join(asked, ["_bucket", *keys], "left_semi")
 
-    def _index(self, version: str, before: str | None, batch: DataFrame, keys: list[str], parts: list[str], fresh: bool = False) -> None:
-        """``fresh`` says that no partition holds one of the batch's keys."""
-        columns = [*keys, *[p for p in parts if p not in keys]]
-        rows = batch.select(*columns).withColumn("_bucket", self._bucket(keys))
-        hit = None
-        if before is not None and self.partitions(f"{before}_keys", ["_bucket"]):
-            hit = rows.select("_bucket").distinct().collect()
-            old = self.read_version(f"{before}_keys").where(_in_partitions(hit, ["_bucket"]))
+    def _index(self, version: str, before: str | None, batch: DataFrame, keys: list[str], parts: list[str], fresh: bool = False, touched: list | tuple = ()) -> None:
+        """``fresh`` says that no partition holds one of the batch's keys; ``touched`` has the batch's partitions."""
+        columns = [*keys, *[p for p in parts if p not in keys], "_bucket"]
+        rows = batch.withColumn("_bucket", self._bucket(keys)).select(*columns)
+        old = self.read_version(f"{before}_keys") if before is not None else None
+        held = list(self.partitions(f"{before}_keys", _PLACE if "_run" in old.columns else ["_bucket"])) if old is not None else []
+        runs, gone = Counter(place[-1] for place in held), []
+        plain = bool(held) and len(held[0]) == 1  # an index without runs is written anew
+        if held and (plain or not fresh or max(runs.values()) >= RUNS):
+            old = old.select(*columns)
+            # Entries that are stored as they are, in one of the batch's own partitions, need no writing.
+            own = old.where(_in_partitions(touched, parts))
+            stored = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(own[c]) for c in columns])
+            new = rows if fresh else rows.join(own, stored, "left_anti")
+            hit = new.select("_bucket").distinct().collect() if not plain else [{"_bucket": int(b)} for b in runs]
+            within = _in_partitions(hit, ["_bucket"])
+            rows, old = rows if plain else rows.where(within), old.where(within)
             rows = rows.unionByName(old if fresh else old.join(rows.select(*keys, "_bucket"), [*keys, "_bucket"], "left_anti"))
-        self._write(f"{version}_keys", rows, ["_bucket"], f"{before}_keys" if hit is not None else None, hit)
+            texts = {_text(r["_bucket"]) for r in hit}
+            gone = [dict(zip(_PLACE, place, strict=True)) for place in held if not plain and place[-1] in texts]
+        rows = rows.withColumn("_run", F.lit(int(version.split("__v")[1][:8])))
+        self._write(f"{version}_keys", rows, _PLACE, f"{before}_keys" if held and not plain else None, gone)
 
     def _write(self, version: str, rows: DataFrame, parts: list[str], before: str | None, touched: list | None) -> None:
         """Register ``version``, write ``rows`` into it and add the partitions of ``before`` that aren't touched."""
         by = f"PARTITIONED BY ({', '.join(map(_quoted, parts))})" if parts else ""
-        self.spark.sql(f"CREATE TABLE {self.name(version)} ({_ddl(rows.schema)}) USING parquet {by} LOCATION '{self.root}/{version}'")
+        self.spark.sql(f"CREATE TABLE {self.name(version)} ({_ddl(rows.schema)}) USING parquet OPTIONS (compression '{COMPRESSION}') {by} LOCATION '{self.root}/{version}'")
         table = self.spark.table(self.name(version))
         rows.select(*table.columns).write.insertInto(self.name(version))
         if parts and before is not None:

@@ -20,10 +20,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskfabric import schemas
+from riskfabric.functions import ids
 from riskfabric.operators import store
-from riskfabric.operators.versioned import Warehouse
+from riskfabric.operators.versioned import COMPRESSION, Warehouse
 from riskfabric.plans import sql
-from riskfabric.session import drop_materialized, materialize
+from riskfabric.session import drop_materialized, materialize, shuffles_dropped
 from riskfabric.sources import acled, acled_manual, gdelt, ofac, seed, ucdp, world_bank
 
 log = logging.getLogger(__name__)
@@ -84,8 +85,14 @@ def stage(spark: SparkSession, spec: SourceSpec) -> tuple[DataFrame | None, dict
     if spec.table in schemas.STAMPED and "ingested_at_utc" not in batch.columns:
         batch = batch.withColumn("ingested_at_utc", F.current_timestamp())
     keys = schemas.PRIMARY_KEYS[spec.table]
-    batch = store.dedupe_first(batch, keys, [schemas.ARRIVAL], count_as="_rows").drop(schemas.ARRIVAL)
-    batch = materialize(batch, f"batch-{spec.name.lower()}")
+    if schemas.KEY_TEXT in batch.columns:
+        # Rows with one id have one text; moved by it, they leave their ids behind and stand beside like ones.
+        columns = [c for c in batch.columns if c not in (schemas.KEY_TEXT, schemas.ARRIVAL)]
+        batch = store.dedupe_first(batch.drop(*keys), [schemas.KEY_TEXT], [schemas.ARRIVAL], count_as="_rows")
+        batch = batch.withColumn(keys[0], ids.make_id(schemas.KEY_TEXT)).select(*columns, "_rows")
+    else:
+        batch = store.dedupe_first(batch, keys, [schemas.ARRIVAL], count_as="_rows").drop(schemas.ARRIVAL)
+    batch = materialize(batch, f"batch-{spec.name.lower()}", COMPRESSION)
     counts = dict(seen.get) if spec.observed else {}
     if spec.verify:
         spec.verify(counts)
@@ -101,7 +108,11 @@ def run_source(spark: SparkSession, spec: SourceSpec, warehouse: str | Warehouse
     if not spec.available(spark):
         log.warning("%s skipped (source unavailable)", spec.name)
         return None
-    tables = tables_at(spark, warehouse)
+    with shuffles_dropped(spark):
+        return _run_source(spark, spec, tables_at(spark, warehouse), run_ts)
+
+
+def _run_source(spark: SparkSession, spec: SourceSpec, tables: store.PathTables | Warehouse, run_ts: _dt.datetime | None) -> RunResult:
     try:
         batch, counts = stage(spark, spec)
         last_col = LAST_DATE_COLUMN.get(spec.table)

@@ -131,8 +131,12 @@ def conform(df: DataFrame, table: str, fill_defaults: bool = True) -> DataFrame:
 ARRIVAL = "_arrival"
 
 
+#: The text that a reader's row has its id of (``ids.make_id``).
+KEY_TEXT = "_key_text"
+
+
 def present(df: DataFrame, table: str) -> DataFrame:
-    """The table's columns that ``df`` has, typed and in the table's order, and its arrival order if it has one.
+    """The table's columns that ``df`` has, typed and in the table's order, and its arrival order and key text if it has them.
 
     Unlike ``conform`` nothing is filled, so that an upsert keeps the stored values of the columns
     that a source doesn't deliver.
@@ -142,7 +146,7 @@ def present(df: DataFrame, table: str) -> DataFrame:
         (F.col(f.name) if have[f.name] == f.dataType else F.col(f.name).try_cast(f.dataType)).alias(f.name)
         for f in TABLES[table].fields if f.name in have
     ]
-    return df.select(*cols, *([ARRIVAL] if ARRIVAL in have else []))
+    return df.select(*cols, *[c for c in (ARRIVAL, KEY_TEXT) if c in have])
 
 
 def empty(spark, table: str) -> DataFrame:

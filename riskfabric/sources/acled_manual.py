@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskfabric.session import materialize
 from riskfabric import refdata, schemas
 from riskfabric.functions import dates, ids, text
-from riskfabric.sources.common import arrival_of, read_csv_strings, require_columns
+from riskfabric.sources.common import arrival_of, key_text_of, read_csv_strings, require_columns
 
 SOURCE = "ACLED_MANUAL"
 #: Columns that the file may lack; a load then keeps what is stored.
@@ -102,6 +102,6 @@ def normalise(raw: DataFrame, check: bool = True, seen: Observation | None = Non
         F.lit(None).cast("boolean").alias("civilian_targeting"),
         ec.alias("event_count"),
         fb.alias("fatalities_best"), fb.alias("fatalities_low"), fb.alias("fatalities_high"),
-        *arrival_of(raw),
+        *arrival_of(raw), *key_text_of(raw, F.lit(SOURCE), key),
     )
     return schemas.present(out, "fact_incident")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfabric import refdata
-from riskfabric.schemas import ARRIVAL
+from riskfabric.functions import ids
+from riskfabric.schemas import ARRIVAL, KEY_TEXT
 from riskfabric.sources.dims import lookup_table
 
 
@@ -31,6 +32,11 @@ def arrival_of(df: DataFrame) -> list[str]:
     return [ARRIVAL] if ARRIVAL in df.columns else []
 
 
+def key_text_of(df: DataFrame, *parts: Column) -> list[Column]:
+    """The text of a row's id, for rows that have an arrival column: those that a load keeps one a key of."""
+    return [ids.key_text(*parts).alias(KEY_TEXT)] if ARRIVAL in df.columns else []
+
+
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
     """Sorted file paths matching a Hadoop glob (metadata only; no data read on the driver)."""
     jvm = spark.sparkContext._jvm

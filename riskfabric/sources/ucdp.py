@@ -9,7 +9,7 @@ from riskfabric import refdata, schemas
 from riskfabric.functions import ids, text
 from riskfabric.operators import lookup
 from riskfabric.sources import archive
-from riskfabric.sources.common import arrival_of, col_or_null, list_files, overrides_df, read_csv_strings, union_all
+from riskfabric.sources.common import arrival_of, col_or_null, key_text_of, list_files, overrides_df, read_csv_strings, union_all
 
 SOURCE = "UCDP_GED"
 
@@ -63,10 +63,11 @@ def normalise(raw: DataFrame, countries: DataFrame, overrides: DataFrame | None
     def deaths(c):
         return (F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) if c else F.lit(0.0)).try_cast("int")
 
+    key = F.lit(SOURCE), F.coalesce(F.col("id").cast("string"), F.lit("nan"))
     out = raw.select(
         F.lit(SOURCE).alias("source_system"),
         F.col("id").cast("string").alias("source_event_id"),
-        ids.make_id(F.lit(SOURCE), F.coalesce(F.col("id").cast("string"), F.lit("nan"))).alias("incident_id"),
+        ids.make_id(*key).alias("incident_id"),
         F.try_to_timestamp(F.trim("date_start")).cast("date").alias("event_date"),
         F.try_to_timestamp(F.trim("date_end")).cast("date").alias("event_date_end"),
         F.col("country").alias("_country"),
@@ -81,7 +82,7 @@ def normalise(raw: DataFrame, countries: DataFrame, overrides: DataFrame | None
         deaths(best_col).alias("fatalities_best"),
         deaths("low" if "low" in raw.columns else None).alias("fatalities_low"),
         deaths("high" if "high" in raw.columns else None).alias("fatalities_high"),
-        *arrival_of(raw),
+        *arrival_of(raw), *key_text_of(raw, *key),
     )
     if seen is not None:
         out = out.observe(seen, F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col("event_date").isNull()).alias("bad_dates"))
