@@ -127,7 +127,8 @@ def q_gdelt_files(spark, sf_dir):
     lists = rows.groupBy(_page_of(rows).alias("n")).agg(F.collect_list(F.struct(*rows.columns)).alias("articles")).select("articles")
     # The files get their names as they are written, and tasks commit them: the driver names none of them.
     named = {"mapreduce.output.basename": "artlist_", "mapreduce.fileoutputcommitter.algorithm.version": "2"}
-    lists.write.options(maxRecordsPerFile=1, ignoreNullFields="false", **named).json(f"{folder}/gdelt")
+    with shuffles_dropped(spark):
+        lists.write.options(maxRecordsPerFile=1, ignoreNullFields="false", compression="gzip", **named).json(f"{folder}/gdelt")
     found = gdelt.normalise(gdelt.read(spark, f"{folder}/gdelt"), _wh(spark, sf_dir).dim_country)
     return found.select("item_id", F.col("published_at_utc").cast("timestamp_ntz").alias("published_at_utc"), "country_focus_iso3", "url", "topic_tags", "tone")
 

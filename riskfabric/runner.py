@@ -222,7 +222,7 @@ def default_specs(landing: Landing, countries: DataFrame, run_date: _dt.date | s
                    observed=lambda s, o: world_bank.normalise(world_bank.read(s, f"{raw}/world_bank"), countries, seen=o)),
         SourceSpec("OFAC", "fact_diplomatic_action", some(f"{raw}/ofac/sdn.csv"), lambda s: ofac.normalise(ofac.read(s, f"{raw}/ofac/sdn.csv"), run_date)),
         SourceSpec("SEED", "fact_diplomatic_action", some(curated), lambda s: seed.normalise(seed.read(s, curated))),
-        SourceSpec("GDELT", "fact_news_pulse", some(f"{raw}/gdelt/artlist_*.json"),
+        SourceSpec("GDELT", "fact_news_pulse", some(f"{raw}/gdelt/{gdelt.FILES}"),
                    lambda s: gdelt.normalise(gdelt.read(s, f"{raw}/gdelt"), countries)),
     ]
 

@@ -1,6 +1,8 @@
 """Disk of loads: shuffle files, compressed files, key index entries, the text that rows are moved by."""
 
 import datetime as dt
+import gzip
+import json
 import os
 import random
 import time
@@ -9,10 +11,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from riskfabric import runner
+from riskfabric import runner, schemas
+from riskfabric.functions import ids
 from riskfabric.operators.versioned import RUNS, Warehouse
 from riskfabric.session import shuffles_dropped
-from riskfabric.sources import seed
+from riskfabric.sources import gdelt, seed
 
 SF = "/root/testdata/sf0.001"
 DDL = "id long, day date, v int"
@@ -111,3 +114,39 @@ def test_an_index_without_runs_is_written_anew(spark, wh):
 def test_landed_and_loaded_files_are_packed(spark):
     loaded = E.queries()["landing_load"](spark, SF).inputFiles()
     assert loaded and all(f.endswith(".zstd.parquet") for f in loaded)
+
+
+def test_article_lists_may_be_compressed(spark, tmp_path):
+    """Ids of one text are one article, the first one; its id is that of its parts."""
+    raw = str(tmp_path)
+    mk = lambda url, seen, title: {"url": url, "title": title, "seendate": seen, "domain": "d", "sourcecountry": "Turkey", "tone": "1.50"}
+    with gzip.open(f"{raw}/artlist_1.json.gz", "wt") as fh:
+        json.dump({"articles": [mk("u|x", "20250102T030405Z", "first"), mk(None, "20250102T030405Z", "none")]}, fh)
+    with open(f"{raw}/artlist_2.json", "w") as fh:
+        json.dump({"articles": [mk("u", "x|20250102T030405Z", "late"), mk("v", "20250102T030405Z", "other")]}, fh)
+    countries = spark.createDataFrame([("TUR", "TR", "Turkey", None)], schemas.DIM_COUNTRY)
+    out = {r["title"]: r for r in gdelt.normalise(gdelt.read(spark, raw), countries).collect()}
+    assert set(out) == {"first", "none", "other"}
+    id_of = lambda *parts: spark.range(1).select(ids.make_id(*map(F.lit, parts))).first()[0]
+    assert out["first"]["item_id"] == id_of("u|x", "20250102T030405Z") and out["none"]["item_id"] == id_of("nan", "20250102T030405Z")
+    assert out["other"]["topic_tags"] == "1.50" and out["other"]["tone"] == 1.5 and out["none"]["url"] is None
+    os.makedirs(f"{raw}/gdelt")
+    os.rename(f"{raw}/artlist_1.json.gz", f"{raw}/gdelt/artlist_1.json.gz")
+    spec = next(s for s in runner.default_specs(runner.Landing(raw, raw), countries, "2026-03-01") if s.name == "GDELT")
+    assert spec.available(spark)
+
+
+def test_ids_stay_behind_in_the_shuffle(spark, tmp_path):
+    """The rows that are moved to be made one a key have no id: it is made of their text afterwards."""
+    raw = str(tmp_path)
+    with open(f"{raw}/artlist_1.json", "w") as fh:
+        json.dump({"articles": [{"url": "u", "seendate": "20250102T030405Z", "tone": "1"}]}, fh)
+    countries = spark.createDataFrame([("TUR", "TR", "Turkey", None)], schemas.DIM_COUNTRY)
+    plan = gdelt.normalise(gdelt.read(spark, raw), countries, has_themes=False)._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = next(i for i, line in enumerate(plan) if "hashpartitioning" in line and schemas.KEY_TEXT in line)
+    assert any("sha2" in line for line in plan[:depth]) and not any("sha2" in line for line in plan[depth:])
+
+
+def test_article_lists_are_packed(spark):
+    lists = [f for f in E.queries()["gdelt_files"](spark, SF).inputFiles() if "/landing/" in f]
+    assert lists and all(f.endswith(".json.gz") for f in lists)
