@@ -150,3 +150,10 @@ def test_ids_stay_behind_in_the_shuffle(spark, tmp_path):
 def test_article_lists_are_packed(spark):
     lists = [f for f in E.queries()["gdelt_files"](spark, SF).inputFiles() if "/landing/" in f]
     assert lists and all(f.endswith(".json.gz") for f in lists)
+
+
+def test_kept_aggregates_leave_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    found = E.queries()["kept_week_agg"](spark, SF)
+    assert not left_of(spark, before)
+    assert all(f.endswith(".zstd.parquet") for f in found.inputFiles()) and found.count() > 0
